@@ -19,7 +19,7 @@ def oracle_frame(sql: str, sf_dir: str) -> pd.DataFrame:
 
 
 def _text(v) -> str:
-    if v is None or v is pd.NaT:
+    if v is None or v is pd.NaT or v is pd.NA:
         return "~"
     if isinstance(v, float):
         if v != v:
