@@ -10,48 +10,52 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 PRE_SHUFFLE_LIMIT = 1000
 
 
-def running_totals(df: DataFrame, group: Sequence[str], value: str, weight: str,
-                   slots: int = 64) -> DataFrame:
-    """Add `before` (weight of smaller values) and `total` (weight of the group), exactly.
+def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Sequence[str],
+                   slots: int = 64, bounded_groups: bool = False) -> DataFrame:
+    """Add, for every weight w, `w_before` (of smaller values) and `w_total` (of the group), exactly.
 
     `df` holds one row per (group, value). Each group is cut at approximate quantiles of its
     values; a slot holds about 1/slots of them, so the sorted running sum is taken per
     (group, slot) and shifted by the slots before it. The cuts only place the work: the result
     does not depend on their accuracy. Offsets are at most slots + 1 rows per group.
+
+    `bounded_groups` states that the groups are few by construction (columns of a table, splits);
+    their cuts and offsets are then broadcast. Otherwise the join is picked by measured size.
     """
-    group = list(group)
+    group, weights = list(group), list(weights)
+    hint = F.broadcast if bounded_groups else (lambda d: d)
     marks = F.array(*[F.lit(i / slots) for i in range(1, slots)])
-    # the weight is part of the expression so that both branches read the same shuffle
-    cuts = df.groupBy(*group).agg(
-        F.percentile_approx(F.when(F.col(weight).isNotNull(), F.col(value)).cast("double"),
-                            marks, slots * 20).alias("_cuts"))
-    joined = df.join(cuts, group) if group else df.withColumn("_cuts", cuts.scalar())
-    slot = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(value).cast("double")))
+    number = F.col(value).cast("double")
+    # naming the weights here keeps both branches on one and the same shuffle
+    weighed = F.when(F.coalesce(*[F.col(w) for w in weights]).isNotNull(), number)
+    cuts = df.groupBy(*group).agg(F.percentile_approx(weighed, marks, slots * 20).alias("_cuts"))
+    joined = df.join(hint(cuts), group) if group else df.withColumn("_cuts", cuts.scalar())
+    slot = F.size(F.filter(F.col("_cuts"), lambda c: c < number))
     placed = joined.withColumn("_slot", slot).drop("_cuts")
-    by_slot = placed.groupBy(*group, "_slot").agg(F.sum(weight).alias("_w"))
+    by_slot = placed.groupBy(*group, "_slot").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
     ahead = Window.partitionBy(*group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     offsets = by_slot.select(
         *group, "_slot",
-        F.coalesce(F.sum("_w").over(ahead), F.lit(0)).alias("_shift"),
-        F.sum("_w").over(whole).alias("total"))
+        *[F.coalesce(F.sum(f"_sum_{w}").over(ahead), F.lit(0)).alias(f"_shift_{w}") for w in weights],
+        *[F.sum(f"_sum_{w}").over(whole).alias(f"{w}_total") for w in weights])
     inside = (
         Window.partitionBy(*group, "_slot").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    placed = placed.withColumns({f"_in_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
     return (
-        placed.withColumn("_in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .join(offsets, [*group, "_slot"])
-        .withColumn("before", F.col("_in") + F.col("_shift"))
-        .drop("_in", "_slot", "_shift")
+        placed.join(hint(offsets), [*group, "_slot"])
+        .withColumns({f"{w}_before": F.col(f"_in_{w}") + F.col(f"_shift_{w}") for w in weights})
+        .drop("_slot", *[f"_in_{w}" for w in weights], *[f"_shift_{w}" for w in weights])
     )
 
 
 def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str = "rank") -> DataFrame:
     """SQL rank() by descending value inside each group; rows of equal value share one count row."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, group, value, "_n").select(
-        *group, value, (F.col("total") - F.col("before") - F.col("_n") + 1).alias(name))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, group, value, ["n"]).select(
+        *group, value, (F.col("n_total") - F.col("n_before") - F.col("n") + 1).alias(name))
     return df.join(ranked, [*group, value])
 
 

@@ -332,10 +332,16 @@ def curve_models_predict(spark, sf_dir):
     return curvefit.predict(curvefit.fitted(models), ts.future_grid(hist, 168, "HOUR"))
 
 
-@register("curve_fit_failures", "F9")
+@register("curve_fit_failures", "F9 B14", """
+SELECT o_custkey::VARCHAR || '-' || o_orderstatus AS entity_id, 'ValueError: needs observations at two different times' AS error
+FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderdate) < 2""")
 def curve_fit_failures(spark, sf_dir):
-    """Series whose fit failed, with the message; users with one active hour cannot be fitted."""
-    return curvefit.failed(curvefit.fit(_user_history(spark, sf_dir), curvefit.Spec())).select("entity_id", "error")
+    """Series seen on one day only cannot be fitted; they end up here and the other fits go on."""
+    orders = adapters.load(spark, sf_dir, "orders").withColumn(
+        "series_id", scalar.series_key(["o_custkey", "o_orderstatus"]))
+    days = ts.count_series(orders, "series_id", "o_orderdate", "1 day")
+    plain = curvefit.Spec(changepoints=2, daily_order=0, weekly_order=1)
+    return curvefit.failed(curvefit.fit(days, plain)).select("entity_id", "error")
 
 
 @register("forecast_search", "F8 F14")
