@@ -3,7 +3,7 @@
 Solved as penalised least squares. Spark lays out the series, runs the fits next to the data and
 aggregates what comes back; the numpy part is the solve of one series. A group is one series on
 its time grid (one row per step), so its size is bounded by the training range, not by the
-number of events behind it.
+number of events behind it. Time stamps travel as microseconds, groups as Arrow tables.
 """
 from __future__ import annotations
 
@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from netkpi import schemas
 from netkpi.operators.forecast import Z80, Z95
 
 DAY = 86400.0
+_ARROW = {T.StringType(): pa.string(), T.DoubleType(): pa.float64(), T.IntegerType(): pa.int32(),
+          T.TimestampNTZType(): pa.timestamp("us")}
 
 
 @dataclass(frozen=True)
@@ -35,10 +37,6 @@ class Spec:
     holidays: tuple[str, ...] = ()
 
 
-def _seconds(ds: pd.Series) -> np.ndarray:
-    return ds.to_numpy("datetime64[us]").astype("int64") / 1e6
-
-
 def _seasons(sec: np.ndarray, spec: Spec) -> np.ndarray:
     cols = [
         f(2 * np.pi * k * sec / period)
@@ -60,8 +58,8 @@ def _ridge(x: np.ndarray, y: np.ndarray, scales: np.ndarray, noise: float) -> np
     return np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ y)
 
 
-def fit_one(ds: pd.Series, y: np.ndarray, spec: Spec) -> dict:
-    sec = _seconds(ds)
+def fit_one(sec: np.ndarray, y: np.ndarray, spec: Spec) -> dict:
+    """Model of one series; `sec` are seconds since the epoch, ascending."""
     if len(sec) < 2 or sec.max() == sec.min():
         raise ValueError("needs observations at two different times")
     start, span = float(sec.min()), float(sec.max() - sec.min())
@@ -94,9 +92,8 @@ def fit_one(ds: pd.Series, y: np.ndarray, spec: Spec) -> dict:
     }
 
 
-def predict_one(model: dict, ds: pd.Series) -> pd.DataFrame:
+def predict_one(model: dict, sec: np.ndarray) -> dict[str, np.ndarray]:
     spec = Spec(**{**model["spec"], "holidays": tuple(model["spec"]["holidays"])})
-    sec = _seconds(ds)
     t = (sec - model["start"]) / model["span"]
     base = _trend_columns(t, np.asarray(model["knots"])) @ np.asarray(model["trend"])
     base = base * model["size"] + model["level"]
@@ -108,24 +105,59 @@ def predict_one(model: dict, ds: pd.Series) -> pd.DataFrame:
     rate = len(model["knots"]) / 0.8
     drift = rate * 2 * (model["slope_spread"] * model["size"]) ** 2 * beyond ** 3 / 3
     half = spec.z * np.sqrt(model["sigma"] ** 2 + drift)
-    return pd.DataFrame({"ds": ds.to_numpy(), "yhat": yhat, "yhat_lower": yhat - half, "yhat_upper": yhat + half})
+    return {"yhat": yhat, "yhat_lower": yhat - half, "yhat_upper": yhat + half}
+
+
+def _table(schema: T.StructType, columns: dict) -> pa.Table:
+    """Arrow table of a declared schema; scalars are repeated, missing columns are NULL."""
+    n = max((len(v) for v in columns.values() if isinstance(v, (list, np.ndarray, pa.Array))), default=0)
+    arrays = []
+    for f in schema.fields:
+        kind, v = _ARROW[f.dataType], columns.get(f.name)
+        if isinstance(v, np.ndarray) and f.dataType == T.TimestampNTZType():
+            v = v.astype("datetime64[us]")
+        elif not isinstance(v, (list, np.ndarray, pa.Array)):
+            v = [v] * n
+        arrays.append(pa.array(v, type=kind, from_pandas=True))
+    return pa.table(arrays, names=schema.fieldNames())
+
+
+def _points(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Microseconds and values of a series in time order; NULL values become NaN."""
+    micros = table.column("ds").to_numpy().astype("datetime64[us]").astype("int64")
+    order = np.argsort(micros, kind="stable")
+    return micros[order], table.column("y").to_numpy().astype(float)[order]
+
+
+def _by_series(df: DataFrame) -> DataFrame:
+    """Series rows spread over all tasks. The count is explicit: a fit costs far more than its
+    bytes suggest, so partitions must not be merged by size."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    y = F.col("y") if "y" in df.columns else F.lit(None)
+    return df.select(F.col("entity_id").cast("string").alias("entity_id"), "ds", y.cast("double").alias("y")).repartition(
+        tasks, "entity_id")
+
+
+def _observed(history: DataFrame) -> DataFrame:
+    return _by_series(history.filter(F.col("y").isNotNull()))
 
 
 def fit(history: DataFrame, spec: Spec) -> DataFrame:
     """One row per series: the model as JSON, or the message of the failure; the job goes on either way."""
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
+    params = json.dumps(asdict(spec))
+
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        micros, y = _points(table)
         model, error = None, None
         try:
-            model = json.dumps(fit_one(pdf["ds"], pdf["y"].to_numpy(float), spec))
+            model = json.dumps(fit_one(micros / 1e6, y, spec))
         except Exception as e:
             error = f"{type(e).__name__}: {e}"
-        return pd.DataFrame({
-            "entity_id": [key[0]], "model_json": [model], "params": [json.dumps(asdict(spec))],
-            "fit_start": [pdf["ds"].iloc[0]], "fit_end": [pdf["ds"].iloc[-1]], "error": [error]})
+        return _table(schemas.CURVE_MODEL_ROW, {
+            "entity_id": [key[0].as_py()], "model_json": model, "params": params,
+            "fit_start": micros[:1], "fit_end": micros[-1:], "error": error})
 
-    rows = history.select(F.col("entity_id").cast("string").alias("entity_id"), "ds", "y").filter(F.col("y").isNotNull())
-    return rows.groupBy("entity_id").applyInPandas(one, schemas.CURVE_MODEL_ROW)
+    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.CURVE_MODEL_ROW)
 
 
 def fitted(models: DataFrame) -> DataFrame:
@@ -138,20 +170,17 @@ def failed(models: DataFrame) -> DataFrame:
 
 def predict(models: DataFrame, grid: DataFrame) -> DataFrame:
     """Grid rows (entity_id, ds, optionally y) of every series that has a model."""
-    with_y = "y" in grid.columns
-    rows = grid.select(F.col("entity_id").cast("string").alias("entity_id"), "ds",
-                       (F.col("y") if with_y else F.lit(None)).cast("double").alias("y"))
-
-    def one(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=schemas.FORECAST_ROW.fieldNames())
-        right = right.sort_values("ds").reset_index(drop=True)
-        out = predict_one(json.loads(left["model_json"].iloc[0]), right["ds"])
-        return out.assign(entity_id=key[0], y=right["y"])[schemas.FORECAST_ROW.fieldNames()]
+    def one(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return _table(schemas.FORECAST_ROW, {})
+        micros, y = _points(right)
+        model = json.loads(left.column("model_json")[0].as_py())
+        return _table(schemas.FORECAST_ROW, {
+            "entity_id": key[0].as_py(), "ds": micros, "y": y, **predict_one(model, micros / 1e6)})
 
     return (
         models.select("entity_id", "model_json").groupBy("entity_id")
-        .cogroup(rows.groupBy("entity_id")).applyInPandas(one, schemas.FORECAST_ROW)
+        .cogroup(_by_series(grid).groupBy("entity_id")).applyInArrow(one, schemas.FORECAST_ROW)
     )
 
 
@@ -160,20 +189,19 @@ def forecast(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3
 
     A series whose fit fails yields no rows; `fit` tells why.
     """
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds").reset_index(drop=True)
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        micros, y = _points(table)
         try:
-            model = fit_one(pdf["ds"], pdf["y"].to_numpy(float), spec)
+            model = fit_one(micros / 1e6, y, spec)
         except Exception:
-            return pd.DataFrame(columns=schemas.FORECAST_ROW.fieldNames())
-        steps = pd.to_timedelta(np.arange(1, horizon + 1) * step_seconds, unit="s")
-        ds = pd.concat([pdf["ds"], pd.Series(pdf["ds"].iloc[-1] + steps)], ignore_index=True)
-        y = np.r_[pdf["y"].to_numpy(float), np.full(horizon, np.nan)]
-        return predict_one(model, ds).assign(entity_id=key[0], y=y)[schemas.FORECAST_ROW.fieldNames()]
+            return _table(schemas.FORECAST_ROW, {})
+        ahead = micros[-1] + np.arange(1, horizon + 1) * step_seconds * 1_000_000
+        ds = np.r_[micros, ahead]
+        return _table(schemas.FORECAST_ROW, {
+            "entity_id": key[0].as_py(), "ds": ds, "y": np.r_[y, np.full(horizon, np.nan)],
+            **predict_one(model, ds / 1e6)})
 
-    rows = history.select(F.col("entity_id").cast("string").alias("entity_id"), "ds", "y").filter(F.col("y").isNotNull())
-    out = rows.groupBy("entity_id").applyInPandas(one, schemas.FORECAST_ROW)
-    return out.withColumn("y", F.when(~F.isnan("y"), F.col("y")))
+    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.FORECAST_ROW)
 
 
 def changepoints(models: DataFrame) -> DataFrame:
@@ -210,32 +238,29 @@ def search(history: DataFrame, trials: Sequence[Spec], folds: int, horizon_hours
 
     All trials of a series run where the series lies; it is not copied per trial.
     """
-    names = schemas.TRIAL_ROW.fieldNames()
+    step = horizon_hours * 3600 * 1_000_000
+    params = [json.dumps(asdict(t)) for t in trials]
 
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds").reset_index(drop=True)
-        step = pd.Timedelta(hours=horizon_hours)
-        end = pdf["ds"].iloc[-1] + pd.Timedelta(hours=1)
-        parts = []
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        micros, y = _points(table)
+        end = micros[-1] + 3600 * 1_000_000
+        parts = [_table(schemas.TRIAL_ROW, {})]
         for number, spec in enumerate(trials):
             for fold in range(folds, 0, -1):
                 cut = end - fold * step
-                seen = pdf[pdf["ds"] < cut]
-                held = pdf[(pdf["ds"] >= cut) & (pdf["ds"] < cut + step)].reset_index(drop=True)
-                if held.empty:
+                seen, held = micros < cut, (micros >= cut) & (micros < cut + step)
+                if not held.any():
                     continue
-                meta = {"entity_id": key[0], "trial": number, "params": json.dumps(asdict(spec))}
+                row = {"entity_id": key[0].as_py(), "trial": number, "params": params[number]}
                 try:
-                    model = fit_one(seen["ds"], seen["y"].to_numpy(float), spec)
-                    parts.append(predict_one(model, held["ds"]).assign(y=held["y"], error=None, **meta))
+                    model = fit_one(micros[seen] / 1e6, y[seen], spec)
+                    row |= {"ds": micros[held], "y": y[held], **predict_one(model, micros[held] / 1e6)}
                 except Exception as e:
-                    parts.append(pd.DataFrame([{**meta, "error": f"{type(e).__name__}: {e}"}]))
-        if not parts:
-            return pd.DataFrame(columns=names)
-        return pd.concat(parts, ignore_index=True).reindex(columns=names)
+                    row |= {"error": [f"{type(e).__name__}: {e}"]}
+                parts.append(_table(schemas.TRIAL_ROW, row))
+        return pa.concat_tables(parts)
 
-    rows = history.select(F.col("entity_id").cast("string").alias("entity_id"), "ds", "y").filter(F.col("y").isNotNull())
-    return rows.groupBy("entity_id").applyInPandas(one, schemas.TRIAL_ROW)
+    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.TRIAL_ROW)
 
 
 def best_trials(results: DataFrame) -> DataFrame:
