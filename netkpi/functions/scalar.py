@@ -62,3 +62,13 @@ def split_bucket(key: Column, seed: int, buckets: int = 100) -> Column:
     """Bucket of an integer key by a multiplicative hash; the same on any layout and in any SQL engine."""
     mixed = F.pmod((F.pmod(key, F.lit(2147483647)) + seed) * F.lit(48271), F.lit(2147483647))
     return F.pmod(mixed, F.lit(buckets)).cast("int")
+
+
+def utc_instant(col: str) -> Column:
+    """Wall-clock time read as UTC, whatever the session zone; streams need an instant for watermarks."""
+    return F.expr(f"CAST(convert_timezone('UTC', current_timezone(), `{col}`) AS timestamp)")
+
+
+def utc_wallclock(col: str) -> Column:
+    """Inverse of utc_instant."""
+    return F.expr(f"convert_timezone(current_timezone(), 'UTC', CAST(`{col}` AS timestamp_ntz))")

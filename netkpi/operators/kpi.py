@@ -27,15 +27,22 @@ def procedure_measures() -> dict[str, Column]:
     return out | {"total_records": F.count(F.lit(1))}
 
 
+def windowed(df: DataFrame, ts: str, keys: Sequence[str], interval: str,
+             measures: Mapping[str, Column], offset: str | None = None) -> DataFrame:
+    """One row per non-empty (window, key), the window kept as struct so that a stream can be
+    windowed again. `offset` moves the origin of multi-day windows."""
+    win = F.window(F.col(ts), interval, startTime=offset) if offset else F.window(F.col(ts), interval)
+    return df.groupBy(win.alias("window"), *keys).agg(*[m.alias(name) for name, m in measures.items()])
+
+
+def started(df: DataFrame) -> DataFrame:
+    """Replace the window struct by its start."""
+    return df.select(F.col("window.start").alias("datetime"), *[c for c in df.columns if c != "window"])
+
+
 def tumbling_kpi(df: DataFrame, ts: str, keys: Sequence[str], interval: str,
                  measures: Mapping[str, Column], offset: str | None = None) -> DataFrame:
-    """One row per non-empty (window, key). `offset` moves the origin of multi-day windows."""
-    win = F.window(F.col(ts), interval, startTime=offset) if offset else F.window(F.col(ts), interval)
-    return (
-        df.groupBy(win.alias("window"), *keys)
-        .agg(*[m.alias(name) for name, m in measures.items()])
-        .select(F.col("window.start").alias("datetime"), *keys, *measures)
-    )
+    return started(windowed(df, ts, keys, interval, measures, offset))
 
 
 def rollup_kpi(kpi: DataFrame, interval: str, keys: Sequence[str], sums: Sequence[str],
