@@ -20,5 +20,5 @@ def flag_anomalies(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
         actuals.select("entity_id", "ds", F.col("y").alias("actual"))
         .join(fc, ["entity_id", "ds"])
         .withColumn("is_anomaly", outside_band(a, lo, hi))
-        .withColumn("anomaly_size", F.round(band_distance(a, lo, hi), 6))
+        .withColumn("anomaly_size", band_distance(a, lo, hi))
     )

@@ -89,11 +89,10 @@ def predicted(rows: DataFrame, grain: Grain, origin: str, z: float = Z95) -> Dat
     )
     half = F.col("sigma") * z
     return (
-        rows.withColumn("_p", point)
-        .withColumn("yhat", F.round("_p", 6))
-        .withColumn("yhat_lower", F.round(F.col("_p") - half, 6))
-        .withColumn("yhat_upper", F.round(F.col("_p") + half, 6))
-        .drop("_p", "intercept", "slope", "sigma", "effects", "n_obs", "fit_start", "fit_end")
+        rows.withColumn("yhat", point)
+        .withColumn("yhat_lower", F.col("yhat") - half)
+        .withColumn("yhat_upper", F.col("yhat") + half)
+        .drop("intercept", "slope", "sigma", "effects", "n_obs", "fit_start", "fit_end")
     )
 
 
@@ -178,7 +177,7 @@ def accuracy(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
     }
     return (
         pred.filter(y.isNotNull()).groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n_points"), *[F.round(m, 6).alias(name) for name, m in metrics.items()])
+        .agg(F.count(F.lit(1)).alias("n_points"), *[m.alias(name) for name, m in metrics.items()])
     )
 
 
@@ -187,4 +186,4 @@ METRICS = ("mse", "rmse", "mae", "mape", "mdape", "smape", "coverage")
 
 def validation_means(metrics: DataFrame) -> DataFrame:
     """One row: the mean of each metric over all series."""
-    return metrics.agg(*[F.round(F.avg(m), 6).alias(f"val_{m}") for m in METRICS])
+    return metrics.agg(*[F.avg(m).alias(f"val_{m}") for m in METRICS])

@@ -61,7 +61,7 @@ def procedure_kpi(procedures: DataFrame, interval: str = "1 minute") -> DataFram
 
 def with_rate(df: DataFrame, part: str, whole: str, name: str) -> DataFrame:
     ratio = F.col(part).cast("double") / F.nullif(F.col(whole), F.lit(0)).cast("double")
-    return df.withColumn(name, F.round(ratio, 6))
+    return df.withColumn(name, ratio)
 
 
 def period_totals(kpi: DataFrame, start: str, end: str) -> DataFrame:
@@ -92,8 +92,8 @@ def area_view(kpi: DataFrame, dim: DataFrame) -> DataFrame:
             F.grouping_id().alias("level"),
             F.count(F.lit(1)).alias("n_entities"),
             *[F.sum(c).alias(c) for c in EVENT_SUMS],
-            F.round(F.avg("lat"), 6).alias("center_lat"),
-            F.round(F.avg("lon"), 6).alias("center_lon"),
+            F.avg("lat").alias("center_lat"),
+            F.avg("lon").alias("center_lon"),
         )
     )
     return with_rate(area, "dropped", "total_records", "drop_rate")

@@ -57,6 +57,7 @@ def search_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], l
     Each fit and each evaluation is a Spark job; one number per setting comes back.
     """
     results, best, best_f1 = [], None, -1.0
+    train, validate = train.persist(), validate.persist()
     for settings in grid:
         model = fit_trees(train, validate, inputs, label, settings, seed)
         scored = score(model, validate, [F.col(label).alias("label")]).withColumn("split", F.lit("validate"))
@@ -65,6 +66,8 @@ def search_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], l
         results.append((dict(settings), f1))
         if f1 > best_f1:
             best, best_f1 = model, f1
+    train.unpersist()
+    validate.unpersist()
     return best, results
 
 
@@ -73,11 +76,13 @@ def tree_importance(spark: SparkSession, model: PipelineModel, inputs: Sequence[
     return spark.createDataFrame([(n, float(w)) for n, w in zip(inputs, weights)], "feature string, importance double")
 
 
-def permuted(df: DataFrame, column: str, key: str, seed: int, buckets: int = 64) -> DataFrame:
+def permuted(df: DataFrame, column: str, key: str, seed: int, buckets: int | None = None) -> DataFrame:
     """Give each row the value of the next row in a hash order of the keys: a repeatable shuffle.
 
-    Rows are spread over `buckets` hash buckets, so no task sees more than its share.
+    Rows are spread over hash buckets, by default four per shuffle partition, so no task sees
+    more than its share.
     """
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.xxhash64(F.col(key), F.lit(seed))
     ring = Window.partitionBy("_bucket").orderBy(order, key)
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -99,7 +104,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, inputs: Sequence
         parts = parts.unionByName(score(model, mixed, [F.col(label).alias("label")]).withColumn("feature", F.lit(name)))
     auc = binary_metrics(parts, ["feature"]).select("feature", "roc_auc")
     whole = auc.filter(F.col("feature") == "").select("roc_auc").scalar()
-    return auc.filter(F.col("feature") != "").select("feature", F.round(whole - F.col("roc_auc"), 6).alias("importance"))
+    return auc.filter(F.col("feature") != "").select("feature", (whole - F.col("roc_auc")).alias("importance"))
 
 
 def fit_elastic_net(train: DataFrame, inputs: Sequence[str], label: str, alpha: float = 0.05,

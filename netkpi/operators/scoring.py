@@ -12,7 +12,7 @@ def slice_accuracy(scored: DataFrame, slices: Sequence[str]) -> DataFrame:
     right = F.count_if(F.col("prediction") == F.col("label"))
     return scored.groupBy(*slices).agg(
         right.alias("n_right"), F.count(F.lit(1)).alias("n_seen"),
-        F.round(right / F.count(F.lit(1)), 6).alias("accuracy"))
+        (right / F.count(F.lit(1))).alias("accuracy"))
 
 
 def confusion(scored: DataFrame, classes: Sequence[int] = (0, 1)) -> DataFrame:
@@ -44,14 +44,16 @@ def _share(a, b):
 
 def roc_points(scored: DataFrame, by: Sequence[str]) -> DataFrame:
     return _cumulated(scored, by).select(
-        *by, "score", F.round(_share("tp", "pos_total"), 6).alias("tpr"),
-        F.round(_share("fp", "neg_total"), 6).alias("fpr"))
+        *by, "score", _share("tp", "pos_total").alias("tpr"), _share("fp", "neg_total").alias("fpr"))
 
 
 def pr_points(scored: DataFrame, by: Sequence[str]) -> DataFrame:
     return _cumulated(scored, by).select(
-        *by, "score", F.round(_share("tp", "pos_total"), 6).alias("recall"),
-        F.round(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)), 6).alias("precision"))
+        *by, "score", _share("tp", "pos_total").alias("recall"),
+        (F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))).alias("precision"))
+
+
+METRICS = ("accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "pr_auc")
 
 
 def binary_metrics(scored: DataFrame, by: Sequence[str], threshold: float = 0.5) -> DataFrame:
@@ -78,7 +80,7 @@ def binary_metrics(scored: DataFrame, by: Sequence[str], threshold: float = 0.5)
         "roc_auc": F.col("pairs") / safe(pos * neg), "pr_auc": F.col("steps") / safe(pos),
     }
     return sums.select(*by, (F.col("p_n") + F.col("n_n")).alias("n_rows"),
-                       *[F.round(m, 6).alias(n) for n, m in metrics.items()])
+                       *[m.alias(n) for n, m in metrics.items()])
 
 
 def schema_problems(df: DataFrame, contract: T.StructType) -> list[str]:

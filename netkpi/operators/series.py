@@ -70,14 +70,14 @@ def season_profile(series: DataFrame, part: Column, name: str) -> DataFrame:
     cells = series.groupBy("entity_id", part.alias(name)).agg(F.sum("y").alias("s"), F.count("y").alias("n"))
     level = cells.groupBy("entity_id").agg((F.sum("s") / F.sum("n")).alias("level"))
     return cells.join(level, "entity_id").select(
-        "entity_id", name, F.round(F.col("s") / F.col("n") / F.nullif(F.col("level"), F.lit(0.0)), 6).alias("relative_level"))
+        "entity_id", name, (F.col("s") / F.col("n") / F.nullif(F.col("level"), F.lit(0.0))).alias("relative_level"))
 
 
 def weekend_share(series: DataFrame) -> DataFrame:
     total = F.sum("y")
     weekend = F.sum(F.when(F.dayofweek("ds").isin(1, 7), F.col("y")).otherwise(0.0))
     return series.groupBy("entity_id").agg(
-        F.round(weekend / F.nullif(total, F.lit(0.0)), 6).alias("weekend_share"))
+        (weekend / F.nullif(total, F.lit(0.0))).alias("weekend_share"))
 
 
 def missing_models(ids: DataFrame, models: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from netkpi.functions.scalar import split_bucket
 from netkpi.operators import features, models
 from netkpi.plans import oracle_parts as o
-from netkpi.plans.registry import register
+from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, tables
 
 SHARES = {"train": 60, "validate": 20, "test": 20}
@@ -46,7 +46,7 @@ SELECT doc_id, split, round(coalesce(chars, (SELECT avg(chars) FROM n WHERE spli
 def impute_mean(spark, sf_dir):
     rows = split_rows(spark, sf_dir).select(
         "doc_id", "split", F.when(F.col("toxic") == 0, F.col("n_chars").cast("double")).alias("chars"))
-    return features.impute_mean(_train(rows), rows, ["chars"]).withColumn("chars", F.round("chars", 6))
+    return rounded(features.impute_mean(_train(rows), rows, ["chars"]), "chars")
 
 
 @register("standardise", "B23", o.with_(_SPLIT) + """
@@ -54,7 +54,7 @@ SELECT doc_id, round((n_chars - (SELECT avg(n_chars) FROM rows WHERE split = 'tr
   / coalesce(nullif((SELECT stddev_pop(n_chars) FROM rows WHERE split = 'train'), 0), 1), 6) AS n_chars FROM rows""")
 def standardise(spark, sf_dir):
     rows = split_rows(spark, sf_dir).select("doc_id", "split", "n_chars")
-    return features.standardise(_train(rows), rows, ["n_chars"]).select("doc_id", F.round("n_chars", 6).alias("n_chars"))
+    return rounded(features.standardise(_train(rows), rows, ["n_chars"]).select("doc_id", "n_chars"), "n_chars")
 
 
 @register("model_inputs", "B25", o.with_(o.LABELLED) + "SELECT lang, n_chars, doc_id FROM labelled")

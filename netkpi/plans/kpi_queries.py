@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from netkpi.operators import enrich, kpi, ordering, quality
 from netkpi.plans import oracle_parts as o
-from netkpi.plans.registry import register
+from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters
 
 _KPI_COLS = "k.datetime, k.entity_id, answered, dropped, missed, call, text, total_records, city, county, state, lon, lat"
@@ -68,9 +68,7 @@ SELECT k.datetime, k.entity_id, round(a11, 6) AS avg_release_bearer, max_release
 FROM k JOIN entity_dim USING (entity_id)""")
 def kpi_procedure_minute(spark, sf_dir):
     rows = kpi.procedure_kpi(adapters.procedure_records(spark, sf_dir))
-    for stem in kpi.PROCEDURE_CODES.values():
-        rows = rows.withColumn(f"avg_{stem}", F.round(f"avg_{stem}", 6))
-    return _described(spark, sf_dir, rows)
+    return _described(spark, sf_dir, rounded(rows, *[f"avg_{stem}" for stem in kpi.PROCEDURE_CODES.values()]))
 
 
 @register("kpi_hour", "D4 D3", o.with_(o.EVENT, o.DIM, o.MINUTE, o.HOUR) + f"""
@@ -129,7 +127,7 @@ def table_row_counts(spark, sf_dir):
 SELECT {o.SUMS}, round(sum(dropped)::DOUBLE / nullif(sum(total_records), 0)::DOUBLE, 6) AS drop_rate
 FROM day_kpi WHERE datetime >= TIMESTAMP '2024-01-08' AND datetime < TIMESTAMP '2024-01-22'""")
 def dashboard_totals(spark, sf_dir):
-    return kpi.period_totals(_level(spark, sf_dir, "1 day"), "2024-01-08", "2024-01-22")
+    return rounded(kpi.period_totals(_level(spark, sf_dir, "1 day"), "2024-01-08", "2024-01-22"), "drop_rate")
 
 
 @register("dashboard_areas", "D18", o.with_(o.EVENT, o.DIM, o.MINUTE, o.DAY) + f"""
@@ -139,17 +137,18 @@ SELECT state, county, city, grouping_id(state, county, city)::BIGINT AS level, c
   round(sum(dropped)::DOUBLE / nullif(sum(total_records), 0)::DOUBLE, 6) AS drop_rate
 FROM per_entity JOIN entity_dim USING (entity_id) GROUP BY ROLLUP (state, county, city)""")
 def dashboard_areas(spark, sf_dir):
-    return kpi.area_view(_level(spark, sf_dir, "1 day"), adapters.entity_dimension(spark, sf_dir))
+    view = kpi.area_view(_level(spark, sf_dir, "1 day"), adapters.entity_dimension(spark, sf_dir))
+    return rounded(view, "center_lat", "center_lon", "drop_rate")
 
 
 @register("dashboard_entity_rank", "D19", o.with_(o.EVENT, o.DIM, o.MINUTE) + f"""
 , per_entity AS (SELECT entity_id, {o.SUMS},
-    round(sum(dropped)::DOUBLE / nullif(sum(total_records), 0)::DOUBLE, 6) AS drop_rate
+    sum(dropped)::DOUBLE / nullif(sum(total_records), 0)::DOUBLE AS drop_rate
   FROM minute_kpi GROUP BY 1)
-SELECT entity_id, answered, dropped, missed, call, text, total_records, drop_rate, state, county, city,
+SELECT entity_id, answered, dropped, missed, call, text, total_records, round(drop_rate, 6) AS drop_rate, state, county, city,
   rank() OVER (PARTITION BY state ORDER BY drop_rate DESC) AS area_rank
 FROM per_entity JOIN entity_dim USING (entity_id)""")
 def dashboard_entity_rank(spark, sf_dir):
     detail = kpi.entity_totals(_minute(spark, sf_dir)).join(
         adapters.entity_dimension(spark, sf_dir).drop("lon", "lat"), "entity_id")
-    return ordering.rank_within(detail, ["state"], "drop_rate", "area_rank")
+    return rounded(ordering.rank_within(detail, ["state"], "drop_rate", "area_rank"), "drop_rate")

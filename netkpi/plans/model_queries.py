@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 from netkpi.operators import features, models, scoring
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.feature_queries import _SPLIT, split_rows
-from netkpi.plans.registry import register
+from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, tables
 
 _SPLIT_SCORED = f"""{_SPLIT}, scored AS (
@@ -33,7 +33,7 @@ SELECT split, n_rows, round(ok / n_rows, 6) AS accuracy, round(tp / nullif(tp +
   round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc
 FROM c JOIN pairs USING (split) JOIN pr USING (split)""")
 def binary_metrics(spark, sf_dir):
-    return scoring.binary_metrics(_scored(spark, sf_dir), ["split"])
+    return rounded(scoring.binary_metrics(_scored(spark, sf_dir), ["split"]), *scoring.METRICS)
 
 
 @register("confusion_table", "G7", o.with_(o.SCORED) + """
@@ -53,14 +53,14 @@ tot AS (SELECT split, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (W
 @register("roc_points", "G8", o.with_(_SPLIT_SCORED) + _AT + """
 SELECT split, score, round(tp::DOUBLE / nullif(p, 0), 6) AS tpr, round(fp::DOUBLE / nullif(n, 0), 6) AS fpr FROM cut JOIN tot USING (split)""")
 def roc_points(spark, sf_dir):
-    return scoring.roc_points(_scored(spark, sf_dir), ["split"])
+    return rounded(scoring.roc_points(_scored(spark, sf_dir), ["split"]), "tpr", "fpr")
 
 
 @register("precision_recall_points", "G8", o.with_(_SPLIT_SCORED) + _AT + """
 SELECT split, score, round(tp::DOUBLE / nullif(p, 0), 6) AS recall, round(tp::DOUBLE / nullif(tp + fp, 0), 6) AS precision
 FROM cut JOIN tot USING (split)""")
 def precision_recall_points(spark, sf_dir):
-    return scoring.pr_points(_scored(spark, sf_dir), ["split"])
+    return rounded(scoring.pr_points(_scored(spark, sf_dir), ["split"]), "recall", "precision")
 
 
 _CONTRACT = T.StructType([
@@ -68,11 +68,12 @@ _CONTRACT = T.StructType([
 
 
 @register("validation_gate", "G12 D14", o.with_(o.SCORED) + """
-, slices AS (SELECT lang, toxic, round(count(*) FILTER (WHERE prediction = label) / count(*)::DOUBLE, 6) AS acc FROM scored GROUP BY 1, 2)
-SELECT 1 AS schema_ok, '' AS problems, count(*) AS n_slices, min(acc) AS worst_accuracy, bool_and(acc > 0.55)::INTEGER AS slices_ok,
+, slices AS (SELECT lang, toxic, count(*) FILTER (WHERE prediction = label) / count(*)::DOUBLE AS acc FROM scored GROUP BY 1, 2)
+SELECT 1 AS schema_ok, '' AS problems, count(*) AS n_slices, round(min(acc), 6) AS worst_accuracy, bool_and(acc > 0.55)::INTEGER AS slices_ok,
   CASE WHEN bool_and(acc > 0.55) THEN 'pass' ELSE 'fail' END AS verdict FROM slices""")
 def validation_gate(spark, sf_dir):
-    return scoring.validation_gate(adapters.scored_rows(spark, sf_dir), _CONTRACT, ["LANG", "toxic"])
+    gate = scoring.validation_gate(adapters.scored_rows(spark, sf_dir), _CONTRACT, ["LANG", "toxic"])
+    return rounded(gate, "worst_accuracy")
 
 
 def _inputs(spark, sf_dir):

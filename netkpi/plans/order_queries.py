@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from netkpi.functions import scalar
 from netkpi.operators import ledger, ordering, profile, scoring
 from netkpi.plans import oracle_parts as o
-from netkpi.plans.registry import register
+from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, tables
 
 
@@ -115,7 +115,7 @@ SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL
   round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75 FROM orders""" for c in _NUM))
 def profile_numeric(spark, sf_dir):
     out = profile.numeric_profile(adapters.load(spark, sf_dir, "orders"), _NUM)
-    return out.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "median", "q75")})
+    return rounded(out, "mean", "std", "q25", "median", "q75", places=4)
 
 
 _TEXT = ("o_orderstatus", "o_orderpriority")
@@ -145,7 +145,7 @@ def profile_quick(spark, sf_dir):
 SELECT lang, toxic, count(*) FILTER (WHERE prediction = label) AS n_right, count(*) AS n_seen,
   round(count(*) FILTER (WHERE prediction = label) / count(*)::DOUBLE, 6) AS accuracy FROM scored GROUP BY 1, 2""")
 def slice_accuracy(spark, sf_dir):
-    return scoring.slice_accuracy(adapters.scored_rows(spark, sf_dir), ["lang", "toxic"])
+    return rounded(scoring.slice_accuracy(adapters.scored_rows(spark, sf_dir), ["lang", "toxic"]), "accuracy")
 
 
 @register("band_checks", "B26 B27", """

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -12,6 +12,11 @@ ORACLES: dict[str, str] = {}
 COVERS: dict[str, tuple[str, ...]] = {}
 
 
+def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """Ratios and fits rounded for comparison with another engine; the operators themselves never round."""
+    return df.withColumns({c: F.round(c, places) for c in columns})
+
+
 def register(name: str, covers: str, sql: str | None = None):
     """Register the decorated query; `covers` lists inventory ids separated by blanks."""
     def keep(fn: Query) -> Query:

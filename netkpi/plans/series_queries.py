@@ -4,13 +4,15 @@ from pyspark.sql import functions as F
 from netkpi.functions import scalar
 from netkpi.operators import anomaly, curvefit, enrich, forecast as fc, kpi, series as ts
 from netkpi.plans import oracle_parts as o
-from netkpi.plans.registry import register
+from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, files, tables
 
 START, END = "2024-01-01", "2024-01-15"
 ORDER_START = "1995-01-01"
 
-_BAND = "round(p, 6) AS yhat, round(p - 1.959963984540054 * sigma, 6) AS yhat_lower, round(p + 1.959963984540054 * sigma, 6) AS yhat_upper"
+_BAND = "p AS yhat, p - 1.959963984540054 * sigma AS yhat_lower, p + 1.959963984540054 * sigma AS yhat_upper"
+_FORECAST_OUT = "round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower, round(yhat_upper, 6) AS yhat_upper"
+_BAND_COLS = ("yhat", "yhat_lower", "yhat_upper")
 
 
 def _fit_sql(history: str, slot: str, seconds: int, origin: str, keys: str = "entity_id", tag: str = "") -> str:
@@ -112,17 +114,17 @@ def grid_with_history(spark, sf_dir):
     return ts.attach_history(ts.future_grid(hist, 168, "HOUR", include_history=True), hist)
 
 
-@register("forecast_hourly", "F3", o.with_(*_FORECAST) + "SELECT * FROM forecast")
+@register("forecast_hourly", "F3", o.with_(*_FORECAST) + f"SELECT entity_id, ds, y, {_FORECAST_OUT} FROM forecast")
 def forecast_hourly(spark, sf_dir):
-    return fc.forecast(_history(spark, sf_dir), 168, fc.HOURLY, START)
+    return rounded(fc.forecast(_history(spark, sf_dir), 168, fc.HOURLY, START), *_BAND_COLS)
 
 
 @register("forecast_hourly_by_entity", "F3 F1", o.with_(
     f"""history AS (SELECT user_id AS entity_id, date_trunc('hour', ts) AS ds, count(*)::DOUBLE AS y FROM events
   WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{END}' GROUP BY 1, 2)""",
-    _HOUR_FIT, _AHEAD, _PREDICT) + "SELECT * FROM forecast")
+    _HOUR_FIT, _AHEAD, _PREDICT) + f"SELECT entity_id, ds, y, {_FORECAST_OUT} FROM forecast")
 def forecast_hourly_by_entity(spark, sf_dir):
-    return fc.forecast(_user_history(spark, sf_dir), 168, fc.HOURLY, START)
+    return rounded(fc.forecast(_user_history(spark, sf_dir), 168, fc.HOURLY, START), *_BAND_COLS)
 
 
 @register("forecast_daily", "F4", o.with_(
@@ -130,13 +132,13 @@ def forecast_hourly_by_entity(spark, sf_dir):
     _fit_sql("history", "dayofweek(ds)", 86400, ORDER_START),
     """ahead AS (SELECT entity_id, unnest(generate_series(fit_end + INTERVAL 1 DAY, fit_end + INTERVAL 90 DAY, INTERVAL 1 DAY)) AS ds,
   NULL::DOUBLE AS y FROM line)""") + f"""
-SELECT entity_id, ds, y, {_BAND} FROM (
+SELECT entity_id, ds, y, {_FORECAST_OUT} FROM (SELECT *, {_BAND} FROM (
   SELECT f.*, sigma, a + b * epoch(ds - TIMESTAMP '{ORDER_START}') / 86400.0 + coalesce(e, 0) AS p
   FROM (SELECT *, dayofweek(ds) AS slot FROM (SELECT * FROM history UNION ALL SELECT * FROM ahead)) f
-  JOIN line USING (entity_id) JOIN spread USING (entity_id) LEFT JOIN effect USING (entity_id, slot))""")
+  JOIN line USING (entity_id) JOIN spread USING (entity_id) LEFT JOIN effect USING (entity_id, slot)))""")
 def forecast_daily(spark, sf_dir):
     days = ts.count_series(adapters.load(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "1 day")
-    return fc.forecast(days, 90, fc.DAILY, ORDER_START)
+    return rounded(fc.forecast(days, 90, fc.DAILY, ORDER_START), *_BAND_COLS)
 
 
 @register("season_by_weekday", "F5", o.with_(o.SERIES) + """
@@ -144,7 +146,7 @@ SELECT entity_id, weekday, round(m / level, 6) AS relative_level FROM (
   SELECT entity_id, dayofweek(ds) + 1 AS weekday, avg(y) AS m FROM history GROUP BY 1, 2)
 JOIN (SELECT entity_id, avg(y) AS level FROM history GROUP BY 1) USING (entity_id)""")
 def season_by_weekday(spark, sf_dir):
-    return ts.season_profile(_history(spark, sf_dir), F.dayofweek("ds"), "weekday")
+    return rounded(ts.season_profile(_history(spark, sf_dir), F.dayofweek("ds"), "weekday"), "relative_level")
 
 
 @register("season_by_hour", "F5", o.with_(o.SERIES) + """
@@ -152,7 +154,7 @@ SELECT entity_id, hour, round(m / level, 6) AS relative_level FROM (
   SELECT entity_id, hour(ds) AS hour, avg(y) AS m FROM history GROUP BY 1, 2)
 JOIN (SELECT entity_id, avg(y) AS level FROM history GROUP BY 1) USING (entity_id)""")
 def season_by_hour(spark, sf_dir):
-    return ts.season_profile(_history(spark, sf_dir), F.hour("ds"), "hour")
+    return rounded(ts.season_profile(_history(spark, sf_dir), F.hour("ds"), "hour"), "relative_level")
 
 
 @register("weekend_share", "F5", """
@@ -160,27 +162,32 @@ SELECT user_id AS entity_id, round(count(*) FILTER (WHERE dayofweek(ts) IN (0, 6
 FROM events GROUP BY 1""")
 def weekend_share(spark, sf_dir):
     days = ts.count_series(adapters.load(spark, sf_dir, "events"), "user_id", "ts", "1 day")
-    return ts.weekend_share(days)
+    return rounded(ts.weekend_share(days), "weekend_share")
 
 
-_ACC = """count(*) AS n_points, round(avg((y - yhat) ** 2), 6) AS mse, round(sqrt(avg((y - yhat) ** 2)), 6) AS rmse,
-  round(avg(abs(y - yhat)), 6) AS mae, round(avg(abs(y - yhat) / abs(y)) FILTER (WHERE abs(y) > 1e-9), 6) AS mape,
-  round(quantile_cont(abs(y - yhat) / abs(y), 0.5) FILTER (WHERE abs(y) > 1e-9), 6) AS mdape,
-  round(avg(CASE WHEN abs(y) + abs(yhat) = 0 THEN 0 ELSE 2 * abs(y - yhat) / (abs(y) + abs(yhat)) END), 6) AS smape,
-  round(avg((y BETWEEN yhat_lower AND yhat_upper)::INT), 6) AS coverage"""
+_ACC = """count(*) AS n_points, avg((y - yhat) ** 2) AS mse, sqrt(avg((y - yhat) ** 2)) AS rmse, avg(abs(y - yhat)) AS mae,
+  avg(abs(y - yhat) / abs(y)) FILTER (WHERE abs(y) > 1e-9) AS mape,
+  quantile_cont(abs(y - yhat) / abs(y), 0.5) FILTER (WHERE abs(y) > 1e-9) AS mdape,
+  avg(CASE WHEN abs(y) + abs(yhat) = 0 THEN 0 ELSE 2 * abs(y - yhat) / (abs(y) + abs(yhat)) END) AS smape,
+  avg((y BETWEEN yhat_lower AND yhat_upper)::INT) AS coverage"""
+_ACC_OUT = "n_points, " + ", ".join(f"round({m}, 6) AS {m}" for m in fc.METRICS)
+
+
+def _accuracy(spark, sf_dir):
+    return fc.accuracy(fc.forecast(_history(spark, sf_dir), 168, fc.HOURLY, START), ["entity_id"])
 
 
 @register("forecast_accuracy", "F6", o.with_(*_FORECAST) + f"""
-SELECT entity_id, {_ACC} FROM forecast WHERE y IS NOT NULL GROUP BY 1""")
+SELECT entity_id, {_ACC_OUT} FROM (SELECT entity_id, {_ACC} FROM forecast WHERE y IS NOT NULL GROUP BY 1)""")
 def forecast_accuracy(spark, sf_dir):
-    return fc.accuracy(fc.forecast(_history(spark, sf_dir), 168, fc.HOURLY, START), ["entity_id"])
+    return rounded(_accuracy(spark, sf_dir), *fc.METRICS)
 
 
 @register("forecast_accuracy_means", "D11", o.with_(*_FORECAST) + f"""
 SELECT {', '.join(f'round(avg({m}), 6) AS val_{m}' for m in fc.METRICS)} FROM (
   SELECT entity_id, {_ACC} FROM forecast WHERE y IS NOT NULL GROUP BY 1)""")
 def forecast_accuracy_means(spark, sf_dir):
-    return fc.validation_means(forecast_accuracy(spark, sf_dir))
+    return rounded(fc.validation_means(_accuracy(spark, sf_dir)), *[f"val_{m}" for m in fc.METRICS])
 
 
 _FOLDS = """folds AS (SELECT i AS fold, TIMESTAMP '2024-01-15' - INTERVAL 1 HOUR * (6 - i) * 48 AS cutoff FROM range(1, 6) t(i)),
@@ -193,21 +200,21 @@ held AS (SELECT entity_id, fold, ds, y FROM history JOIN folds ON ds >= cutoff A
 , pred AS (SELECT entity_id, fold, y, {_BAND} FROM (
     SELECT h.*, sigma, {_POINT} AS p FROM (SELECT *, {_HOUR_SLOT} AS slot FROM held) h
     JOIN line_f USING (entity_id, fold) JOIN spread_f USING (entity_id, fold) LEFT JOIN effect_f USING (entity_id, fold, slot)))
-SELECT entity_id, fold, {_ACC} FROM pred GROUP BY 1, 2""")
+SELECT entity_id, fold, {_ACC_OUT} FROM (SELECT entity_id, fold, {_ACC} FROM pred GROUP BY 1, 2)""")
 def forecast_rolling_origin(spark, sf_dir):
     pred = fc.rolling_origin(_history(spark, sf_dir), END, 5, 48, fc.HOURLY, START)
-    return fc.accuracy(pred, ["entity_id", "fold"]).withColumn("fold", F.col("fold").cast("long"))
+    return rounded(fc.accuracy(pred, ["entity_id", "fold"]), *fc.METRICS).withColumn("fold", F.col("fold").cast("long"))
 
 
 @register("model_table_predict", "F10 G10", o.with_(o.SERIES, _HOUR_FIT, _AHEAD) + f"""
-SELECT entity_id, ds, {_BAND} FROM (
+SELECT entity_id, ds, {_FORECAST_OUT} FROM (SELECT *, {_BAND} FROM (
   SELECT f.entity_id, ds, sigma, {_POINT} AS p FROM (SELECT *, {_HOUR_SLOT} AS slot FROM ahead) f
-  JOIN line USING (entity_id) JOIN spread USING (entity_id) LEFT JOIN effect USING (entity_id, slot))""")
+  JOIN line USING (entity_id) JOIN spread USING (entity_id) LEFT JOIN effect USING (entity_id, slot)))""")
 def model_table_predict(spark, sf_dir):
     """Fit once, write the models as JSON, read them back and predict without refitting."""
     fitted = fc.model_table(fc.fit(_history(spark, sf_dir), fc.HOURLY, START), fc.Z95, START)
     stored = tables.materialize(fitted, "season-models")
-    return fc.predict_ahead(fc.load_models(stored), 168, fc.HOURLY, START)
+    return rounded(fc.predict_ahead(fc.load_models(stored), 168, fc.HOURLY, START), *_BAND_COLS)
 
 
 @register("model_table", "F10", o.with_(o.SERIES, _HOUR_FIT) + """
@@ -245,36 +252,38 @@ _TWO = (
 )
 
 
-@register("forecast_history", "F11 A9", o.with_(*_TWO) + """
-SELECT entity_id, trained_at, ds, y, yhat, yhat_lower, yhat_upper FROM forecast""")
+@register("forecast_history", "F11 A9", o.with_(*_TWO) + f"""
+SELECT entity_id, trained_at, ds, y, {_FORECAST_OUT} FROM forecast""")
 def forecast_history(spark, sf_dir):
-    return _stamped(spark, sf_dir)
+    return rounded(_stamped(spark, sf_dir), *_BAND_COLS)
 
 
-@register("latest_forecast", "C5 F11", o.with_(*_TWO) + """
-SELECT entity_id, trained_at, ds, y, yhat, yhat_lower, yhat_upper FROM forecast
+@register("latest_forecast", "C5 F11", o.with_(*_TWO) + f"""
+SELECT entity_id, trained_at, ds, y, {_FORECAST_OUT} FROM forecast
 WHERE trained_at = (SELECT max(trained_at) FROM forecast)""")
 def latest_forecast(spark, sf_dir):
-    return anomaly.latest_training(_stamped(spark, sf_dir))
+    return rounded(anomaly.latest_training(_stamped(spark, sf_dir)), *_BAND_COLS)
 
 
-@register("anomalies", "F12 C3 B26 B27", o.with_(*_TWO) + """
-SELECT s.entity_id, s.ds, s.y AS actual, yhat, yhat_lower, yhat_upper, trained_at,
+@register("anomalies", "F12 C3 B26 B27", o.with_(*_TWO) + f"""
+SELECT s.entity_id, s.ds, s.y AS actual, {_FORECAST_OUT}, trained_at,
   CASE WHEN s.y < yhat_lower OR s.y > yhat_upper THEN 1 ELSE 0 END AS is_anomaly,
   round(CASE WHEN s.y < yhat_lower THEN yhat_lower - s.y WHEN s.y > yhat_upper THEN s.y - yhat_upper END, 6) AS anomaly_size
 FROM series s JOIN forecast f ON s.entity_id = f.entity_id AND s.ds = f.ds
 WHERE trained_at = (SELECT max(trained_at) FROM forecast)""")
 def anomalies(spark, sf_dir):
-    return anomaly.flag_anomalies(_series(spark, sf_dir), anomaly.latest_training(_stamped(spark, sf_dir)))
+    flagged = anomaly.flag_anomalies(_series(spark, sf_dir), anomaly.latest_training(_stamped(spark, sf_dir)))
+    return rounded(flagged, *_BAND_COLS, "anomaly_size")
 
 
 @register("actuals_with_forecast", "C3", o.with_(*_TWO) + """
-SELECT s.entity_id, s.y AS actual, yhat FROM series s JOIN forecast f ON s.entity_id = f.entity_id AND s.ds = f.ds
+SELECT s.entity_id, s.y AS actual, round(yhat, 6) AS yhat FROM series s JOIN forecast f ON s.entity_id = f.entity_id AND s.ds = f.ds
 WHERE s.ds = TIMESTAMP '2024-01-15' AND trained_at = TIMESTAMP '2024-01-15'""")
 def actuals_with_forecast(spark, sf_dir):
     slot = F.col("ds") == F.lit("2024-01-15").cast("timestamp_ntz")
     fcs = anomaly.latest_training(_stamped(spark, sf_dir)).filter(slot).select("entity_id", "yhat")
-    return _series(spark, sf_dir).filter(slot).select("entity_id", F.col("y").alias("actual")).join(fcs, "entity_id")
+    actual = _series(spark, sf_dir).filter(slot).select("entity_id", F.col("y").alias("actual"))
+    return rounded(actual.join(fcs, "entity_id"), "yhat")
 
 
 @register("series_without_model", "C6", """
@@ -303,7 +312,7 @@ _HOLIDAYS = [("2024-01-01", "New Year's Day"), ("2024-01-15", "Martin Luther Kin
 SELECT entity_id, ds, y, CASE ds::DATE WHEN DATE '2024-01-01' THEN 'New Year''s Day' WHEN DATE '2024-01-15' THEN 'Martin Luther King Jr. Day' END AS holiday,
   CASE WHEN ds::DATE IN (DATE '2024-01-01', DATE '2024-01-15') THEN 1 ELSE 0 END AS is_holiday FROM series""")
 def series_with_holidays(spark, sf_dir):
-    calendar = files.literal_rows(spark, _HOLIDAYS, "day string, holiday string").withColumn("day", F.col("day").cast("date"))
+    calendar = files.literal_rows(spark, _HOLIDAYS, "day string, holiday string").withColumn("day", F.to_date("day"))
     return enrich.attach_calendar(_series(spark, sf_dir), calendar)
 
 

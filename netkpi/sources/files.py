@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from netkpi.functions.names import raw_name, rename_all
@@ -33,5 +34,10 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Small hand-written frame, such as a list of entities to look at."""
-    return spark.createDataFrame(list(rows), schema)
+    """Small hand-written frame, such as a list of entities to look at.
+
+    Handed over as an Arrow table, so Spark knows its size when it plans a join.
+    """
+    shape = T.StructType.fromDDL(schema)
+    columns = {name: list(values) for name, values in zip(shape.fieldNames(), zip(*rows))}
+    return spark.createDataFrame(pa.table(columns)).to(shape)
