@@ -52,10 +52,15 @@ def stamp_in_path(path: Column) -> Column:
     return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
 
 
+def elapsed_seconds(ts: Column, origin: str) -> Column:
+    """Seconds from `origin` to a wall-clock time; no session zone and no clock change is involved."""
+    gap = ts - F.lit(origin).cast("timestamp_ntz")
+    return gap.cast("interval second").cast("decimal(18,6)").cast("double")
+
+
 def age_in_days(stamp: Column, as_of: str) -> Column:
     """Whole elapsed days of 24 hours."""
-    gap = F.timestamp_diff("SECOND", stamp, F.lit(as_of).cast("timestamp_ntz"))
-    return F.floor(gap / 86400).cast("long")
+    return F.floor(-elapsed_seconds(stamp, as_of) / 86400).cast("long")
 
 
 def split_bucket(key: Column, seed: int, buckets: int = 100) -> Column:

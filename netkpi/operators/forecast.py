@@ -1,16 +1,16 @@
 """Seasonal-trend forecasts in plain aggregates: one bounded model row per series.
 
 The model of a series is y = intercept + slope * x + effect[slot]: a least-squares line over time
-plus the mean residual of each calendar slot (168 hours of the week, or 7 days of it). Everything
-is derived from per-slot moments, which Spark combines in the map tasks.
+plus the mean residual of each calendar slot (168 hours of the week, or 7 days of it).
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from netkpi.functions.scalar import elapsed_seconds
 from netkpi.operators.series import steps_after
 
 Z95 = 1.959963984540054
@@ -29,55 +29,39 @@ class Grain:
         return day * 24 + F.hour(ds) if self.slots == 168 else day
 
     def elapsed(self, ds: Column, origin: str) -> Column:
-        return F.timestamp_diff("SECOND", F.lit(origin).cast("timestamp_ntz"), ds) / F.lit(float(self.seconds))
+        return elapsed_seconds(ds, origin) / F.lit(float(self.seconds))
 
 
 HOURLY = Grain("HOUR", 3600, 168)
 DAILY = Grain("DAY", 86400, 7)
 
-MODEL_JSON = "intercept DOUBLE, slope DOUBLE, sigma DOUBLE, effects ARRAY<DOUBLE>"
+MODEL_JSON = "intercept DOUBLE, slope DOUBLE, sigma DOUBLE, effects MAP<STRING, DOUBLE>"
 
 
 def fit(history: DataFrame, grain: Grain, origin: str, keys: Sequence[str] = ("entity_id",)) -> DataFrame:
-    """One row per series: n_obs, fit_start, fit_end, intercept, slope, sigma, effects (dense by slot).
+    """One row per series: n_obs, fit_start, fit_end, intercept, slope, sigma, effects by slot.
 
-    At most `grain.slots` cells of a series meet in one row, however long its history.
+    Give `history` laid out by entity and nothing below shuffles again. A window group is one
+    series on its time grid; a model row holds at most `grain.slots` effects.
     """
-    x, keys = grain.elapsed(F.col("ds"), origin), list(keys)
-    cells = (
-        history.withColumn("x", x)
-        .groupBy(*keys, grain.slot(F.col("ds")).alias("slot"))
-        .agg(F.count("y").cast("double").alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
-             F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.covar_pop("x", "y").alias("cxy"),
-             F.min("ds").alias("lo"), F.max("ds").alias("hi"))
-    )
-    per_series = cells.groupBy(*keys).agg(
-        F.sum("n").alias("n_obs"), F.min("lo").alias("fit_start"), F.max("hi").alias("fit_end"),
-        (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("mean_x"),
-        (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("mean_y"),
-        F.array_sort(F.collect_list(F.struct("slot", "n", "mx", "my", "vx", "vy", "cxy"))).alias("cells"),
-    )
-
-    def total(term):
-        return F.aggregate("cells", F.lit(0.0), lambda acc, c: acc + c["n"] * term(c))
-
-    sxx = total(lambda c: c["vx"] + (c["mx"] - F.col("mean_x")) * (c["mx"] - F.col("mean_x")))
-    sxy = total(lambda c: c["cxy"] + (c["mx"] - F.col("mean_x")) * (c["my"] - F.col("mean_y")))
-    line = per_series.withColumn("slope", F.coalesce(sxy / F.nullif(sxx, F.lit(0.0)), F.lit(0.0)))
-    line = line.withColumn("intercept", F.col("mean_y") - F.col("slope") * F.col("mean_x"))
-    b = F.col("slope")
-    sse = total(lambda c: c["vy"] - 2 * b * c["cxy"] + b * b * c["vx"])
-    effect = F.map_from_entries(F.transform(
-        "cells", lambda c: F.struct(c["slot"], c["my"] - F.col("intercept") - b * c["mx"])))
-    return (
-        line.withColumn("sigma", F.sqrt(F.greatest(sse, F.lit(0.0)) / F.col("n_obs")))
-        .withColumn("by_slot", effect)
-        .withColumn("effects", F.transform(
-            F.sequence(F.lit(0), F.lit(grain.slots - 1)),
-            lambda s: F.coalesce(F.try_element_at("by_slot", s), F.lit(0.0))))
-        .select(*keys, F.col("n_obs").cast("long").alias("n_obs"), "fit_start", "fit_end",
-                "intercept", "slope", "sigma", "effects")
-    )
+    keys = list(keys)
+    series = Window.partitionBy(*keys)
+    y, x = F.col("y"), F.col("x")
+    line = {
+        "slope": F.coalesce(F.regr_slope(y, x).over(series), F.lit(0.0)),
+        "mean_x": F.avg(F.when(y.isNotNull(), x)).over(series), "mean_y": F.avg(y).over(series),
+        "fit_start": F.min("ds").over(series), "fit_end": F.max("ds").over(series), "n_obs": F.count(y).over(series),
+    }
+    fitted = history.select(*keys, "ds", "y").withColumn("x", grain.elapsed(F.col("ds"), origin)).withColumns(line)
+    intercept = (F.col("mean_y") - F.col("slope") * F.col("mean_x")).alias("intercept")
+    whole = [*keys, "n_obs", "fit_start", "fit_end", "intercept", "slope"]  # constant within a series
+    resid = fitted.select(
+        *keys, "n_obs", "fit_start", "fit_end", intercept, "slope", grain.slot(F.col("ds")).alias("slot"),
+        (y - F.col("mean_y") - F.col("slope") * (x - F.col("mean_x"))).alias("r"))
+    cells = resid.groupBy(*whole, "slot").agg(F.avg("r").alias("effect"), (F.var_pop("r") * F.count("r")).alias("ss"))
+    return cells.groupBy(*whole).agg(
+        F.sqrt(F.sum("ss") / F.col("n_obs")).alias("sigma"),
+        F.map_from_entries(F.collect_list(F.struct("slot", "effect"))).alias("effects"))
 
 
 def predicted(rows: DataFrame, grain: Grain, origin: str, z: float = Z95) -> DataFrame:
@@ -85,7 +69,7 @@ def predicted(rows: DataFrame, grain: Grain, origin: str, z: float = Z95) -> Dat
     ds = F.col("ds")
     point = (
         F.col("intercept") + F.col("slope") * grain.elapsed(ds, origin)
-        + F.get(F.col("effects"), grain.slot(ds))
+        + F.coalesce(F.try_element_at("effects", grain.slot(ds)), F.lit(0.0))
     )
     half = F.col("sigma") * z
     return (
@@ -131,7 +115,9 @@ def model_table(models: DataFrame, z: float, origin: str) -> DataFrame:
 
 def load_models(table: DataFrame) -> DataFrame:
     parsed = F.from_json("model_json", MODEL_JSON)
-    return table.withColumn("_m", parsed).select("entity_id", "n_obs", "fit_start", "fit_end", "_m.*")
+    by_slot = F.transform_keys("_m.effects", lambda k, v: k.cast("int"))
+    return table.withColumn("_m", parsed).select(
+        "entity_id", "n_obs", "fit_start", "fit_end", "_m.intercept", "_m.slope", "_m.sigma", by_slot.alias("effects"))
 
 
 def fold_cutoffs(end: str, folds: int, spacing_hours: int) -> Column:
