@@ -11,26 +11,30 @@ PRE_SHUFFLE_LIMIT = 1000
 
 
 def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Sequence[str],
-                   slots: int = 64, bounded_groups: bool = False) -> DataFrame:
+                   slots: int | None = None, bounded_groups: bool = False) -> DataFrame:
     """Add, for every weight w, `w_before` (of smaller values) and `w_total` (of the group), exactly.
 
     `df` holds one row per (group, value). Each group is cut at approximate quantiles of its
     values; a slot holds about 1/slots of them, so the sorted running sum is taken per
     (group, slot) and shifted by the slots before it. The cuts only place the work: the result
-    does not depend on their accuracy. Offsets are at most slots + 1 rows per group.
+    does not depend on their accuracy. Offsets are at most slots + 1 rows per group. By default
+    there are as many slots as shuffle partitions, 256 at most.
 
     `bounded_groups` states that the groups are few by construction (columns of a table, splits);
     their cuts and offsets are then broadcast. Otherwise the join is picked by measured size.
     """
     group, weights = list(group), list(weights)
+    slots = slots or max(2, min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     hint = F.broadcast if bounded_groups else (lambda d: d)
     marks = F.array(*[F.lit(i / slots) for i in range(1, slots)])
     number = F.col(value).cast("double")
-    # naming the weights here keeps both branches on one and the same shuffle
-    weighed = F.when(F.coalesce(*[F.col(w) for w in weights]).isNotNull(), number)
+    # weights are counts, so the test always holds; it keeps them in this branch too, which lets
+    # Spark reuse the shuffle below instead of running a second one on the values alone
+    weighed = F.when(sum((F.col(w) for w in weights), F.lit(0)) >= 0, number)
     cuts = df.groupBy(*group).agg(F.percentile_approx(weighed, marks, slots * 20).alias("_cuts"))
     joined = df.join(hint(cuts), group) if group else df.withColumn("_cuts", cuts.scalar())
-    slot = F.size(F.filter(F.col("_cuts"), lambda c: c < number))
+    # never NULL: a nullable join key would be tested, and thereby computed, a second time
+    slot = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c < number)), F.lit(0))
     placed = joined.withColumn("_slot", slot).drop("_cuts")
     by_slot = placed.groupBy(*group, "_slot").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
     ahead = Window.partitionBy(*group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
