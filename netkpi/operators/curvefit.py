@@ -62,6 +62,8 @@ def fit_one(sec: np.ndarray, y: np.ndarray, spec: Spec) -> dict:
     """Model of one series; `sec` are seconds since the epoch, ascending."""
     if len(sec) < 2 or sec.max() == sec.min():
         raise ValueError("needs observations at two different times")
+    if not np.all(np.isfinite(y)):
+        raise ValueError("holds values that are not finite")
     start, span = float(sec.min()), float(sec.max() - sec.min())
     level, size = float(np.mean(y)), float(np.std(y)) or 1.0
     t, v = (sec - start) / span, (y - level) / size
