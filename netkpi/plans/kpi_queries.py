@@ -14,7 +14,11 @@ def _minute(spark, sf_dir):
 
 
 def _level(spark, sf_dir, interval):
-    return kpi.rollup_kpi(_minute(spark, sf_dir), interval, ["entity_id"], kpi.EVENT_SUMS)
+    return kpi.event_kpi(adapters.event_records(spark, sf_dir), interval)
+
+
+def _rolled_up(spark, sf_dir, interval, offset=None):
+    return kpi.rollup_kpi(_minute(spark, sf_dir), interval, ["entity_id"], kpi.EVENT_SUMS, offset)
 
 
 def _described(spark, sf_dir, rows):
@@ -77,6 +81,16 @@ def kpi_hour(spark, sf_dir):
     return _described(spark, sf_dir, _level(spark, sf_dir, "1 hour"))
 
 
+@register("kpi_hour_from_minutes", "D4", o.with_(o.EVENT, o.MINUTE, o.HOUR) + "SELECT * FROM hour_kpi")
+def kpi_hour_from_minutes(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, "1 hour")
+
+
+@register("kpi_day_from_minutes", "D5", o.with_(o.EVENT, o.MINUTE, o.DAY) + "SELECT * FROM day_kpi")
+def kpi_day_from_minutes(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, "1 day")
+
+
 @register("kpi_day", "D5 D3", o.with_(o.EVENT, o.DIM, o.MINUTE, o.DAY) + f"""
 SELECT {_KPI_COLS} FROM day_kpi k JOIN entity_dim d USING (entity_id)""")
 def kpi_day(spark, sf_dir):
@@ -87,7 +101,7 @@ def kpi_day(spark, sf_dir):
 SELECT time_bucket(INTERVAL 15 minutes, datetime) AS datetime, entity_id, {o.SUMS}
 FROM minute_kpi GROUP BY 1, 2""")
 def kpi_quarter_hour(spark, sf_dir):
-    return _level(spark, sf_dir, "15 minutes")
+    return _rolled_up(spark, sf_dir, "15 minutes")
 
 
 @register("kpi_week", "D6", o.with_(o.EVENT, o.MINUTE) + f"""
@@ -95,7 +109,7 @@ SELECT date_trunc('week', datetime)::TIMESTAMP AS datetime, entity_id, {o.SUMS}
 FROM minute_kpi GROUP BY 1, 2""")
 def kpi_week(spark, sf_dir):
     """Seven-day windows start on Thursdays unless moved; four days later is Monday."""
-    return kpi.rollup_kpi(_minute(spark, sf_dir), "7 days", ["entity_id"], kpi.EVENT_SUMS, offset="4 days")
+    return _rolled_up(spark, sf_dir, "7 days", offset="4 days")
 
 
 @register("kpi_procedure_hour", "D2 D6", o.with_(o.PROC) + """
@@ -149,6 +163,6 @@ SELECT entity_id, answered, dropped, missed, call, text, total_records, round(dr
   rank() OVER (PARTITION BY state ORDER BY drop_rate DESC) AS area_rank
 FROM per_entity JOIN entity_dim USING (entity_id)""")
 def dashboard_entity_rank(spark, sf_dir):
-    detail = kpi.entity_totals(_minute(spark, sf_dir)).join(
+    detail = kpi.entity_totals(_level(spark, sf_dir, "1 day")).join(
         adapters.entity_dimension(spark, sf_dir).drop("lon", "lat"), "entity_id")
     return rounded(ordering.rank_within(detail, ["state"], "drop_rate", "area_rank"), "drop_rate")

@@ -63,8 +63,7 @@ def _user_history(spark, sf_dir):
 SELECT entity_id, datetime AS ds, sum(dropped)::DOUBLE AS y FROM hour_kpi
 WHERE datetime >= TIMESTAMP '{START}' AND datetime < TIMESTAMP '{END}' GROUP BY 1, 2""")
 def series_sum(spark, sf_dir):
-    minute = kpi.minute_kpi(adapters.event_records(spark, sf_dir))
-    hour = kpi.rollup_kpi(minute, "1 hour", ["entity_id"], kpi.EVENT_SUMS)
+    hour = kpi.event_kpi(adapters.event_records(spark, sf_dir), "1 hour")
     return ts.training_history(ts.series_sum(hour, ["entity_id"], "datetime", "dropped"), START, END)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from netkpi.operators.quality import key_audit
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only for a local master."""
@@ -82,13 +84,17 @@ def delete_rows(spark: SparkSession, name: str, pred: Column, new_path: str) ->
 
 
 def write_feature_table(df: DataFrame, name: str, keys: Sequence[str], path: str | None = None) -> DataFrame:
-    """Keyed table: written once, then audited on what was written; a bad key is an error."""
-    from netkpi.operators.quality import key_audit
+    """Keyed table: written once, audited on what was written, and only then put under its name.
 
-    out = replace_table(df, name, path)
-    if not key_audit(out, keys).isEmpty():
+    A NULL or repeated key is an error and leaves the table that was there before.
+    """
+    spark, path = df.sparkSession, path or fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if not key_audit(spark.read.schema(df.schema).parquet(path), keys).isEmpty():
         raise ValueError(f"{name}: NULL or repeated key in {list(keys)}")
-    return out
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    return spark.table(name)
 
 
 def drop_schema_tables(spark: SparkSession, schema: str) -> list[str]:

@@ -50,6 +50,16 @@ def test_feature_table_refuses_bad_keys(spark, data):
         tables.write_feature_table(df, tables.fresh_name("f"), ["k"], tables.fresh_path(spark, "f"))
 
 
+def test_bad_keys_leave_the_old_feature_table(spark):
+    name = tables.fresh_name("f")
+    tables.write_feature_table(spark.createDataFrame([(1, 1)], "k int, v int"), name, ["k"])
+    with pytest.raises(ValueError):
+        tables.write_feature_table(spark.createDataFrame([(1, 1), (1, 2)], "k int, v int"), name, ["k"])
+    assert spark.table(name).count() == 1
+    tables.write_feature_table(spark.createDataFrame([(1, 1), (2, 2)], "k int, v int"), name, ["k"])
+    assert spark.table(name).count() == 2
+
+
 def test_catalog_helpers(spark):
     tables.ensure_schema(spark, "area_one")
     tables.ensure_schema(spark, "area_one")
