@@ -7,18 +7,23 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from netkpi.operators.features import fit_levels
 from netkpi.operators.scoring import binary_metrics
 
 
 def encode_labels(train: DataFrame, df: DataFrame, column: str, output: str) -> DataFrame:
-    """Alphabetical label codes learned on train; unseen labels get the next code."""
-    indexer = StringIndexer(inputCol=column, outputCol=output, stringOrderType="alphabetAsc", handleInvalid="keep")
-    return indexer.fit(train).transform(df)
+    """Alphabetical label codes learned on train; unseen labels get the next code.
+
+    The number of labels is checked before they come to the driver.
+    """
+    labels = fit_levels(train, [column])[column]
+    indexer = StringIndexerModel.from_labels(labels, inputCol=column, outputCol=output, handleInvalid="keep")
+    return indexer.transform(df)
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -61,7 +66,7 @@ def search_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], l
     for settings in grid:
         model = fit_trees(train, validate, inputs, label, settings, seed)
         scored = score(model, validate, [F.col(label).alias("label")]).withColumn("split", F.lit("validate"))
-        f1 = binary_metrics(scored, ["split"]).first()["f1"]
+        f1 = binary_metrics(scored, ["split"], few_groups=True).first()["f1"]
         f1 = 0.0 if f1 is None else float(f1)
         results.append((dict(settings), f1))
         if f1 > best_f1:
@@ -102,7 +107,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, inputs: Sequence
     for i, name in enumerate(inputs):
         mixed = permuted(df, name, key, seed + 2 * i)
         parts = parts.unionByName(score(model, mixed, [F.col(label).alias("label")]).withColumn("feature", F.lit(name)))
-    auc = binary_metrics(parts, ["feature"]).select("feature", "roc_auc")
+    auc = binary_metrics(parts, ["feature"], few_groups=True).select("feature", "roc_auc")
     whole = auc.filter(F.col("feature") == "").select("roc_auc").scalar()
     return auc.filter(F.col("feature") != "").select("feature", (whole - F.col("roc_auc")).alias("importance"))
 

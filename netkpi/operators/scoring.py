@@ -31,9 +31,9 @@ def score_counts(scored: DataFrame, by: Sequence[str]) -> DataFrame:
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
 
 
-def _cumulated(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+def _cumulated(scored: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
     """Per distinct score: positives and negatives at or above it."""
-    r = running_totals(score_counts(scored, by), by, "score", ["pos", "neg"], bounded_groups=True)
+    r = running_totals(score_counts(scored, by), by, "score", ["pos", "neg"], bounded_groups=few_groups)
     return r.withColumn("tp", F.col("pos_total") - F.col("pos_before")).withColumn(
         "fp", F.col("neg_total") - F.col("neg_before"))
 
@@ -42,13 +42,14 @@ def _share(a, b):
     return F.col(a).cast("double") / F.nullif(F.col(b), F.lit(0)).cast("double")
 
 
-def roc_points(scored: DataFrame, by: Sequence[str]) -> DataFrame:
-    return _cumulated(scored, by).select(
+def roc_points(scored: DataFrame, by: Sequence[str], few_groups: bool = False) -> DataFrame:
+    """`few_groups`: the groups are few by construction, such as splits."""
+    return _cumulated(scored, by, few_groups).select(
         *by, "score", _share("tp", "pos_total").alias("tpr"), _share("fp", "neg_total").alias("fpr"))
 
 
-def pr_points(scored: DataFrame, by: Sequence[str]) -> DataFrame:
-    return _cumulated(scored, by).select(
+def pr_points(scored: DataFrame, by: Sequence[str], few_groups: bool = False) -> DataFrame:
+    return _cumulated(scored, by, few_groups).select(
         *by, "score", _share("tp", "pos_total").alias("recall"),
         (F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))).alias("precision"))
 
@@ -56,9 +57,10 @@ def pr_points(scored: DataFrame, by: Sequence[str]) -> DataFrame:
 METRICS = ("accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "pr_auc")
 
 
-def binary_metrics(scored: DataFrame, by: Sequence[str], threshold: float = 0.5) -> DataFrame:
+def binary_metrics(scored: DataFrame, by: Sequence[str], threshold: float = 0.5,
+                   few_groups: bool = False) -> DataFrame:
     """Threshold metrics, log loss, ROC AUC (ties count one half) and average precision per group."""
-    c = _cumulated(scored, by)
+    c = _cumulated(scored, by, few_groups)
     hit = F.col("score") >= threshold
     # same clipping as the usual definition: a score of 0 or 1 stays finite
     p = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-15)), F.lit(1e-15))

@@ -33,7 +33,7 @@ SELECT split, n_rows, round(ok / n_rows, 6) AS accuracy, round(tp / nullif(tp +
   round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc
 FROM c JOIN pairs USING (split) JOIN pr USING (split)""")
 def binary_metrics(spark, sf_dir):
-    return rounded(scoring.binary_metrics(_scored(spark, sf_dir), ["split"]), *scoring.METRICS)
+    return rounded(scoring.binary_metrics(_scored(spark, sf_dir), ["split"], few_groups=True), *scoring.METRICS)
 
 
 @register("confusion_table", "G7", o.with_(o.SCORED) + """
@@ -53,14 +53,14 @@ tot AS (SELECT split, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (W
 @register("roc_points", "G8", o.with_(_SPLIT_SCORED) + _AT + """
 SELECT split, score, round(tp::DOUBLE / nullif(p, 0), 6) AS tpr, round(fp::DOUBLE / nullif(n, 0), 6) AS fpr FROM cut JOIN tot USING (split)""")
 def roc_points(spark, sf_dir):
-    return rounded(scoring.roc_points(_scored(spark, sf_dir), ["split"]), "tpr", "fpr")
+    return rounded(scoring.roc_points(_scored(spark, sf_dir), ["split"], few_groups=True), "tpr", "fpr")
 
 
 @register("precision_recall_points", "G8", o.with_(_SPLIT_SCORED) + _AT + """
 SELECT split, score, round(tp::DOUBLE / nullif(p, 0), 6) AS recall, round(tp::DOUBLE / nullif(tp + fp, 0), 6) AS precision
 FROM cut JOIN tot USING (split)""")
 def precision_recall_points(spark, sf_dir):
-    return rounded(scoring.pr_points(_scored(spark, sf_dir), ["split"]), "recall", "precision")
+    return rounded(scoring.pr_points(_scored(spark, sf_dir), ["split"], few_groups=True), "recall", "precision")
 
 
 _CONTRACT = T.StructType([
@@ -105,7 +105,7 @@ def classifier_search(spark, sf_dir):
     grid = [{"maxDepth": d, "maxIter": 5, "stepSize": s} for d in (2, 3) for s in (0.1, 0.3)]
     best, _ = models.search_trees(train, validate, inputs, "quality", grid)
     scored = models.score(best, wide, ["split", F.col("quality").alias("label")])
-    return scoring.binary_metrics(scored, ["split"])
+    return scoring.binary_metrics(scored, ["split"], few_groups=True)
 
 
 @register("feature_importance", "G9")
