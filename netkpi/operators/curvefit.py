@@ -94,8 +94,12 @@ def fit_one(sec: np.ndarray, y: np.ndarray, spec: Spec) -> dict:
     }
 
 
+def spec_from(values: dict) -> Spec:
+    return Spec(**{**values, "holidays": tuple(values["holidays"])})
+
+
 def predict_one(model: dict, sec: np.ndarray) -> dict[str, np.ndarray]:
-    spec = Spec(**{**model["spec"], "holidays": tuple(model["spec"]["holidays"])})
+    spec = spec_from(model["spec"])
     t = (sec - model["start"]) / model["span"]
     base = _trend_columns(t, np.asarray(model["knots"])) @ np.asarray(model["trend"])
     base = base * model["size"] + model["level"]
@@ -192,20 +196,37 @@ def forecast(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3
     A series whose fit fails yields no rows; `fit` tells why.
     """
     def one(key: tuple, table: pa.Table) -> pa.Table:
-        micros, y = _points(table)
-        try:
-            model = fit_one(micros / 1e6, y, spec)
-        except Exception:
-            return _table(schemas.FORECAST_ROW, {})
-        ahead = micros[-1] + np.arange(1, horizon + 1) * step_seconds * 1_000_000
-        ds = np.r_[micros, ahead]
-        return _table(schemas.FORECAST_ROW, {
-            "entity_id": key[0].as_py(), "ds": ds, "y": np.r_[y, np.full(horizon, np.nan)],
-            **predict_one(model, ds / 1e6)})
+        return _extended(key[0].as_py(), table, spec, horizon, step_seconds)
 
     return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.FORECAST_ROW)
 
 
+def _extended(entity: str, table: pa.Table, spec: Spec, horizon: int, step_seconds: int) -> pa.Table:
+    micros, y = _points(table)
+    try:
+        model = fit_one(micros / 1e6, y, spec)
+    except Exception:
+        return _table(schemas.FORECAST_ROW, {})
+    ahead = micros[-1] + np.arange(1, horizon + 1) * step_seconds * 1_000_000
+    ds = np.r_[micros, ahead]
+    return _table(schemas.FORECAST_ROW, {
+        "entity_id": entity, "ds": ds, "y": np.r_[y, np.full(horizon, np.nan)], **predict_one(model, ds / 1e6)})
+
+
+def forecast_with(best: DataFrame, history: DataFrame, horizon: int, step_seconds: int = 3600) -> DataFrame:
+    """Forecast of each series under its own settings: `best` holds (entity_id, params) per series."""
+    def one(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return _table(schemas.FORECAST_ROW, {})
+        spec = spec_from(json.loads(left.column("params")[0].as_py()))
+        return _extended(key[0].as_py(), right, spec, horizon, step_seconds)
+
+    return (
+        best.select("entity_id", "params").groupBy("entity_id")
+        .cogroup(_observed(history).groupBy("entity_id")).applyInArrow(one, schemas.FORECAST_ROW)
+    )
+
+
 def changepoints(models: DataFrame) -> DataFrame:
     """Time and size of every possible trend change, in units of the series per day."""
     shape = "start DOUBLE, span DOUBLE, size DOUBLE, knots ARRAY<DOUBLE>, trend ARRAY<DOUBLE>"

@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
@@ -56,24 +58,30 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
 
 
 def search_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], label: str,
-                 grid: Sequence[Mapping[str, float]], seed: int = 0) -> tuple[PipelineModel, list[tuple[dict, float]]]:
+                 grid: Sequence[Mapping[str, float]], seed: int = 0,
+                 parallelism: int = 4) -> tuple[PipelineModel, list[tuple[dict, float]]]:
     """Fit every setting, keep the one with the highest validation F1; the first of equals wins.
 
-    Each fit and each evaluation is a Spark job; one number per setting comes back.
+    Each fit and each evaluation is a Spark job, `parallelism` of them at a time, so that the short
+    stages of one fit fill the gaps of another; one number per setting comes back.
     """
-    results, best, best_f1 = [], None, -1.0
+    spark = train.sparkSession
     train, validate = train.persist(), validate.persist()
-    for settings in grid:
+
+    def run(settings: Mapping[str, float]) -> tuple[PipelineModel, float]:
         model = fit_trees(train, validate, inputs, label, settings, seed)
         scored = score(model, validate, [F.col(label).alias("label")]).withColumn("split", F.lit("validate"))
         f1 = binary_metrics(scored, ["split"], few_groups=True).first()["f1"]
-        f1 = 0.0 if f1 is None else float(f1)
-        results.append((dict(settings), f1))
-        if f1 > best_f1:
-            best, best_f1 = model, f1
-    train.unpersist()
-    validate.unpersist()
-    return best, results
+        return model, 0.0 if f1 is None else float(f1)
+
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            done = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), s) for s in grid]]
+    finally:
+        train.unpersist()
+        validate.unpersist()
+    best = max(range(len(done)), key=lambda i: (done[i][1], -i))
+    return done[best][0], [(dict(s), f1) for s, (_, f1) in zip(grid, done)]
 
 
 def tree_importance(spark: SparkSession, model: PipelineModel, inputs: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from netkpi.functions import scalar
-from netkpi.operators import anomaly, curvefit, enrich, forecast as fc, kpi, series as ts
+from netkpi.operators import anomaly, curvefit, enrich, forecast as fc, kpi, ledger, series as ts
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, files, tables
@@ -328,6 +328,13 @@ def curve_forecast(spark, sf_dir):
     return curvefit.forecast(_history(spark, sf_dir), curvefit.Spec(), 168)
 
 
+@register("curve_forecast_daily", "F4")
+def curve_forecast_daily(spark, sf_dir):
+    """Weekly season and trend on daily counts, 90 days ahead."""
+    days = ts.count_series(adapters.load(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "1 day")
+    return curvefit.forecast(days, curvefit.Spec(daily_order=0), 90, step_seconds=86400)
+
+
 @register("curve_changepoints", "F13")
 def curve_changepoints(spark, sf_dir):
     return curvefit.changepoints(curvefit.fit(_history(spark, sf_dir), curvefit.Spec()))
@@ -357,3 +364,18 @@ def forecast_search(spark, sf_dir):
     calendar = [day for day, _ in _HOLIDAYS]
     trials = curvefit.random_trials(10, seed=7, holidays=calendar)
     return curvefit.best_trials(curvefit.search(_history(spark, sf_dir), trials, folds=5, horizon_hours=24))
+
+
+@register("forecast_auto", "F14 F8 G13")
+def forecast_auto(spark, sf_dir):
+    """Search, keep the best setting per series in the run ledger, forecast with it, store the rows."""
+    hist = _history(spark, sf_dir)
+    trials = curvefit.random_trials(10, seed=7, holidays=[day for day, _ in _HOLIDAYS])
+    best = tables.materialize(curvefit.best_trials(curvefit.search(hist, trials, folds=5, horizon_hours=24)), "best-trials")
+    runs = best.select(
+        F.concat_ws("-", F.lit("auto"), "entity_id").alias("run_id"), F.lit("auto").alias("name"),
+        F.lit("FINISHED").alias("status"), F.lit(END).cast("timestamp_ntz").alias("started"),
+        F.lit("events").alias("source_table"), F.create_map(F.lit("settings"), "params").alias("params"),
+        F.create_map(F.lit("val_smape"), "smape").alias("metrics"))
+    ledger.append_runs(runs, tables.fresh_name("runs"), tables.fresh_path(spark, "runs"))
+    return tables.materialize(curvefit.forecast_with(best, hist, 168), "auto-forecast")

@@ -191,3 +191,16 @@ def test_year_and_range_filters_reach_the_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter(scalar.in_year(F.col("o_orderdate"), 1997))
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in plan and "LessThan(o_orderdate,1998-01-01" in plan
+
+
+def test_each_series_is_forecast_with_its_own_settings(spark):
+    hist = spark.createDataFrame(hours("a", planted()) + hours("b", planted()), SHAPE)
+    from dataclasses import asdict
+
+    best = spark.createDataFrame(
+        [("a", json.dumps(asdict(curvefit.Spec(z=1.0)))), ("b", json.dumps(asdict(curvefit.Spec(z=2.0))))], "entity_id string, params string")
+    out = curvefit.forecast_with(best, hist, 24).groupBy("entity_id").agg(
+        F.count("ds").alias("n"), F.max(F.col("yhat_upper") - F.col("yhat")).alias("half")).collect()
+    got = {r["entity_id"]: r for r in out}
+    assert got["a"]["n"] == got["b"]["n"] == 360
+    assert got["b"]["half"] == pytest.approx(2 * got["a"]["half"])

@@ -104,3 +104,26 @@ def test_waiting_for_a_table(spark):
     stream = ingest.file_stream(spark, path, schemas.EVENT_TABLE)
     run.start_table(stream, name, tables.fresh_path(spark, name), state).awaitTermination()
     assert run.await_rows(spark, name, 20)
+
+
+def test_observed_rules_arrive_with_the_progress(spark):
+    from netkpi.operators.quality import observe_rules
+
+    path, out, state = (tables.fresh_path(spark, p) for p in ("in", "out", "state"))
+    write_json(spark, [event(1, dt(2024, 1, 1)), event(2, dt(2024, 1, 1), user=None)], path)
+    stream = observe_rules(source(spark, path), {"no_key": F.col("entity_id").isNotNull()}, "rules")
+    query = run.start_files(stream, out, state)
+    query.awaitTermination()
+    seen = [p.observedMetrics["rules"] for p in query.recentProgress if "rules" in p.observedMetrics]
+    assert sum(r["rows_seen"] for r in seen) == 2 and sum(r["no_key"] for r in seen) == 1
+
+
+def test_a_new_column_is_read_once_it_is_declared(spark, rows):
+    path = tables.fresh_path(spark, "in")
+    spark.createDataFrame([(1,)], "id long").write.mode("append").json(path)
+    spark.createDataFrame([(2, "x")], "id long, extra string").write.mode("append").json(path)
+    from pyspark.sql import types as T
+
+    grown = T.StructType.fromDDL("id long, extra string")
+    got = run.drain(ingest.file_stream(spark, path, grown), tables.fresh_path(spark, "out"), tables.fresh_path(spark, "state"))
+    assert rows(got, "id", "extra") == [(1, None), (2, "x")]
