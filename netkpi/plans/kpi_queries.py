@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from netkpi.operators import enrich, kpi, ordering, quality
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register, rounded
-from netkpi.sources import adapters
+from netkpi.sources import adapters, tables
 
 _KPI_COLS = "k.datetime, k.entity_id, answered, dropped, missed, call, text, total_records, city, county, state, lon, lat"
 
@@ -29,7 +29,7 @@ def _described(spark, sf_dir, rows):
 SELECT e.entity_id, d.entity_id AS dim_entity_id, event_ts, outcome, channel, city, county, state, lon, lat
 FROM event_record e JOIN entity_dim d ON e.entity_id = d.entity_id""")
 def silver_events(spark, sf_dir):
-    return enrich.join_dimension(
+    return enrich.enrich_facts(
         adapters.event_records(spark, sf_dir), adapters.entity_dimension(spark, sf_dir), keep_both_keys=True)
 
 
@@ -40,7 +40,7 @@ WHERE e.entity_id IS NOT NULL AND event_ts IS NOT NULL""")
 def silver_procedures(spark, sf_dir):
     clean = quality.drop_violations(adapters.procedure_records(spark, sf_dir), {
         "key present": F.col("entity_id").isNotNull(), "time present": F.col("event_ts").isNotNull()})
-    return _described(spark, sf_dir, clean)
+    return enrich.enrich_facts(clean, adapters.entity_dimension(spark, sf_dir))
 
 
 @register("dimension_key_audit", "C1 A11", o.with_(o.DIM) + """
@@ -165,4 +165,6 @@ FROM per_entity JOIN entity_dim USING (entity_id)""")
 def dashboard_entity_rank(spark, sf_dir):
     detail = kpi.entity_totals(_level(spark, sf_dir, "1 day")).join(
         adapters.entity_dimension(spark, sf_dir).drop("lon", "lat"), "entity_id")
+    # ranking reads its input several times: one row per entity is stored, the events are read once
+    detail = tables.materialize(detail, "entity-totals")
     return rounded(ordering.rank_within(detail, ["state"], "drop_rate", "area_rank"), "drop_rate")

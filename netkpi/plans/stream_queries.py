@@ -14,7 +14,8 @@ _CLOSED = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
 
 
 def _events(spark, sf_dir):
-    return ingest.file_stream(spark, sf_dir, schemas.EVENT_TABLE, "parquet", only="events.parquet")
+    # one file or a folder of files
+    return ingest.file_stream(spark, f"{sf_dir}/events.parquet*", schemas.EVENT_TABLE, "parquet")
 
 
 def _drain(spark, stream, label):

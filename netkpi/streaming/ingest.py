@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from netkpi.functions.scalar import utc_instant
-from netkpi.operators.enrich import join_dimension
+from netkpi.operators.enrich import enrich_facts
 from netkpi.operators.quality import drop_violations
 from netkpi.sources.files import TIME_FORMAT
 
@@ -33,9 +33,13 @@ def with_event_time(stream: DataFrame, ts: str = "event_ts") -> DataFrame:
     return stream.withColumn(ts, utc_instant(ts))
 
 
-def silver_stream(stream: DataFrame, dim: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Rows that keep all rules, joined to the static dimension."""
-    return join_dimension(drop_violations(stream, rules), dim)
+def silver_stream(stream: DataFrame, dim: DataFrame, rules: Mapping[str, Column], salts: int = 16) -> DataFrame:
+    """Rows that keep all rules, joined to the static dimension.
+
+    A measured small dimension is broadcast. Beyond that the join is salted, because a hot key of a
+    micro-batch is not split by AQE.
+    """
+    return enrich_facts(drop_violations(stream, rules), dim, salts=salts)
 
 
 def unique_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

@@ -111,3 +111,24 @@ def test_day_windows_do_not_depend_on_the_session_zone(spark, rows, zone):
         assert rows(day, "datetime", "total_records") == [(dt(2024, 3, 10), 2)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_salted_join_equals_plain_join(spark, rows):
+    sf = "/root/testdata/sf0.001"
+    ev, dim = adapters.event_records(spark, sf), adapters.entity_dimension(spark, sf)
+    plain = enrich.join_dimension(ev, dim)
+    for other in (enrich.join_dimension(ev, dim, salts=7), enrich.enrich_facts(ev, dim),
+                  enrich.enrich_facts(ev, dim, salts=5, max_bytes=0)):
+        assert other.columns == plain.columns
+        assert other.exceptAll(plain).isEmpty() and plain.exceptAll(other).isEmpty()
+
+
+def test_broadcast_only_below_the_measured_size(spark):
+    sf = "/root/testdata/sf0.001"
+    ev, dim = adapters.event_records(spark, sf), adapters.entity_dimension(spark, sf)
+    size = enrich.measured_bytes(dim)
+    assert 150 * 6 * 8 < size < 150 * 200
+    assert enrich.broadcast_if_small(dim, size)[1] and not enrich.broadcast_if_small(dim, size - 1)[1]
+    hinted = enrich.enrich_facts(ev, dim)._jdf.queryExecution().logical().toString()
+    plain = enrich.enrich_facts(ev, dim, max_bytes=0)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted and "broadcast" not in plain
