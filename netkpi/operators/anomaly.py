@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 from netkpi.functions.scalar import band_distance, outside_band
 
 
-def latest_training(forecasts: DataFrame, stamp: str = "trained_at") -> DataFrame:
-    """Rows of the newest training: one plan with a scalar subquery, nothing comes to the driver."""
-    newest = forecasts.agg(F.max(stamp)).scalar()
-    return forecasts.filter(F.col(stamp) == newest)
+def latest_training(forecasts: DataFrame, stamp: str = "trained_at", day: str | None = None) -> DataFrame:
+    """Rows of the newest training: one plan with a scalar subquery, nothing comes to the driver.
+
+    `day` names the partition column that holds the day of the stamp; older days are then not read.
+    """
+    if day:
+        forecasts = forecasts.filter(F.col(day) == forecasts.agg(F.max(day)).scalar())
+    return forecasts.filter(F.col(stamp) == forecasts.agg(F.max(stamp)).scalar())
 
 
 def flag_anomalies(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:

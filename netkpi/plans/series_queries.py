@@ -225,15 +225,18 @@ def model_table(spark, sf_dir):
         F.round("slope", 9).alias("slope"), F.round("sigma", 6).alias("sigma"))
 
 
-def _stamped(spark, sf_dir):
-    """Forecast history: two trainings appended to one table, partitioned by training day."""
-    path = tables.fresh_path(spark, "forecast-history")
-    name = tables.fresh_name("forecast_history")
+def _trainings(spark, sf_dir):
+    """Forecasts of two trainings, each stamped with its time and day."""
     for end in ("2024-01-08", END):
-        rows = fc.forecast(_history(spark, sf_dir, end), 168, fc.HOURLY, START).withColumn(
-            "trained_at", F.lit(end).cast("timestamp_ntz")).withColumn("trained_on", F.lit(end).cast("date"))
-        table = tables.append_table(rows, name, path, ["trained_on"])
-    return table.drop("trained_on")
+        yield fc.forecast(_history(spark, sf_dir, end), 168, fc.HOURLY, START).withColumns({
+            "trained_at": F.lit(end).cast("timestamp_ntz"), "trained_on": F.lit(end).cast("date")})
+
+
+def _latest(spark, sf_dir):
+    """Newest training out of the stored forecast history, which is partitioned by training day."""
+    first, second = _trainings(spark, sf_dir)
+    stored = tables.materialize(first.unionByName(second), "forecast-history", ["trained_on"])
+    return anomaly.latest_training(stored, day="trained_on").drop("trained_on")
 
 
 _TWO = (
@@ -254,14 +257,18 @@ _TWO = (
 @register("forecast_history", "F11 A9", o.with_(*_TWO) + f"""
 SELECT entity_id, trained_at, ds, y, {_FORECAST_OUT} FROM forecast""")
 def forecast_history(spark, sf_dir):
-    return rounded(_stamped(spark, sf_dir), *_BAND_COLS)
+    """Each training is appended to one table."""
+    name, path = tables.fresh_name("forecast_history"), tables.fresh_path(spark, "forecast-history")
+    for rows in _trainings(spark, sf_dir):
+        table = tables.append_table(rows, name, path, ["trained_on"])
+    return rounded(table.drop("trained_on"), *_BAND_COLS)
 
 
 @register("latest_forecast", "C5 F11", o.with_(*_TWO) + f"""
 SELECT entity_id, trained_at, ds, y, {_FORECAST_OUT} FROM forecast
 WHERE trained_at = (SELECT max(trained_at) FROM forecast)""")
 def latest_forecast(spark, sf_dir):
-    return rounded(anomaly.latest_training(_stamped(spark, sf_dir)), *_BAND_COLS)
+    return rounded(_latest(spark, sf_dir), *_BAND_COLS)
 
 
 @register("anomalies", "F12 C3 B26 B27", o.with_(*_TWO) + f"""
@@ -271,7 +278,7 @@ SELECT s.entity_id, s.ds, s.y AS actual, {_FORECAST_OUT}, trained_at,
 FROM series s JOIN forecast f ON s.entity_id = f.entity_id AND s.ds = f.ds
 WHERE trained_at = (SELECT max(trained_at) FROM forecast)""")
 def anomalies(spark, sf_dir):
-    flagged = anomaly.flag_anomalies(_series(spark, sf_dir), anomaly.latest_training(_stamped(spark, sf_dir)))
+    flagged = anomaly.flag_anomalies(_series(spark, sf_dir), _latest(spark, sf_dir))
     return rounded(flagged, *_BAND_COLS, "anomaly_size")
 
 
@@ -280,7 +287,7 @@ SELECT s.entity_id, s.y AS actual, round(yhat, 6) AS yhat FROM series s JOIN for
 WHERE s.ds = TIMESTAMP '2024-01-15' AND trained_at = TIMESTAMP '2024-01-15'""")
 def actuals_with_forecast(spark, sf_dir):
     slot = F.col("ds") == F.lit("2024-01-15").cast("timestamp_ntz")
-    fcs = anomaly.latest_training(_stamped(spark, sf_dir)).filter(slot).select("entity_id", "yhat")
+    fcs = _latest(spark, sf_dir).filter(slot).select("entity_id", "yhat")
     actual = _series(spark, sf_dir).filter(slot).select("entity_id", F.col("y").alias("actual"))
     return rounded(actual.join(fcs, "entity_id"), "yhat")
 
