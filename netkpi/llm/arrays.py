@@ -103,6 +103,11 @@ class Rolling:
         n = max(0, len(sums) - k)
         return mixed((sums[k:k + n] - sums[:n]) * self.inverses[:n] + U(k))
 
+    def fixed_rows(self, rows: np.ndarray) -> np.ndarray:
+        """What `fixed` gives for runs that are rows of an array."""
+        self._hold(rows.shape[1] + 1)
+        return mixed((rows * self.powers[:rows.shape[1]]).sum(axis=1, dtype=U) + U(rows.shape[1]))
+
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return self.of(self.sums(self.of_byte[data]), start, end)
 

@@ -3,8 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netkpi.llm import exact_dedup, mixing, sharding, simhash
+from netkpi.llm import decontaminate, exact_dedup, mixing, quality, sharding, simhash
+from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
+from netkpi.sources.tables import materialize
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +41,21 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.annotated(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.col("bm_words").alias("n_words"), F.col("bm_hit").alias("n_hit"), F.col("bm_n_items").alias("n_items"),
+                      F.sha2(F.array_join("bm_items", ",").cast("binary"), 256).alias("items_sha256"),
+                      F.col("bm_contaminated").alias("contaminated"))
+
+
+@register
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = materialize(quality.feature_rows(table(spark, sf_dir, "documents").select("doc_id", "text")), "quality-features")
+    model = quality.fit(rows, table(spark, sf_dir, "labels"))
+    score = F.col("quality_score")
+    return quality.scored(rows, model).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
