@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netkpi.llm import decontaminate, exact_dedup, mixing, quality, sharding, simhash
+from netkpi.llm import decontaminate, exact_dedup, language, mixing, quality, sharding, simhash, toxicity
 from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
 from netkpi.sources.tables import materialize
@@ -59,3 +59,20 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.col("quality_score")
     return quality.scored(rows, model).select(
         "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(remainder(3) != 1))
+    return language.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"))
+
+
+@register
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = F.col("toxic_score")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
