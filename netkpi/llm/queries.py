@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netkpi.llm import decontaminate, exact_dedup, language, mixing, quality, sharding, simhash, toxicity
+from netkpi.llm import decontaminate, exact_dedup, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
 from netkpi.sources.tables import materialize
@@ -76,3 +76,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.col("toxic_score")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).select(
         "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+@register
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.kept(docs, suffix_dedup.found_spans(docs))
+    return out.select("doc_id", F.col("sa_bytes").alias("n_bytes"), F.col("sa_removed").alias("n_removed"),
+                      F.col("sa_spans").alias("n_spans"), F.sha2("sa_kept", 256).alias("kept_sha256"))
+
+
+@register
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.kept(docs, substring_dedup.found_spans(docs))
+    return out.select("doc_id", F.col("sub_words").alias("n_words"), F.col("sub_removed").alias("n_removed"),
+                      F.sha2(F.col("sub_text").cast("binary"), 256).alias("kept_sha256"))

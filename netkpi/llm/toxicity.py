@@ -23,9 +23,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from netkpi.llm.arrays import LETTERS_DIGITS, LOWER, Rolling, mixed, text_slices, word_spans
 from netkpi.llm.labels import training_sample
 
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 16_000
 SLOT_BITS = 22
-ALPHA, BETA, L1, L2, EPOCHS = 0.1, 1.0, 1.0, 1.0, 4
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 10.0, 0.1, 4
 
 
 def slots(rolling: Rolling, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
