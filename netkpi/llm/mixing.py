@@ -7,7 +7,7 @@ sample has a fixed size. u comes from the md5 of seed and doc_id, so reruns agre
 
 Defined results: a null text has 0 words; a null source is a source of its own, the last one; rows that share source and
 doc_id (null ids, too) are taken together; a source without words has target 0 and is taken 0 times; an empty table
-gives an empty table. Columns that a document has besides these stay as they are in `mixed`.
+gives an empty table. `mixed` and `copied` keep all columns but those named like their own (mix_..., bits).
 """
 from __future__ import annotations
 
@@ -65,10 +65,10 @@ def inclusion(plan: DataFrame) -> DataFrame:
             .withColumn("goal", F.greatest(F.lit(0.0), F.col("target") - F.col("certain") * F.col("source_size"))))
 
 
-def pareto_rank():
+def pareto_rank(bits, p):
     """Random odds over inclusion odds as 52 bits of q / (1 + q); null where nothing is left to chance."""
-    u = (F.col("bits") + F.lit(0.5)) / F.lit(UNIT)
-    q = F.when(F.col("p") > 0, (u / (F.lit(1.0) - u)) / (F.col("p") / (F.lit(1.0) - F.col("p"))))
+    u = (bits + F.lit(0.5)) / F.lit(UNIT)
+    q = F.when(p > 0, (u / (F.lit(1.0) - u)) / (p / (F.lit(1.0) - p)))
     return F.floor(q / (F.lit(1.0) + q) * F.lit(UNIT)).cast("long")
 
 
@@ -76,7 +76,7 @@ def mix_plan(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: floa
     """Per source: source_size, target, certain copies, p, and last_rank, the last Pareto rank that is taken once more."""
     plan = materialize(inclusion(targets(sized, weights, share, most)), "mix-plan")
     open_ = plan.filter("goal > 0").select("source", "rank", "goal", "p")
-    rows = sized.join(open_, sized["source"].eqNullSafe(open_["source"])).drop(open_["source"]).withColumn("v", pareto_rank())
+    rows = sized.join(open_, sized["source"].eqNullSafe(open_["source"])).drop(open_["source"]).withColumn("v", pareto_rank(F.col("bits"), F.col("p")))
     cuts = cut_at(rows.select("rank", "v", "size"), open_.select("rank", "goal"), "rank", ["v"], "size", [])
     near = (rows.drop("goal").withColumns({"_s0": slot_of("v", 0), "_s1": slot_of("v", 1)})
             .join(cuts, ["rank", "_s0", "_s1"]).groupBy("rank", "goal", "_s0", "_s1", "v").agg(F.sum("size").alias("size")))
@@ -93,12 +93,21 @@ def mix_plan(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: floa
 
 
 def mixed(docs: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
-    """The columns of docs with source_size, target and `copies`, how often the mix takes the row.
+    """The columns of docs with mix_source_size, mix_target and mix_copies, how often the mix takes the row.
 
     docs needs doc_id and source only; the plan has one row per source, so documents are not moved.
     """
-    rows = docs if "bits" in docs.columns else docs.withColumn("bits", _bits(seed))
-    chosen = plan.select(F.col("source").alias("_source"), "source_size", "target", "certain", "p", "last_rank")
-    more = F.coalesce(pareto_rank() <= F.col("last_rank"), F.lit(False)).cast("long")
-    out = rows.join(chosen, rows["source"].eqNullSafe(chosen["_source"])).withColumn("copies", F.col("certain") + more)
-    return out.select(*docs.columns, "source_size", "target", "copies")
+    kept = [c for c in docs.columns if c not in ("mix_source_size", "mix_target", "mix_copies", "bits")]
+    chosen = plan.select("source", "source_size", "target", "certain", "p", "last_rank").toDF(
+        "_source", "mix_source_size", "mix_target", "_certain", "_p", "_last_rank")
+    more = F.coalesce(pareto_rank(_bits(seed), F.col("_p")) <= F.col("_last_rank"), F.lit(False)).cast("long")
+    rows = docs.select(kept)
+    out = rows.join(chosen, rows["source"].eqNullSafe(chosen["_source"])).withColumn("mix_copies", F.col("_certain") + more)
+    return out.select(*kept, "mix_source_size", "mix_target", "mix_copies")
+
+
+def copied(docs: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
+    """The mix itself: the columns of docs, every row as often as the plan takes it."""
+    out = mixed(docs, plan, seed).filter("mix_copies > 0")
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int")))).drop(
+        "_copy", "mix_source_size", "mix_target", "mix_copies")

@@ -10,7 +10,7 @@ are computed for every document. Texts are read once and never moved.
 
 Defined results: null and empty texts have all features zero and get a score like any other; without labels, or with one
 class, the score is the share of label 1 (0.5 without labels); rows that repeat an id are scored one by one; an empty
-table gives an empty table. `scored` keeps all columns of the documents.
+table gives an empty table. `scored` keeps all columns but one named like its own.
 """
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from netkpi.llm.arrays import NOT_BLANK, Rolling, byte_table, doc_sums, text_slices, word_spans
 from netkpi.llm.labels import training_sample
@@ -90,21 +90,15 @@ def features(rolling: Rolling, data: np.ndarray, offs: np.ndarray) -> np.ndarray
 
 
 def feature_rows(docs: DataFrame) -> DataFrame:
-    """All columns of docs but the text, and `features`, packed 32-bit numbers."""
-    kept = [f for f in docs.schema.fields if f.name not in ("text", "features")]
-
+    """doc_id, y and `features`, packed 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for b in batches:
             held = [row.tobytes() for _, _, data, offs in text_slices(b.column("text")) for row in features(rolling, data, offs)]
-            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), pa.array(held, pa.binary())],
-                                             [*(f.name for f in kept), "features"])
-
-    return docs.mapInArrow(run, StructType([*kept, StructField("features", BinaryType())]))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(held, pa.binary())], ["doc_id", "y", "features"])
 
-
-def unpacked(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, len(FEATURES))
+    rows = docs.select("doc_id", "y", "text")
+    return rows.mapInArrow(run, rows.select("doc_id", "y", F.lit(b"").alias("features")).schema)
 
 
 def _cut(g: np.ndarray, h: np.ndarray) -> tuple[float, int]:
@@ -196,20 +190,26 @@ class Additive:
         return 1 / (1 + np.exp(-f))
 
 
-def fit(rows: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Additive:
-    """rows: doc_id and features. Only the sampled rows' features come to the driver, in the order of their ids."""
-    sample = rows.join(F.broadcast(training_sample(labels, label, most)), "doc_id").select("doc_id", "y", "features").dropDuplicates(["doc_id"])
-    held = sample.orderBy("doc_id").toArrow()
-    return Additive(unpacked(held.column("features")), held.column("y").to_numpy().astype(np.float64))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Additive:
+    """The sampled ids (at most `most`) are sent to the documents; their features come to the driver in a fixed order."""
+    chosen = docs.select("doc_id", "text").join(F.broadcast(training_sample(labels, label, most)), "doc_id")
+    held = feature_rows(chosen).toArrow()
+    x, y = (np.frombuffer(b"".join(held.column("features").to_pylist()), np.float32).reshape(-1, len(FEATURES)),
+            held.column("y").to_numpy().astype(np.float64))
+    order = np.lexsort((*x.T, y))  # sums then do not depend on where rows were read
+    return Additive(x[order], y[order])
 
 
-def scored(rows: DataFrame, model: Additive) -> DataFrame:
-    """All columns of rows but the features, and quality_score."""
-    kept = [f for f in rows.schema.fields if f.name not in ("features", "quality_score")]
+def scored(docs: DataFrame, model: Additive, least: float | None = None) -> DataFrame:
+    """All columns of docs and quality_score; with `least`, only documents that score so much."""
+    kept = [f for f in docs.schema.fields if f.name != "quality_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling = Rolling()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), pa.array(model.score(unpacked(b.column("features"))))],
-                                             [*(f.name for f in kept), "quality_score"])
+            parts = [model.score(features(rolling, data, offs)) for _, _, data, offs in text_slices(b.column("text"))]
+            score = np.concatenate([np.zeros(0), *parts])
+            out = pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), pa.array(score)], [*(f.name for f in kept), "quality_score"])
+            yield out if least is None else out.filter(pa.array(score >= least))
 
-    return rows.mapInArrow(run, StructType([*kept, StructField("quality_score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*kept, StructField("quality_score", DoubleType())]))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from netkpi.llm import decontaminate, exact_dedup, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
-from netkpi.sources.tables import materialize
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +20,8 @@ def register(fn):
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = mixing.word_counts(table(spark, sf_dir, "documents"))
     out = mixing.mixed(sized, mixing.mix_plan(sized))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return out.select("doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+                      (F.col("size") * F.col("mix_copies")).alias("taken"))
 
 
 @register
@@ -54,10 +54,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = materialize(quality.feature_rows(table(spark, sf_dir, "documents").select("doc_id", "text")), "quality-features")
-    model = quality.fit(rows, table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = F.col("quality_score")
-    return quality.scored(rows, model).select(
+    return quality.scored(docs, model).select(
         "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
 
 
