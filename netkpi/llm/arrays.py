@@ -9,7 +9,7 @@ import pyarrow as pa
 U = np.uint64
 
 
-def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of slices of about `limit` bytes; one longer text is a slice.
 
     Null counts as empty.

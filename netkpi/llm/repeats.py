@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from netkpi.llm.arrays import Rolling, mixed, text_slices
-from netkpi.llm.shared import attach
+from netkpi.llm.shared import discard, with_maybe
 from netkpi.sources.tables import materialize
 
 #: (rolling, bytes, byte offsets) to the units of all texts and the unit offsets.
@@ -141,10 +141,12 @@ def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps:
     steps: the grid of windows per round; the last is 1.
     """
     rows, width = rows_with_id(docs), length - seed + 1
-    spans = materialize(first_spans(rows, units, length, seed), "repeat-anchors")
-    # most anchors occur once: only those that do not go on, with their other columns
-    again = spans.groupBy("core").count().filter("count > 1").select("core")
-    spans = materialize(spans.join(again.hint("merge"), "core", "left_semi"), "repeat-spans")
+    every = materialize(first_spans(rows, units, length, seed), "repeat-anchors")
+    # most anchors occur once: only those that do not go on, with their other columns. What is joined on a frequent core
+    # is written first, so that Spark can split the join
+    again = materialize(every.groupBy("core").count().filter("count > 1").select("core"), "repeat-cores")
+    spans = materialize(every.join(again.hint("merge"), "core", "left_semi"), "repeat-spans")
+    discard(every)
     found = []
     for step in [*steps, None]:
         wholes = materialize(spans.groupBy("core", "whole").agg(
@@ -152,27 +154,32 @@ def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps:
             *[F.first(c).alias(c) for c in ("rid", "at", "low", "high")]), "repeat-wholes")
         open_ = F.max((~F.col("seen")).cast("int"))
         cores = wholes.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), open_.alias("open")).filter("kinds > 1 and open = 1")
+        cores = materialize(cores.select("core"), "repeat-cores")
         equal = wholes.filter("n > 1").select("core", "whole")
         # seen spans stand for others that are found already
         found.append(spans.filter("not seen").join(equal.hint("merge"), ["core", "whole"], "left_semi")
                      .select("rid", (F.col("at") + F.col("low")).alias("first"), (F.col("at") + F.col("high") + length).alias("end")))
         if step is None:
             break
-        next_ = wholes.join(cores.select("core").hint("merge"), "core", "left_semi")
+        next_ = wholes.join(cores.hint("merge"), "core", "left_semi")
         by_row = materialize(next_.groupBy("rid").agg(F.collect_list(F.struct("at", "low", "high", "seen")).alias("spans")), "repeat-open")
-        # rows that repeat id and text are one row here, as their spans are
-        texts = attach(rows, by_row, "rid", "spans", 32, "inner").select("rid", "text", "spans")
-        spans = materialize(cut_spans(texts, units, length, width, step).distinct(), "repeat-spans")
-    every = found[0]
+        # only texts that may have open spans move; rows that repeat id and text have no open span of their own
+        maybe = with_maybe(rows, by_row.select("rid"), "rid").filter("maybe")
+        texts = maybe.join(by_row.hint("merge"), "rid").select("rid", "text", "spans")
+        spans = materialize(cut_spans(texts, units, length, width, step), "repeat-spans")
+    union = found[0]
     for f in found[1:]:
-        every = every.unionAll(f)
-    return materialize(every.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("spans")), "repeat-found")
+        union = union.unionAll(f)
+    return materialize(union.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("spans")), "repeat-found")
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """All columns of docs and `spans`, null where nothing is repeated."""
-    rows = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-    return attach(rows, found, "rid", "spans", 24, "left").select(*docs.columns, "spans")
+    rows = with_maybe(docs.withColumn("rid", F.xxhash64("doc_id", "text")), found.select("rid"), "rid")
+    # texts that certainly have none stay where they are
+    alone = rows.filter("not maybe").withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType))
+    some = rows.filter("maybe").join(found.hint("merge"), "rid", "left")
+    return alone.select(*docs.columns, "spans").unionByName(some.select(*docs.columns, "spans"))
 
 
 def merged(spans: list) -> list[tuple[int, int]]:

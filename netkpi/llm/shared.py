@@ -26,6 +26,32 @@ def attach(left: DataFrame, right: DataFrame, key: str, elements: str | None, el
     return left.join(F.broadcast(right) if small else right.hint("merge"), key, how)
 
 
+#: Bits per key of a membership filter, and the most it may have (32 MB, so that it may be broadcast; a fuller filter lets
+#: more rows pass, which costs time, not results). A cell of the built-in bitmap functions has 2^15 bits.
+FILTER_BITS, MOST_FILTER_BITS, CELL = 16, 1 << 28, 1 << 15
+
+
+def with_maybe(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows with `maybe`: false means that the row's key (evenly spread longs) is certainly not among the written keys."""
+    bits = min(MOST_FILTER_BITS, max(CELL, CELL * -(-FILTER_BITS * keys.count() // CELL)))
+    bit = F.pmod(F.col(key), F.lit(bits))
+    cells = materialize(keys.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / CELL).alias("_cell"))
+                        .agg(F.bitmap_construct_agg(F.col("bit") % CELL).alias("_marks")), "filter")
+    at = (bit % CELL).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.call_function("shiftright", byte, at % 8).bitwiseAND(1) == 1, F.lit(False))
+    out = rows.withColumn("_cell", F.floor(bit / CELL)).join(F.broadcast(cells), "_cell", "left")
+    return out.withColumn("maybe", maybe).select(*rows.columns, "maybe")
+
+
+def discard(written: DataFrame) -> None:
+    """Delete the files of a frame from `materialize` that nothing reads any more."""
+    spark = written.sparkSession
+    for folder in {f.rpartition("/")[0] for f in written.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Slots per round of cut_at; two rounds leave a millionth of a group for the exact order.
 SLOTS = 1024
 
