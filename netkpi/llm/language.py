@@ -160,7 +160,7 @@ def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
         known, costs = np.zeros(0, U), np.zeros((0, k))
         for b in batches:
             out = []
-            for i, j, data, offs in text_slices(b.column("text"), 3 << 20):
+            for i, j, data, offs in text_slices(b.column("text"), 1 << 20):
                 code, doc, has = grams(letters, data, offs)
                 distinct, at = np.unique(code, return_inverse=True)
                 if len(distinct):
