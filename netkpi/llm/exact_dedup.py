@@ -75,6 +75,7 @@ def exact_groups(rows: DataFrame) -> DataFrame:
     longest = by_length.groupBy("text_sha256").agg(
         F.sum("n").alias("group_size"), F.max(F.struct("n_points", "lowest")).alias("best"))
     keep = longest.select("text_sha256", F.col("best.lowest").alias("keep_id"), F.col("best.n_points").alias("_most"), "group_size")
+    keep = materialize(keep, "exact-keep")  # so that Spark can split the join where a group is large
     same = again.join(keep, "text_sha256").select(
         "doc_id", "n_points", "text_sha256", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("_most"))).alias("kept"))
