@@ -84,7 +84,7 @@ def mix_plan(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: floa
     run = F.sum("size").over(order)
     # the document on which the goal falls is taken if that comes nearer to the goal than leaving it
     taken = run + run - F.col("size") <= F.col("goal") + F.col("goal")
-    before = F.shiftleft(F.shiftleft(F.col("_s0"), 10) + F.col("_s1"), 32) - 1
+    before = F.shiftleft(F.col("_s1"), 32) - 1
     last = (near.withColumn("ok", taken).groupBy("rank")
             .agg(F.max(F.when(F.col("ok"), F.col("v"))).alias("in"), F.max(before).alias("before"))
             .select("rank", F.coalesce("in", "before").alias("last_rank")))

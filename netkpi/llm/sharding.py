@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from netkpi.llm.shared import cut_at, slot_of
+from netkpi.llm.shared import cut_at, discard, slot_of
 from netkpi.sources.tables import materialize
 
 DIMENSIONS = ("d_size", "d_source", "d_lang")
@@ -41,11 +41,12 @@ def kd_shards(groups: DataFrame, shards: int) -> DataFrame:
     """Groups with `shard`, 0 to shards - 1.
 
     A row carries the shards its node is to hold: `first` and `held`. Every level splits all nodes at once; the nodes'
-    cuts are a small table, so rows are not moved.
+    cuts are a small table, so rows are not moved. Each level is written, so that plans stay short.
     """
-    at = groups.withColumns({"first": F.lit(0), "held": F.lit(int(shards))})
+    at = materialize(groups.withColumns({"first": F.lit(0), "held": F.lit(int(shards))}), "shard-level")
     while shards > 1:
-        at = _split(at)
+        last, at = at, materialize(_split(at), "shard-level")
+        discard(last)
         shards = -(-shards // 2)
     return at.withColumn("shard", F.col("first")).drop("first", "held")
 
@@ -65,22 +66,18 @@ def _split(at: DataFrame) -> DataFrame:
             .groupBy("first", "x", "goal", "_s0", "_s1", "h").agg(F.sum("w").alias("w")))
     run = F.sum("w").over(Window.partitionBy("first").orderBy("h"))
     inside = run + run - F.col("w") <= F.col("goal") + F.col("goal")
-    before = F.shiftleft(F.shiftleft(F.col("_s0"), 10) + F.col("_s1"), 32) - 1
+    before = F.shiftleft(F.col("_s1"), 32) - 1
     ends = (near.withColumn("ok", inside).groupBy("first", F.col("x").alias("x_end"))
             .agg(F.coalesce(F.max(F.when(F.col("ok"), F.col("h"))), F.max(before)).alias("h_end")))
     ends = materialize(ends, "shard-cuts")
     right = (F.col("x") > F.col("x_end")) | ((F.col("x") == F.col("x_end")) & (F.col("h") > F.col("h_end")))
     out = rows.join(ends, "first", "left").withColumn("_right", F.coalesce(right, F.lit(False)))
     return out.select(
-        *groups_columns(at),
+        *[c for c in at.columns if c not in ("first", "held")],
         F.when(F.col("_right"), F.col("first") + F.col("left")).otherwise(F.col("first")).alias("first"),
         F.when(F.col("left").isNull(), F.col("held")).when(F.col("_right"), F.col("held") - F.col("left")).otherwise(F.col("left")).cast("int").alias("held"))
 
 
-def groups_columns(at: DataFrame) -> list[str]:
-    return [c for c in at.columns if c not in ("first", "held")]
-
-
 def shards_for(rows: DataFrame, target_bytes: int) -> int:
     """How many shards bring each to the target size at most, on average."""
     return max(1, -(-int(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))

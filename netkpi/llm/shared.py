@@ -32,7 +32,7 @@ FILTER_BITS, MOST_FILTER_BITS, CELL = 16, 1 << 28, 1 << 15
 
 
 def with_maybe(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows with `maybe`: false means that the row's key (evenly spread longs) is certainly not among the written keys."""
+    """Rows with `_maybe`: false means that the row's key (evenly spread longs) is certainly not among the written keys."""
     bits = min(MOST_FILTER_BITS, max(CELL, CELL * -(-FILTER_BITS * keys.count() // CELL)))
     bit = F.pmod(F.col(key), F.lit(bits))
     cells = materialize(keys.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / CELL).alias("_cell"))
@@ -41,7 +41,7 @@ def with_maybe(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     byte = F.conv(F.hex(F.substring(F.col("_marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     maybe = F.coalesce(F.call_function("shiftright", byte, at % 8).bitwiseAND(1) == 1, F.lit(False))
     out = rows.withColumn("_cell", F.floor(bit / CELL)).join(F.broadcast(cells), "_cell", "left")
-    return out.withColumn("maybe", maybe).select(*rows.columns, "maybe")
+    return out.withColumn("_maybe", maybe).select(*rows.columns, "_maybe")
 
 
 def discard(written: DataFrame) -> None:
@@ -57,7 +57,7 @@ SLOTS = 1024
 
 
 def slot_of(hash_col: Column | str, round_no: int) -> Column:
-    """The slot of an evenly spread number from 0 to 2^52 - 1: its first ten bits, then its next ten."""
+    """The slot of an evenly spread number from 0 to 2^52 - 1: its first ten bits, then its first twenty."""
     return F.shiftright(F.col(hash_col) if isinstance(hash_col, str) else hash_col, 42 - 10 * round_no)
 
 
@@ -82,7 +82,7 @@ def cut_at(rows: DataFrame, goals: DataFrame, group: str, keys: Sequence[str], w
     """Per group the last place that lies in front of its goal, in the order of `keys`, then `tie`.
 
     rows: group, integer keys, weight, ties; the last key is an evenly spread number below 2^52. goals: group, goal.
-    Weights are summed per slot, first by each leading key, then by ten bits of the last one and ten more; only the
+    Weights are summed per slot, first by each leading key, then by the first ten bits of the last one and the first twenty; only the
     rows of the one slot in which the goal falls are put in order. So no task sees a whole group. Returns per group:
     the leading keys, `_s0`, `_s1` of the slot in which the goal falls and `goal`, what is left of it before that slot.
     A group without such a slot (its whole weight is not above the goal) has no row.
