@@ -163,7 +163,7 @@ def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
             for i, j, data, offs in text_slices(b.column("text"), 1 << 20):
                 code, doc, has = grams(letters, data, offs)
                 distinct, at = np.unique(code, return_inverse=True)
-                if len(distinct):
+                if k and len(distinct):
                     # each 4-gram is looked up in the models once per task
                     new = np.setdiff1d(distinct, known, assume_unique=True)
                     if len(new):

@@ -164,7 +164,7 @@ def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps:
         next_ = wholes.join(cores.hint("merge"), "core", "left_semi")
         by_row = materialize(next_.groupBy("rid").agg(F.collect_list(F.struct("at", "low", "high", "seen")).alias("spans")), "repeat-open")
         # only texts that may have open spans move; rows that repeat id and text have no open span of their own
-        maybe = with_maybe(rows, by_row.select("rid"), "rid").filter("maybe")
+        maybe = with_maybe(rows, by_row.select("rid"), "rid").filter("_maybe")
         texts = maybe.join(by_row.hint("merge"), "rid").select("rid", "text", "spans")
         spans = materialize(cut_spans(texts, units, length, width, step), "repeat-spans")
     union = found[0]
@@ -174,12 +174,13 @@ def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps:
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """All columns of docs and `spans`, null where nothing is repeated."""
-    rows = with_maybe(docs.withColumn("rid", F.xxhash64("doc_id", "text")), found.select("rid"), "rid")
+    """All columns of docs and `_spans`, null where nothing is repeated."""
+    found = found.toDF("_rid", "_spans")
+    rows = with_maybe(docs.withColumn("_rid", F.xxhash64("doc_id", "text")), found.select("_rid"), "_rid")
     # texts that certainly have none stay where they are
-    alone = rows.filter("not maybe").withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType))
-    some = rows.filter("maybe").join(found.hint("merge"), "rid", "left")
-    return alone.select(*docs.columns, "spans").unionByName(some.select(*docs.columns, "spans"))
+    alone = rows.filter("not _maybe").withColumn("_spans", F.lit(None).cast(found.schema["_spans"].dataType))
+    some = rows.filter("_maybe").join(found.hint("merge"), "_rid", "left")
+    return alone.select(*docs.columns, "_spans").unionByName(some.select(*docs.columns, "_spans"))
 
 
 def merged(spans: list) -> list[tuple[int, int]]:

@@ -42,7 +42,7 @@ def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, removed, text = [], [], []
-            for t, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
+            for t, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
                 words = (t or "").encode("utf-8", "surrogatepass").split()
                 out, to = [], 0
                 for first, end in repeats.merged(spans):

@@ -47,7 +47,7 @@ def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, removed, runs, text = [], [], [], []
-            for t, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist(), strict=True):
+            for t, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("_spans").to_pylist(), strict=True):
                 t, out, to = t or b"", [], 0
                 cut = repeats.merged(spans)
                 for first, end in cut:
