@@ -5,9 +5,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# a filter `row_number() <= k` is applied before the shuffle only up to this k
-# (default of spark.sql.optimizer.windowGroupLimitThreshold)
-PRE_SHUFFLE_LIMIT = 1000
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], hint=lambda d: d) -> DataFrame:
+    """Inner join on equal keys in which NULL equals NULL; one copy of the keys stays."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(hint(other), same).drop(*[f"_right_{k}" for k in keys])
 
 
 def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Sequence[str],
@@ -32,7 +35,7 @@ def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Seq
     # Spark reuse the shuffle below instead of running a second one on the values alone
     weighed = F.when(sum((F.col(w) for w in weights), F.lit(0)) >= 0, number)
     cuts = df.groupBy(*group).agg(F.percentile_approx(weighed, marks, slots * 20).alias("_cuts"))
-    joined = df.join(hint(cuts), group) if group else df.withColumn("_cuts", cuts.scalar())
+    joined = join_same(df, cuts, group, hint) if group else df.withColumn("_cuts", cuts.scalar())
     # never NULL: a nullable join key would be tested, and thereby computed, a second time
     slot = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c < number)), F.lit(0))
     placed = joined.withColumn("_slot", slot).drop("_cuts")
@@ -49,18 +52,23 @@ def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Seq
     )
     placed = placed.withColumns({f"_in_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
     return (
-        placed.join(hint(offsets), [*group, "_slot"])
+        join_same(placed, offsets, [*group, "_slot"], hint)
         .withColumns({f"{w}_before": F.col(f"_in_{w}") + F.col(f"_shift_{w}") for w in weights})
         .drop("_slot", *[f"_in_{w}" for w in weights], *[f"_shift_{w}" for w in weights])
     )
 
 
 def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str = "rank") -> DataFrame:
-    """SQL rank() by descending value inside each group; rows of equal value share one count row."""
+    """SQL rank() by descending value inside each group, NULL values last; rows of equal value share one count row.
+
+    Every row stays: a NULL group is a group, and NULL values share the rank after the last value.
+    """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, group, value, ["n"]).select(
         *group, value, (F.col("n_total") - F.col("n_before") - F.col("n") + 1).alias(name))
-    return df.join(ranked, [*group, value])
+    nulls = df.groupBy(*group).agg(F.count(value).alias("_n"), F.count_if(F.col(value).isNull()).alias("_null")).filter("_null > 0")
+    last = nulls.select(*group, F.lit(None).cast(df.schema[value].dataType).alias(value), (F.col("_n") + 1).alias(name))
+    return join_same(df, ranked.unionByName(last), [*group, value])
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -69,9 +77,16 @@ def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def top_rows_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """First k rows of each group. Up to PRE_SHUFFLE_LIMIT every task cuts its groups to k first."""
-    if k > PRE_SHUFFLE_LIMIT:
-        raise ValueError(f"k above {PRE_SHUFFLE_LIMIT} would gather whole groups; use rank_within and filter")
+    """First k rows of each group.
+
+    Up to the session's threshold Spark cuts every group to k rows in the map tasks. For a larger k parts of a group are
+    cut to k apart first, so that the last step sees k rows per part and no task sorts a whole group.
+    """
+    conf = df.sparkSession.conf
+    if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
+        within = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_pos", F.row_number().over(within)).filter(F.col("_pos") <= k).drop("_part", "_pos")
     pos = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("position", pos).filter(F.col("position") <= k)
 

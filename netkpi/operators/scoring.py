@@ -26,11 +26,19 @@ def confusion(scored: DataFrame, classes: Sequence[int] = (0, 1)) -> DataFrame:
 
 
 def score_counts(scored: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per distinct score: all that rank metrics need, far smaller than the rows."""
-    return scored.groupBy(*by, "score").agg(
+    """Positives and negatives per distinct score: all that rank metrics need, far smaller than the rows.
+
+    Rows without a score are left out; missing_scores tells how many.
+    """
+    return scored.filter(F.col("score").isNotNull()).groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
 
 
+def missing_scores(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows and rows without a score, per group."""
+    return scored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("score").isNull()).alias("n_missing"))
+
+
 def _cumulated(scored: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
     """Per distinct score: positives and negatives at or above it."""
     r = running_totals(score_counts(scored, by), by, "score", ["pos", "neg"], bounded_groups=few_groups)

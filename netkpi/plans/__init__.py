@@ -7,9 +7,7 @@ _ALL = (
     "source_queries", "expression_queries", "kpi_queries", "order_queries",
     "series_queries", "feature_queries", "model_queries", "stream_queries",
 )
-import importlib.util as _u
-_MODULES = [m for m in _ALL if _u.find_spec(f"netkpi.plans.{m}")]
-for _name in _MODULES:
+for _name in _ALL:
     import_module(f"netkpi.plans.{_name}")
 
 __all__ = ["COVERS", "ORACLES", "QUERIES"]
