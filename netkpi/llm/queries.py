@@ -92,3 +92,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.kept(docs, substring_dedup.found_spans(docs))
     return out.select("doc_id", F.col("sub_words").alias("n_words"), F.col("sub_removed").alias("n_removed"),
                       F.sha2(F.col("sub_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op8_exact_dedup"] = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), k AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM n
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+"""
