@@ -106,3 +106,94 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 """
+
+ORACLES["op1_pareto_mix"] = r"""
+WITH n AS (
+  SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
+         CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS bits
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM n GROUP BY source
+), w AS (
+  SELECT *, ([5.0::DOUBLE, 2.0, 1.0])[rank % 3 + 1] AS weight, source_size * 2.0::DOUBLE AS cap FROM s
+), r AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM w
+), t AS (
+  SELECT source, source_size, least(cap, weight * coalesce(
+           (SELECT arg_min(rate, (cap / weight, rank)) FROM r WHERE rate * weight <= cap), 'inf'::DOUBLE)) AS target
+  FROM r
+), c AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS certain,
+         CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS p
+  FROM t
+), v AS (
+  SELECT n.doc_id, n.size, c.source, source_size, target, certain, greatest(0, target - certain * source_size) AS goal,
+         CASE WHEN p > 0 THEN ((bits + 0.5::DOUBLE) / 4503599627370496 / (1 - (bits + 0.5::DOUBLE) / 4503599627370496)) / (p / (1 - p)) END AS q
+  FROM n JOIN c ON n.source IS NOT DISTINCT FROM c.source
+), o AS (
+  SELECT *, floor(q / (1 + q) * 4503599627370496) AS place FROM v
+), run AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place) AS run, sum(size) OVER (PARTITION BY source, place) AS together FROM o
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (certain + CASE WHEN place IS NOT NULL AND goal > 0 AND run + run - together <= goal + goal THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM run
+"""
+
+ORACLES["op4_decontaminate"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item_id, least(13, len(words)) AS n,
+         unnest(list_transform(range(1, greatest(1, len(words) - 12) + 1), lambda i: array_to_string(words[i:i + 12], ' '))) AS seq
+  FROM b WHERE len(words) > 0
+), lengths AS (
+  SELECT DISTINCT n FROM wanted
+), windows AS (
+  SELECT rid, n, unnest(range(1, len(words) - n + 2)) AS k,
+         unnest(list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))) AS seq
+  FROM d, lengths WHERE len(words) >= n
+), found AS (
+  SELECT rid, k, n, item_id FROM windows JOIN wanted USING (n, seq)
+), hit AS (
+  SELECT rid, count(*) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(k, k + n)) AS word FROM found) GROUP BY rid
+), items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
+"""
+
+ORACLES["op10_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT rid, unnest(range(1, len(words) - 33)) AS k,
+         unnest(list_transform(range(1, len(words) - 33), lambda i: md5(array_to_string(words[i:i + 34], ' ')))) AS seq
+  FROM d WHERE len(words) >= 35
+), gone AS (
+  SELECT rid, k, lead(k) OVER (PARTITION BY rid ORDER BY k) AS next
+  FROM (SELECT rid, k, count(*) OVER (PARTITION BY seq) AS n FROM windows) WHERE n > 1
+), words AS (
+  SELECT DISTINCT rid, unnest(range(k, least(k + 35, coalesce(next, k + 35)))) AS word FROM gone
+), marked AS (
+  SELECT rid, list(word) AS removed FROM words GROUP BY rid
+), flat AS (
+  SELECT d.rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM d
+), kept AS (
+  SELECT f.rid, string_agg(f.word, ' ' ORDER BY f.k) AS text
+  FROM flat f LEFT JOIN words w ON w.rid = f.rid AND w.word = f.k WHERE w.rid IS NULL GROUP BY f.rid
+)
+SELECT doc_id, len(d.words) AS n_words, coalesce(len(removed), 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN marked USING (rid) LEFT JOIN kept USING (rid)
+"""
