@@ -63,7 +63,9 @@ def enrich_facts(fact: DataFrame, dim: DataFrame, keep_both_keys: bool = False,
 
 
 def attach_calendar(series: DataFrame, calendar: DataFrame, ds: str = "ds") -> DataFrame:
-    """Left join of a series to a user-supplied holiday calendar (day, holiday)."""
+    """Left join of a series to a user-supplied holiday calendar (day, holiday); several holidays of a day share its row."""
+    names = F.array_join(F.sort_array(F.collect_set("holiday")), ", ")
+    calendar = calendar.groupBy("day").agg(F.nullif(names, F.lit("")).alias("holiday"))
     return (
         series.join(calendar, F.to_date(F.col(ds)) == F.col("day"), "left")
         .drop("day")

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netkpi.operators.ordering import best_per_group, top_rows
+from netkpi.operators.ordering import top_rows, top_rows_per_group
 from netkpi.sources.tables import append_table
 
 
@@ -16,8 +16,9 @@ def newest_run(runs: DataFrame, name: str) -> DataFrame:
 
 
 def newest_run_per_name(runs: DataFrame) -> DataFrame:
-    cols = [c for c in runs.columns if c != "name"]
-    return best_per_group(runs, ["name"], F.struct("started", "run_id"), cols)
+    """Each map task keeps one row per name before the shuffle."""
+    order = [F.col("started").desc(), F.col("run_id").desc()]
+    return top_rows_per_group(runs, ["name"], order, 1).drop("position")
 
 
 def _ordered(metric: Column, lower_is_better: bool) -> list[Column]:

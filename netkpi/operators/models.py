@@ -4,28 +4,34 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from netkpi.operators.features import fit_levels
 from netkpi.operators.scoring import binary_metrics
+from netkpi.sources.tables import materialize
 
 
 def encode_labels(train: DataFrame, df: DataFrame, column: str, output: str) -> DataFrame:
-    """Alphabetical label codes learned on train; unseen labels get the next code.
+    """Alphabetical label codes learned on train; NULL and unseen labels get the next code.
 
-    The number of labels is checked before they come to the driver.
+    Labels are numbered where they are: in ranges of their order, shifted by the labels of the ranges before.
     """
-    labels = fit_levels(train, [column])[column]
-    indexer = StringIndexerModel.from_labels(labels, inputCol=column, outputCol=output, handleInvalid="keep")
-    return indexer.transform(df)
+    levels = train.select(F.col(column).cast("string").alias("_level")).filter("_level is not null").distinct()
+    placed = materialize(levels.repartitionByRange("_level").withColumn("_range", F.spark_partition_id()), "label-levels")
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_level")) - 1
+    # one row per partition of the labels
+    codes = placed.withColumn("_no", inside).join(F.broadcast(starts), "_range").select(
+        "_level", (F.col("_no") + F.col("_start")).cast("double").alias(output))
+    unseen = placed.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    out = df.join(codes, F.col(column).cast("string") == F.col("_level"), "left")
+    return out.withColumn(output, F.coalesce(output, unseen)).drop("_level")
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -136,14 +142,8 @@ def linear_score(inputs: Sequence[str], coefficients: Sequence[float], intercept
 
 
 def register_linear_scorer(spark: SparkSession, name: str, coefficients: Sequence[float], intercept: float) -> str:
-    """Make the model callable in SQL as name(array(inputs)), vectorised over Arrow batches."""
-    weights, bias = np.asarray(coefficients, dtype=float), float(intercept)
-
-    @F.pandas_udf("double")
-    def scorer(rows: pd.Series) -> pd.Series:
-        if rows.empty:
-            return pd.Series([], dtype=float)
-        return pd.Series(np.stack(rows.to_numpy()) @ weights + bias)
-
-    spark.udf.register(name, scorer)
+    """Make the model callable in SQL as name(array(inputs)); an expression, NULL for a NULL array or input."""
+    weights = ", ".join(f"{float(w)!r}D" for w in coefficients)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(inputs ARRAY<DOUBLE>) RETURNS DOUBLE RETURN
+        aggregate(zip_with(inputs, array({weights}), (x, w) -> x * w), {float(intercept)!r}D, (total, part) -> total + part)""")
     return name

@@ -21,13 +21,13 @@ def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Seq
     values; a slot holds about 1/slots of them, so the sorted running sum is taken per
     (group, slot) and shifted by the slots before it. The cuts only place the work: the result
     does not depend on their accuracy. Offsets are at most slots + 1 rows per group. By default
-    there are as many slots as shuffle partitions, 256 at most.
+    there are as many slots as shuffle partitions.
 
     `bounded_groups` states that the groups are few by construction (columns of a table, splits);
     their cuts and offsets are then broadcast. Otherwise the join is picked by measured size.
     """
     group, weights = list(group), list(weights)
-    slots = slots or max(2, min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    slots = slots or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hint = F.broadcast if bounded_groups else (lambda d: d)
     marks = F.array(*[F.lit(i / slots) for i in range(1, slots)])
     number = F.col(value).cast("double")
@@ -91,12 +91,6 @@ def top_rows_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Colu
     return df.withColumn("position", pos).filter(F.col("position") <= k)
 
 
-def best_per_group(df: DataFrame, group: Sequence[str], order: Column, columns: Sequence[str]) -> DataFrame:
-    """The row greatest in `order` per group as an aggregate: combined in the map tasks, no sort."""
-    best = F.max_by(F.struct(*columns), order)
-    return df.groupBy(*group).agg(best.alias("_best")).select(*group, "_best.*")
-
-
 def repeatable_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """At most n rows, the same ones on any partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key))), key).limit(n)

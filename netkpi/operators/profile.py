@@ -35,17 +35,25 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    """(column, value, n) without NULLs; equal values meet in the map tasks first."""
-    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]
+    """(column, exact, value, n) without NULLs; equal values meet in the map tasks first.
+
+    `exact` is the value in its own type as text, so that large integers which share a double stay apart.
+    """
+    def exact(c: str) -> Column:
+        same_zero = F.when(F.col(c) == 0, F.lit(0).cast(df.schema[c].dataType)).otherwise(F.col(c)) if kind == "double" else F.col(c)
+        return same_zero.cast("string")
+
+    items = [F.struct(F.lit(c).alias("column"), exact(c).alias("exact"), F.col(c).cast(kind).alias("value")) for c in columns]
     return (
         df.select(F.inline(F.array(*items))).filter(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("column", "exact", "value").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def exact_quartiles(counts: DataFrame) -> DataFrame:
     """Interpolated quartiles per column from distinct values and their counts."""
-    ranked = running_totals(counts, ["column"], "value", ["n"], bounded_groups=True)
+    by_value = counts.groupBy("column", "value").agg(F.sum("n").alias("n"))
+    ranked = running_totals(by_value, ["column"], "value", ["n"], bounded_groups=True)
 
     def value_at(rank: Column) -> Column:
         hit = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

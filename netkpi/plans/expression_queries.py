@@ -121,12 +121,10 @@ def training_stamp(spark, sf_dir):
 
 
 @register("label_codes", "B17", """
-SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS label FROM orders
-WHERE CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END IS NOT NULL""")
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS label FROM orders""")
 def label_codes(spark, sf_dir):
     return adapters.load(spark, sf_dir, "orders").select(
-        "o_orderkey", scalar.label_code(F.col("o_orderstatus"), {"F": 1, "O": 0}).alias("label")
-    ).filter(F.col("label").isNotNull())
+        "o_orderkey", scalar.label_code(F.col("o_orderstatus"), {"F": 1, "O": 0}).alias("label"))
 
 
 @register("clean_column_names", "B18", """
@@ -137,12 +135,14 @@ def clean_column_names(spark, sf_dir):
     return names.rename_all(df, names.feature_name)
 
 
-@register("drop_null_rows", "B20", o.with_(o.EVENT) + """
-SELECT * FROM event_record WHERE entity_id IS NOT NULL AND event_ts IS NOT NULL AND outcome IS NOT NULL AND channel IS NULL""")
+@register("drop_null_rows", "B20", """
+SELECT * FROM documents LEFT JOIN labels USING (doc_id)
+WHERE doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
+  AND quality IS NOT NULL AND toxic IS NOT NULL""")
 def drop_null_rows(spark, sf_dir):
-    events = adapters.event_records(spark, sf_dir)
-    whole = events.select("entity_id", "event_ts", "outcome").dropna(how="any")
-    return whole.withColumn("channel", F.lit(None).cast("string"))
+    """Documents without a label, or with a NULL in any column, go."""
+    docs, labels = (adapters.load(spark, sf_dir, n) for n in ("documents", "labels"))
+    return docs.join(labels, "doc_id", "left").dropna(how="any")
 
 
 @register("coerce_numbers", "B21", """

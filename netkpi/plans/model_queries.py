@@ -123,5 +123,5 @@ def linear_scores_sql(spark, sf_dir):
     wide, inputs = _inputs(spark, sf_dir)
     model = models.fit_elastic_net(wide.filter(F.col("split") == "train"), inputs, "quality")
     name = models.register_linear_scorer(spark, tables.fresh_name("score"), model.coefficients, model.intercept)
-    vector = f"array({', '.join(f'CAST({c} AS DOUBLE)' for c in inputs)})"
+    vector = f"array({', '.join(f'CAST(`{c}` AS DOUBLE)' for c in inputs)})"
     return wide.selectExpr("doc_id", "split", f"{name}({vector}) AS score")

@@ -81,7 +81,8 @@ def last_rows_per_series(spark, sf_dir):
     return ordering.top_rows_per_group(events, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3)
 
 
-@register("seeded_sample", "E5")
+@register("seeded_sample", "E5", o.with_(o.LABELLED) + """
+SELECT doc_id, quality, toxic, lang, source, n_chars FROM labelled ORDER BY md5('42|' || doc_id::VARCHAR), doc_id LIMIT 100""")
 def seeded_sample(spark, sf_dir):
     return ordering.repeatable_sample(adapters.labelled_rows(spark, sf_dir), "doc_id", 100, 42)
 
@@ -102,7 +103,7 @@ def at_risk_per_segment(spark, sf_dir):
     return ordering.top_rows_per_group(scored, ["lang"], [F.col("score").desc(), F.col("doc_id")], 5)
 
 
-_NUM = ("o_custkey", "o_totalprice")
+_NUM = ("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @register("profile_numeric", "D16", "\nUNION ALL ".join(f"""

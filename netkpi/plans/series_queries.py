@@ -8,6 +8,7 @@ from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, files, tables
 
 START, END = "2024-01-01", "2024-01-15"
+FORECAST_END = "2024-01-22"  # 168 hours after END
 ORDER_START = "1995-01-01"
 
 _BAND = "p AS yhat, p - 1.959963984540054 * sigma AS yhat_lower, p + 1.959963984540054 * sigma AS yhat_upper"
@@ -48,9 +49,9 @@ def _series(spark, sf_dir):
     return ts.count_series(adapters.load(spark, sf_dir, "events"), "event_type", "ts", "1 hour")
 
 
-def _history(spark, sf_dir, end=END):
+def _history(spark, sf_dir, end=END, start=START):
     """The time range is applied to the events, where it prunes the scan."""
-    events = adapters.load(spark, sf_dir, "events").filter(scalar.in_range(F.col("ts"), START, end))
+    events = adapters.load(spark, sf_dir, "events").filter(scalar.in_range(F.col("ts"), start, end))
     return ts.count_series(events, "event_type", "ts", "1 hour")
 
 
@@ -63,7 +64,9 @@ def _user_history(spark, sf_dir):
 SELECT entity_id, datetime AS ds, sum(dropped)::DOUBLE AS y FROM hour_kpi
 WHERE datetime >= TIMESTAMP '{START}' AND datetime < TIMESTAMP '{END}' GROUP BY 1, 2""")
 def series_sum(spark, sf_dir):
-    hour = kpi.event_kpi(adapters.event_records(spark, sf_dir), "1 hour")
+    # the bounds are whole hours, so filtering records gives the same windows and reaches the scan
+    records = adapters.event_records(spark, sf_dir).filter(scalar.in_range(F.col("event_ts"), START, END))
+    hour = kpi.event_kpi(records, "1 hour")
     return ts.training_history(ts.series_sum(hour, ["entity_id"], "datetime", "dropped"), START, END)
 
 
@@ -278,7 +281,7 @@ SELECT s.entity_id, s.ds, s.y AS actual, {_FORECAST_OUT}, trained_at,
 FROM series s JOIN forecast f ON s.entity_id = f.entity_id AND s.ds = f.ds
 WHERE trained_at = (SELECT max(trained_at) FROM forecast)""")
 def anomalies(spark, sf_dir):
-    flagged = anomaly.flag_anomalies(_series(spark, sf_dir), _latest(spark, sf_dir))
+    flagged = anomaly.flag_anomalies(_history(spark, sf_dir, FORECAST_END), _latest(spark, sf_dir))
     return rounded(flagged, *_BAND_COLS, "anomaly_size")
 
 
@@ -288,7 +291,7 @@ WHERE s.ds = TIMESTAMP '2024-01-15' AND trained_at = TIMESTAMP '2024-01-15'""")
 def actuals_with_forecast(spark, sf_dir):
     slot = F.col("ds") == F.lit("2024-01-15").cast("timestamp_ntz")
     fcs = _latest(spark, sf_dir).filter(slot).select("entity_id", "yhat")
-    actual = _series(spark, sf_dir).filter(slot).select("entity_id", F.col("y").alias("actual"))
+    actual = _history(spark, sf_dir, "2024-01-15 01:00:00", "2024-01-15").filter(slot).select("entity_id", F.col("y").alias("actual"))
     return rounded(actual.join(fcs, "entity_id"), "yhat")
 
 

@@ -5,12 +5,11 @@ from netkpi import schemas
 from netkpi.functions.scalar import utc_wallclock
 from netkpi.operators import kpi
 from netkpi.plans import oracle_parts as o
-from netkpi.plans.registry import register
+from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, files, tables
 from netkpi.streaming import ingest, rollup, run
 
 DELAY = "10 minutes"
-_CLOSED = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
 
 
 def _events(spark, sf_dir):
@@ -18,17 +17,21 @@ def _events(spark, sf_dir):
     return ingest.file_stream(spark, f"{sf_dir}/events.parquet*", schemas.EVENT_TABLE, "parquet")
 
 
-def _drain(spark, stream, label):
-    out = run.drain(stream, tables.fresh_path(spark, label), tables.fresh_path(spark, f"{label}-state"))
+def _wallclock(out):
     for name, kind in out.dtypes:
         if kind == "timestamp":
             out = out.withColumn(name, utc_wallclock(name))
     return out
 
 
-def _windows(spark, stream, label):
-    """Only the start of the window leaves the stream; nested columns stay inside."""
-    return _drain(spark, kpi.started(stream), label)
+def _drain(spark, stream, label):
+    return _wallclock(run.drain(stream, tables.fresh_path(spark, label), tables.fresh_path(spark, f"{label}-state")))
+
+
+def _level(spark, stream, label):
+    """All windows of a level; only their start leaves the stream."""
+    out, state = tables.fresh_path(spark, label), tables.fresh_path(spark, f"{label}-state")
+    return _wallclock(run.drain_levels(kpi.started(stream), out, state, ["datetime", "entity_id"]))
 
 
 @register("stream_json_events", "H1 H9", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -49,45 +52,45 @@ def stream_silver(spark, sf_dir):
     return _drain(spark, ingest.silver_stream(records, adapters.entity_dimension(spark, sf_dir), rules), "silver")
 
 
-@register("stream_table_sink", "H8", "SELECT user_id AS entity_id, ts AS event_ts, value AS duration FROM events WHERE event_type = 'view'")
+@register("stream_table_sink", "H8", o.with_(o.PROC) + "SELECT * FROM proc_record")
 def stream_table_sink(spark, sf_dir):
-    rows = adapters.as_procedure_records(_events(spark, sf_dir)).filter(F.col("proc_code") == "15").drop("proc_code")
+    rows = adapters.as_procedure_records(_events(spark, sf_dir))
     name = tables.fresh_name("procedures")
     run.start_table(rows, name, tables.fresh_path(spark, name), tables.fresh_path(spark, f"{name}-state")).awaitTermination()
     return spark.table(name)
 
 
-@register("stream_kpi_minute", "H4 H6", o.with_(o.EVENT, o.MINUTE) + f"""
-SELECT * FROM minute_kpi WHERE datetime + INTERVAL 1 MINUTE <= {_CLOSED}""")
-def stream_kpi_minute(spark, sf_dir):
+def _kpi_level(spark, sf_dir, interval, label):
     records = ingest.with_event_time(adapters.as_event_records(_events(spark, sf_dir)))
-    return _windows(spark, rollup.minute_stream(records, DELAY), "minute")
+    return _level(spark, rollup.level_stream(records, DELAY, interval), label)
+
+
+@register("stream_kpi_minute", "H4 H6", o.with_(o.EVENT, o.MINUTE) + "SELECT * FROM minute_kpi")
+def stream_kpi_minute(spark, sf_dir):
+    return _kpi_level(spark, sf_dir, "1 minute", "minute")
+
+
+_MEASURES = ", ".join(
+    f"round(avg(duration) FILTER (WHERE proc_code = '{c}'), 6) AS avg_{n}, max(duration) FILTER (WHERE proc_code = '{c}') AS max_{n}, "
+    f"min(duration) FILTER (WHERE proc_code = '{c}') AS min_{n}" for c, n in kpi.PROCEDURE_CODES.items())
 
 
 @register("stream_kpi_procedure", "H4", o.with_(o.PROC) + f"""
-SELECT date_trunc('minute', event_ts) AS datetime, entity_id, round(avg(duration) FILTER (WHERE proc_code = '11'), 6) AS avg_release_bearer,
-  max(duration) FILTER (WHERE proc_code = '15') AS max_notification_sent, min(duration) FILTER (WHERE proc_code = '16') AS min_setup_bearer,
-  count(*) AS total_records FROM proc_record GROUP BY 1, 2
-HAVING date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <= {_CLOSED}""")
+SELECT date_trunc('minute', event_ts) AS datetime, entity_id, {_MEASURES}, count(*) AS total_records FROM proc_record GROUP BY 1, 2""")
 def stream_kpi_procedure(spark, sf_dir):
     records = ingest.with_event_time(adapters.as_procedure_records(_events(spark, sf_dir)))
-    out = _windows(spark, rollup.procedure_stream(records, DELAY), "procedure")
-    return out.select("datetime", "entity_id", F.round("avg_release_bearer", 6).alias("avg_release_bearer"),
-                      "max_notification_sent", "min_setup_bearer", "total_records")
+    out = _level(spark, rollup.procedure_stream(records, DELAY), "procedure")
+    return rounded(out, *[f"avg_{n}" for n in kpi.PROCEDURE_CODES.values()])
 
 
-@register("stream_kpi_hour", "H5", o.with_(o.EVENT, o.MINUTE, o.HOUR) + f"""
-SELECT * FROM hour_kpi WHERE datetime + INTERVAL 1 HOUR <= {_CLOSED}""")
+@register("stream_kpi_hour", "H5", o.with_(o.EVENT, o.MINUTE, o.HOUR) + "SELECT * FROM hour_kpi")
 def stream_kpi_hour(spark, sf_dir):
-    records = ingest.with_event_time(adapters.as_event_records(_events(spark, sf_dir)))
-    return _windows(spark, rollup.coarser_stream(rollup.minute_stream(records, DELAY), "1 hour"), "hour")
+    return _kpi_level(spark, sf_dir, "1 hour", "hour")
 
 
-@register("stream_kpi_day", "H5", o.with_(o.EVENT, o.MINUTE, o.DAY) + f"""
-SELECT * FROM day_kpi WHERE datetime + INTERVAL 1 DAY <= {_CLOSED}""")
+@register("stream_kpi_day", "H5", o.with_(o.EVENT, o.MINUTE, o.DAY) + "SELECT * FROM day_kpi")
 def stream_kpi_day(spark, sf_dir):
-    records = ingest.with_event_time(adapters.as_event_records(_events(spark, sf_dir)))
-    return _windows(spark, rollup.coarser_stream(rollup.minute_stream(records, DELAY), "1 day"), "day")
+    return _kpi_level(spark, sf_dir, "1 day", "day")
 
 
 @register("stream_unique_events", "H7", """

@@ -10,6 +10,11 @@ def minute_stream(events: DataFrame, delay: str, ts: str = "event_ts") -> DataFr
     return kpi.windowed(events.withWatermark(ts, delay), ts, ["entity_id"], "1 minute", kpi.event_counts())
 
 
+def level_stream(events: DataFrame, delay: str, interval: str, ts: str = "event_ts") -> DataFrame:
+    """One level straight from the records, for update mode, in which windows may not be chained."""
+    return kpi.windowed(events.withWatermark(ts, delay), ts, ["entity_id"], interval, kpi.event_counts())
+
+
 def procedure_stream(procedures: DataFrame, delay: str, ts: str = "event_ts") -> DataFrame:
     return kpi.windowed(procedures.withWatermark(ts, delay), ts, ["entity_id"], "1 minute", kpi.procedure_measures())
 

@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 
 def start_files(stream: DataFrame, path: str, checkpoint: str, name: str | None = None,
@@ -40,6 +42,23 @@ def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def drain_levels(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """Process everything that is there and read the whole level, open windows included.
+
+    Each trigger writes the windows it changed under its batch id (a repeated batch replaces its own folder); of every
+    key the row of the newest batch counts. A later run with the same checkpoint goes on where this one stopped.
+    """
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+
+    query = (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).foreachBatch(keep).start())
+    query.awaitTermination()
+    stored = stream.sparkSession.read.schema(StructType(list(stream.schema.fields)).add("batch_id", "long")).parquet(path)
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("batch_id").desc()))
+    return stored.withColumn("_newest", newest).filter("_newest = 1").drop("_newest", "batch_id")
+
+
 def active_streams(spark: SparkSession, prefix: str) -> list[StreamingQuery]:
     return [q for q in spark.streams.active if (q.name or "").startswith(prefix)]
 

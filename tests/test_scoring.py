@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from netkpi.functions import names, scalar
-from netkpi.operators import features, ledger, models, scoring
+from netkpi.operators import features, ledger, models, profile, scoring
 
 SCORED = "split string, label int, score double"
 
@@ -178,6 +178,24 @@ def test_unseen_label_gets_the_next_code(spark, rows):
     assert rows(models.encode_labels(train, df, "c", "code")) == [("a", 0.0), ("b", 1.0), ("z", 2.0)]
 
 
+def test_any_number_of_labels_gets_codes(spark):
+    df = spark.range(1500).selectExpr("concat('l', id) AS c").unionAll(spark.sql("SELECT CAST(NULL AS STRING)"))
+    got = {r["c"]: r["code"] for r in models.encode_labels(df.repartition(9), df, "c", "code").collect()}
+    names = sorted(c for c in got if c)
+    assert [got[c] for c in names] == list(range(1500)) and got[None] == 1500
+
+
+def test_sql_scorer_takes_null_rows(spark):
+    name = models.register_linear_scorer(spark, "score_null", [2.0, 1e-7], 1.0)
+    df = spark.sql(f"SELECT {name}(array(1D, 0D)) AS a, {name}(CAST(NULL AS ARRAY<DOUBLE>)) AS b, {name}(array(1D, NULL)) AS c")
+    assert tuple(df.first()) == (3.0, None, None)
+
+
+def test_profile_keeps_large_integers_apart(spark):
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,), (0,)], "x long")
+    assert profile.numeric_profile(df, ["x"]).first()["n_distinct"] == 3
+
+
 def test_best_run_ignores_unfinished_and_puts_null_last(spark):
     runs = spark.createDataFrame([(1, "FINISHED", None), (2, "FAILED", 0.1), (3, "FINISHED", 0.5), (4, "FINISHED", 0.5)],
                                  "run_id long, status string, m double")

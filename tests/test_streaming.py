@@ -127,3 +127,16 @@ def test_a_new_column_is_read_once_it_is_declared(spark, rows):
     grown = T.StructType.fromDDL("id long, extra string")
     got = run.drain(ingest.file_stream(spark, path, grown), tables.fresh_path(spark, "out"), tables.fresh_path(spark, "state"))
     assert rows(got, "id", "extra") == [(1, None), (2, "x")]
+
+
+def test_level_holds_open_windows_and_their_newest_count(spark, rows):
+    path, out, state = (tables.fresh_path(spark, p) for p in ("in", "out", "state"))
+    t = dt(2024, 1, 1, 12)
+    level = lambda: run.drain_levels(
+        kpi.started(rollup.level_stream(source(spark, path), "10 minutes", "1 hour")), out, state, ["datetime", "entity_id"])
+    read = lambda: rows(level().withColumn("datetime", utc_wallclock("datetime")), "datetime", "dropped")
+    write_json(spark, [event(1, t), event(2, t + timedelta(hours=1))], path)
+    assert read() == [(t, 1), (t + timedelta(hours=1), 1)]
+    write_json(spark, [event(3, t + timedelta(hours=1, minutes=5)), event(4, t + timedelta(hours=3))], path)
+    want = [(t, 1), (t + timedelta(hours=1), 2), (t + timedelta(hours=3), 1)]
+    assert read() == want and read() == want
