@@ -2,8 +2,7 @@
 
 The difference-cover construction of a suffix array sorts the suffixes at sampled positions by triples, recurses on their
 names, and places all other suffixes by the sample that follows them. Sampling by position modulo a period needs one byte
-in nine here, which is beyond the disk and time allowed, so the sample is content-defined (a synchronising set): in each
-window of LENGTH bytes the position of the smallest hashed run of SEED bytes, one in about 170, has the property that
+in 17 or more here, so the sample, which is shuffled, is content-defined instead (a synchronising set): in each window of LENGTH bytes the position of the smallest hashed run of SEED bytes, one in about 170, has the property that
 makes difference covers work: two equal windows have sampled positions at equal distance. Spans between samples
 are named by hashes; names that are equal or occur once are settled, and only the rest recurses, on shorter names, down to
 single windows, which are placed by their distance to the sample. Names instead of ranks suffice, as all that is asked of

@@ -35,3 +35,7 @@ def test_pipeline_stages(spark):
     assert total > seen[0] >= seen[1] >= seen[2] > 0 and seen[3] > seen[2]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == seen[3]
     assert corpus_pipeline.run(spark, SF).count() == seen[3]
+
+
+def test_sql_is_given_where_it_can_be():
+    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op1_pareto_mix", "op4_decontaminate", "op8_exact_dedup", "op10_substring_dedup"}
