@@ -198,32 +198,38 @@ def forecast(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3
     def one(key: tuple, table: pa.Table) -> pa.Table:
         return _extended(key[0].as_py(), table, spec, horizon, step_seconds)
 
-    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.FORECAST_ROW)
+    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.AUTO_FORECAST_ROW).filter(
+        F.col("error").isNull()).drop("error")
 
 
 def _extended(entity: str, table: pa.Table, spec: Spec, horizon: int, step_seconds: int) -> pa.Table:
     micros, y = _points(table)
     try:
         model = fit_one(micros / 1e6, y, spec)
-    except Exception:
-        return _table(schemas.FORECAST_ROW, {})
+    except Exception as e:
+        return _table(schemas.AUTO_FORECAST_ROW, {"entity_id": [entity], "error": f"{type(e).__name__}: {e}"})
     ahead = micros[-1] + np.arange(1, horizon + 1) * step_seconds * 1_000_000
     ds = np.r_[micros, ahead]
-    return _table(schemas.FORECAST_ROW, {
+    return _table(schemas.AUTO_FORECAST_ROW, {
         "entity_id": entity, "ds": ds, "y": np.r_[y, np.full(horizon, np.nan)], **predict_one(model, ds / 1e6)})
 
 
 def forecast_with(best: DataFrame, history: DataFrame, horizon: int, step_seconds: int = 3600) -> DataFrame:
-    """Forecast of each series under its own settings: `best` holds (entity_id, params) per series."""
+    """Forecast of each series under its own settings: `best` holds (entity_id, params) per series.
+
+    A series without settings or without a fit yields one row: its error, no time.
+    """
     def one(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return _table(schemas.FORECAST_ROW, {})
+        if not len(right):
+            return _table(schemas.AUTO_FORECAST_ROW, {})
+        if not len(left) or left.column("params")[0].as_py() is None:
+            return _table(schemas.AUTO_FORECAST_ROW, {"entity_id": [key[0].as_py()], "error": "no settings"})
         spec = spec_from(json.loads(left.column("params")[0].as_py()))
         return _extended(key[0].as_py(), right, spec, horizon, step_seconds)
 
     return (
         best.select("entity_id", "params").groupBy("entity_id")
-        .cogroup(_observed(history).groupBy("entity_id")).applyInArrow(one, schemas.FORECAST_ROW)
+        .cogroup(_observed(history).groupBy("entity_id")).applyInArrow(one, schemas.AUTO_FORECAST_ROW)
     )
 
 
@@ -241,58 +247,75 @@ def changepoints(models: DataFrame) -> DataFrame:
         (F.col("step") * F.col("m.size") / F.col("m.span") * DAY).alias("slope_change"))
 
 
+# fixed values: logarithms of the search ranges of the prior scales
+LOG_CHANGEPOINT_SCALE = (-6.9, -0.69)
+LOG_SEASON_SCALE = (-6.9, 2.3)
+LOG_HOLIDAY_SCALE = (-6.9, 2.3)
+
+
 def random_trials(n: int, seed: int, holidays: Sequence[str] = ()) -> list[Spec]:
     """Settings drawn log-uniformly from the search ranges; the band is the 80 % one."""
     rng = np.random.default_rng(seed)
 
-    def scale(lo: float, hi: float) -> float:
-        return float(np.exp(rng.uniform(lo, hi)))
+    def scale(bounds: tuple[float, float]) -> float:
+        return float(np.exp(rng.uniform(*bounds)))
 
     return [
-        replace(Spec(), changepoint_scale=scale(-6.9, -0.69), season_scale=scale(-6.9, 2.3),
-                holiday_scale=scale(-6.9, 2.3), multiplicative=bool(rng.integers(2)), z=Z80,
+        replace(Spec(), changepoint_scale=scale(LOG_CHANGEPOINT_SCALE), season_scale=scale(LOG_SEASON_SCALE),
+                holiday_scale=scale(LOG_HOLIDAY_SCALE), multiplicative=bool(rng.integers(2)), z=Z80,
                 holidays=tuple(holidays))
         for _ in range(n)
     ]
 
 
-def search(history: DataFrame, trials: Sequence[Spec], folds: int, horizon_hours: int) -> DataFrame:
+def search(history: DataFrame, trials: Sequence[Spec], folds: int, horizon_hours: int,
+           spacing_hours: int | None = None) -> DataFrame:
     """Rolling-origin predictions of every trial for every series, one row per held-out step.
 
-    All trials of a series run where the series lies; it is not copied per trial.
+    The last fold ends with the series, the others `spacing_hours` (by default the horizon) before the next one.
+    A task holds one trial of one series: the rows of a series are copied per trial, so that trials run side by side.
     """
-    step = horizon_hours * 3600 * 1_000_000
+    hour = 3600 * 1_000_000
+    step, spacing = horizon_hours * hour, (spacing_hours or horizon_hours) * hour
     params = [json.dumps(asdict(t)) for t in trials]
 
     def one(key: tuple, table: pa.Table) -> pa.Table:
         micros, y = _points(table)
-        end = micros[-1] + 3600 * 1_000_000
-        parts = [_table(schemas.TRIAL_ROW, {})]
-        for number, spec in enumerate(trials):
-            for fold in range(folds, 0, -1):
-                cut = end - fold * step
-                seen, held = micros < cut, (micros >= cut) & (micros < cut + step)
-                if not held.any():
-                    continue
-                row = {"entity_id": key[0].as_py(), "trial": number, "params": params[number]}
-                try:
-                    model = fit_one(micros[seen] / 1e6, y[seen], spec)
-                    row |= {"ds": micros[held], "y": y[held], **predict_one(model, micros[held] / 1e6)}
-                except Exception as e:
-                    row |= {"error": [f"{type(e).__name__}: {e}"]}
-                parts.append(_table(schemas.TRIAL_ROW, row))
+        number, end = key[1].as_py(), micros[-1] + hour
+        spec, parts = trials[number], [_table(schemas.TRIAL_ROW, {})]
+        for fold in range(folds - 1, -1, -1):
+            cut = end - step - fold * spacing
+            seen, held = micros < cut, (micros >= cut) & (micros < cut + step)
+            if not held.any():
+                continue
+            row = {"entity_id": key[0].as_py(), "trial": number, "params": params[number]}
+            try:
+                model = fit_one(micros[seen] / 1e6, y[seen], spec)
+                row |= {"ds": micros[held], "y": y[held], **predict_one(model, micros[held] / 1e6)}
+            except Exception as e:
+                row |= {"error": [f"{type(e).__name__}: {e}"]}
+            parts.append(_table(schemas.TRIAL_ROW, row))
         return pa.concat_tables(parts)
 
-    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.TRIAL_ROW)
+    tasks = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = history.filter(F.col("y").isNotNull()).select(
+        F.col("entity_id").cast("string").alias("entity_id"), "ds", F.col("y").cast("double").alias("y"),
+        F.explode(F.array(*[F.lit(i) for i in range(len(trials))])).alias("trial"))
+    return rows.repartition(tasks, "entity_id", "trial").groupBy("entity_id", "trial").applyInArrow(one, schemas.TRIAL_ROW)
 
 
 def best_trials(results: DataFrame) -> DataFrame:
-    """The trial with the lowest symmetric error per series; trial number breaks ties."""
+    """The trial with the lowest symmetric error per series; trial number breaks ties.
+
+    `n_trials` counts the trials that gave predictions. A series in which every trial failed stays, with an error in
+    place of settings.
+    """
     err, size = F.abs(F.col("y") - F.col("yhat")), F.abs("y") + F.abs("yhat")
-    scored = (
-        results.filter(F.col("error").isNull()).groupBy("entity_id", "trial", "params")
-        .agg(F.avg(F.when(size == 0, F.lit(0.0)).otherwise(2 * err / F.nullif(size, F.lit(0.0)))).alias("smape"))
-    )
-    best = F.min_by(F.struct("trial", "params", "smape"), F.struct("smape", "trial"))
-    return scored.groupBy("entity_id").agg(best.alias("b"), F.count(F.lit(1)).alias("n_trials")).select(
-        "entity_id", "b.*", "n_trials")
+    share = F.when(size == 0, F.lit(0.0)).otherwise(2 * err / F.nullif(size, F.lit(0.0)))
+    scored = results.groupBy("entity_id", "trial", "params").agg(
+        F.avg(F.when(F.col("error").isNull(), share)).alias("smape"), F.min("error").alias("error"))
+    worked = F.col("smape").isNotNull()
+    best = F.min_by(F.struct("trial", "params", "smape"), F.when(worked, F.struct("smape", "trial")))
+    return scored.groupBy("entity_id").agg(
+        best.alias("b"), F.count_if(worked).alias("n_trials"), F.min("error").alias("_error")).select(
+        "entity_id", "b.*", "n_trials", F.when(F.col("n_trials") == 0, F.col("_error")).alias("error"))

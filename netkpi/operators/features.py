@@ -14,7 +14,7 @@ MAX_LEVELS = 1000
 def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Sorted levels of each column, found in one pass.
 
-    Levels become columns, so they have to reach the driver; their number is checked first.
+    Levels become columns, so they have to reach the driver; their number is checked first. `one_hot_long` has no such limit.
     """
     items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns]
     found = df.select(F.inline(F.array(*items))).filter(F.col("level").isNotNull()).distinct()
@@ -26,6 +26,12 @@ def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVE
     return out
 
 
+def one_hot_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The ones of a one-hot encoding as rows (keys, feature), for any number of levels; nothing reaches the driver."""
+    named = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))) for c in columns]
+    return df.select(*keys, F.explode(F.array_compact(F.array(*named))).alias("feature"))
+
+
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: bool = False,
             keep_source: bool = False) -> DataFrame:
     """One long 0/1 column `<column>_<level>` per level; NULL and unseen levels are all zeros."""

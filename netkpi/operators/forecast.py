@@ -120,23 +120,25 @@ def load_models(table: DataFrame) -> DataFrame:
         "entity_id", "n_obs", "fit_start", "fit_end", "_m.intercept", "_m.slope", "_m.sigma", by_slot.alias("effects"))
 
 
-def fold_cutoffs(end: str, folds: int, spacing_hours: int) -> Column:
-    """Array of `folds` cutoffs, the last one `spacing` before `end`."""
+def fold_cutoffs(end: str, folds: int, horizon_hours: int, spacing_hours: int) -> Column:
+    """Array of `folds` cutoffs `spacing_hours` apart, the last one `horizon_hours` before `end`."""
     stop = F.lit(end).cast("timestamp_ntz")
     return F.array(*[
         F.struct(F.lit(i).alias("fold"),
-                 (stop - F.expr(f"INTERVAL {(folds - i + 1) * spacing_hours} HOUR")).alias("cutoff"))
+                 (stop - F.expr(f"INTERVAL {horizon_hours + (folds - i) * spacing_hours} HOUR")).alias("cutoff"))
         for i in range(1, folds + 1)])
 
 
 def rolling_origin(history: DataFrame, end: str, folds: int, horizon_hours: int, grain: Grain,
-                   origin: str, z: float = Z95) -> DataFrame:
+                   origin: str, z: float = Z95, spacing_hours: int | None = None) -> DataFrame:
     """Predictions of each fold for the `horizon_hours` after its cutoff, from rows before it.
 
+    Cutoffs lie `spacing_hours` apart, by default a horizon.
+
     Each history row is repeated only into the folds it takes part in.
     """
     cuts = F.filter(
-        fold_cutoffs(end, folds, horizon_hours),
+        fold_cutoffs(end, folds, horizon_hours, spacing_hours or horizon_hours),
         lambda c: F.col("ds") < c["cutoff"] + F.expr(f"INTERVAL {horizon_hours} HOUR"))
     rows = history.repartition("entity_id").select("entity_id", "ds", "y", F.inline(cuts))
     keys = ["entity_id", "fold"]

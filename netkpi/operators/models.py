@@ -13,7 +13,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from netkpi.operators.scoring import binary_metrics
-from netkpi.sources.tables import materialize
+from netkpi.sources.tables import materialize, scratch_root
 
 
 def encode_labels(train: DataFrame, df: DataFrame, column: str, output: str) -> DataFrame:
@@ -41,7 +41,7 @@ def assemble(df: DataFrame, inputs: Sequence[str], label: str | None = None, kee
     return out.select(*cols)
 
 
-# fixed values: tree settings of the baseline classifier
+# fixed values: depth, rounds and step of the baseline classifier; the sampling rate is this package's own
 BASELINE_TREES = {"maxDepth": 2, "maxIter": 546, "subsamplingRate": 0.7, "stepSize": 0.1}
 
 
@@ -53,6 +53,8 @@ def fit_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], labe
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, validationIndicatorCol=mark, seed=seed,
         featureSubsetStrategy=features_per_split, **settings)
+    if train.sparkSession.sparkContext.getCheckpointDir() is None:  # long boosting cuts its lineage in the shared folder
+        train.sparkSession.sparkContext.setCheckpointDir(scratch_root(train.sparkSession))
     stages = [VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="keep"), trees]
     return Pipeline(stages=stages).fit(rows)
 
@@ -95,33 +97,43 @@ def tree_importance(spark: SparkSession, model: PipelineModel, inputs: Sequence[
     return spark.createDataFrame([(n, float(w)) for n, w in zip(inputs, weights)], "feature string, importance double")
 
 
-def permuted(df: DataFrame, column: str, key: str, seed: int, buckets: int | None = None) -> DataFrame:
-    """Give each row the value of the next row in a hash order of the keys: a repeatable shuffle.
+#: Rows that one sorted bucket of a permutation should hold.
+BUCKET_ROWS = 200_000
 
-    Rows are spread over hash buckets, by default four per shuffle partition, so no task sees
-    more than its share.
+
+def permuted(df: DataFrame, columns: str | Sequence[str], key: str, seed: int, buckets: int | None = None) -> DataFrame:
+    """Give each row the values of the next row in a hash order of the keys: a repeatable shuffle.
+
+    Rows are spread over hash buckets of about BUCKET_ROWS rows, counted first, so a task sees as many rows at any size.
     """
-    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.xxhash64(F.col(key), F.lit(seed))
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    out = _with_next(df, columns, key, seed, buckets)
+    return out.select(*[c for c in df.columns if c not in columns], *[F.col("_next")[c].alias(c) for c in columns])
+
+
+def _with_next(df: DataFrame, columns: Sequence[str], key: str, seed: int, buckets: int | None = None) -> DataFrame:
+    """Adds `_next`, the struct of the columns' values in the next row."""
+    buckets = buckets or max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // BUCKET_ROWS)
+    order, held = F.xxhash64(F.col(key), F.lit(seed)), F.struct(*columns)
     ring = Window.partitionBy("_bucket").orderBy(order, key)
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    last = F.row_number().over(ring) == F.count(F.lit(1)).over(Window.partitionBy("_bucket"))
+    # the last row of a bucket has no next one and takes the first, which every row so far has in sight
+    first = F.first(held).over(ring.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(buckets)))
-        .withColumn("_next", F.when(last, F.first(column).over(whole)).otherwise(F.lead(column).over(ring)))
-        .drop(column, "_bucket").withColumnRenamed("_next", column)
+        .withColumn("_next", F.coalesce(F.lead(held).over(ring), first)).drop("_bucket")
     )
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, inputs: Sequence[str], label: str, key: str,
                            seed: int = 0) -> DataFrame:
-    """Loss of ROC AUC when one input is permuted; all inputs are evaluated in one job."""
-    base = score(model, df, [F.col(label).alias("label")]).withColumn("feature", F.lit(""))
-    parts = base
-    for i, name in enumerate(inputs):
-        mixed = permuted(df, name, key, seed + 2 * i)
-        parts = parts.unionByName(score(model, mixed, [F.col(label).alias("label")]).withColumn("feature", F.lit(name)))
-    auc = binary_metrics(parts, ["feature"], few_groups=True).select("feature", "roc_auc")
+    """Loss of ROC AUC when one input is permuted: one sort for all inputs, then a copy of each row per input, scored in one job."""
+    mixed = _with_next(df.select(key, label, *inputs), inputs, key, seed)
+
+    def variant(name: str) -> Column:
+        return F.struct(F.lit(name).alias("feature"), *[(F.col("_next")[c] if c == name else F.col(c)).alias(c) for c in inputs])
+
+    rows = mixed.select(F.col(label).alias("label"), F.inline(F.array(*[variant(n) for n in ("", *inputs)])))
+    auc = binary_metrics(score(model, rows, ["feature", "label"]), ["feature"], few_groups=True).select("feature", "roc_auc")
     whole = auc.filter(F.col("feature") == "").select("roc_auc").scalar()
     return auc.filter(F.col("feature") != "").select("feature", (whole - F.col("roc_auc")).alias("importance"))
 

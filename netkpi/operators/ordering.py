@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], hint=lambda d: d) -> DataFrame:
-    """Inner join on equal keys in which NULL equals NULL; one copy of the keys stays."""
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], hint=lambda d: d, how: str = "inner") -> DataFrame:
+    """Join on equal keys in which NULL equals NULL; one copy of the keys stays."""
     other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return left.join(hint(other), same).drop(*[f"_right_{k}" for k in keys])
+    return left.join(hint(other), same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def running_totals(df: DataFrame, group: Sequence[str], value: str, weights: Sequence[str],

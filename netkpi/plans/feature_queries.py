@@ -1,8 +1,8 @@
 """Encoding, imputation, scaling and splits of the labelled rows."""
 from pyspark.sql import functions as F
 
-from netkpi.functions.scalar import split_bucket
-from netkpi.operators import features, models
+from netkpi.functions.scalar import in_range, split_bucket
+from netkpi.operators import features, kpi, models
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, tables
@@ -31,6 +31,13 @@ def one_hot_levels(spark, sf_dir):
     return features.one_hot(rows, features.fit_levels(rows, ["lang", "source"]))
 
 
+@register("one_hot_long", "B16 I5", o.with_(o.LABELLED) + """
+SELECT doc_id, 'lang_' || lang AS feature FROM labelled WHERE lang IS NOT NULL
+UNION ALL SELECT doc_id, 'source_' || source FROM labelled WHERE source IS NOT NULL""")
+def one_hot_long(spark, sf_dir):
+    return features.one_hot_long(adapters.labelled_rows(spark, sf_dir), ["doc_id"], ["lang", "source"])
+
+
 @register("one_hot_drop_first", "B24", o.with_(_SPLIT) + f"""
 SELECT doc_id, {', '.join(f"(lang = '{v}')::BIGINT AS lang_{v}" for v in _LANGS[1:])} FROM rows""")
 def one_hot_drop_first(spark, sf_dir):
@@ -93,3 +100,13 @@ def feature_table(spark, sf_dir):
     wide = features.clean_features(features.one_hot(rows, features.fit_levels(rows, ["lang"]))).dropna(how="any")
     return tables.write_feature_table(
         wide, tables.fresh_name("features"), ["doc_id"], tables.fresh_path(spark, "features"))
+
+
+@register("hourly_feature_table", "A11 D8", o.with_(o.EVENT, o.MINUTE, o.HOUR) + """
+SELECT * FROM hour_kpi WHERE datetime >= TIMESTAMP '2024-01-08' AND datetime < TIMESTAMP '2024-01-22'""")
+def hourly_feature_table(spark, sf_dir):
+    """Hour KPI of two weeks under the key (entity, hour), written, audited and read back."""
+    records = adapters.event_records(spark, sf_dir).filter(in_range(F.col("event_ts"), "2024-01-08", "2024-01-22"))
+    hours = kpi.event_kpi(records, "1 hour")
+    return tables.write_feature_table(
+        hours, tables.fresh_name("hourly_features"), ["entity_id", "datetime"], tables.fresh_path(spark, "hourly-features"))

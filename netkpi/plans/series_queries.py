@@ -10,6 +10,8 @@ from netkpi.sources import adapters, files, tables
 START, END = "2024-01-01", "2024-01-15"
 FORECAST_END = "2024-01-22"  # 168 hours after END
 ORDER_START = "1995-01-01"
+# folds of the searches: a week ahead, five times, over the whole range of the events
+RANGE_END, HORIZON, FOLDS, SPACING = "2024-01-31", 168, 5, 84
 
 _BAND = "p AS yhat, p - 1.959963984540054 * sigma AS yhat_lower, p + 1.959963984540054 * sigma AS yhat_upper"
 _FORECAST_OUT = "round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower, round(yhat_upper, 6) AS yhat_upper"
@@ -49,15 +51,14 @@ def _series(spark, sf_dir):
     return ts.count_series(adapters.load(spark, sf_dir, "events"), "event_type", "ts", "1 hour")
 
 
-def _history(spark, sf_dir, end=END, start=START):
+def _history(spark, sf_dir, end=END, start=START, key="event_type"):
     """The time range is applied to the events, where it prunes the scan."""
     events = adapters.load(spark, sf_dir, "events").filter(scalar.in_range(F.col("ts"), start, end))
-    return ts.count_series(events, "event_type", "ts", "1 hour")
+    return ts.count_series(events, key, "ts", "1 hour")
 
 
-def _user_history(spark, sf_dir):
-    events = adapters.load(spark, sf_dir, "events").filter(scalar.in_range(F.col("ts"), START, END))
-    return ts.count_series(events, "user_id", "ts", "1 hour")
+def _user_history(spark, sf_dir, end=END):
+    return _history(spark, sf_dir, end, key="user_id")
 
 
 @register("series_sum", "D8 F1", o.with_(o.EVENT, o.MINUTE, o.HOUR) + f"""
@@ -192,19 +193,20 @@ def forecast_accuracy_means(spark, sf_dir):
     return rounded(fc.validation_means(_accuracy(spark, sf_dir)), *[f"val_{m}" for m in fc.METRICS])
 
 
-_FOLDS = """folds AS (SELECT i AS fold, TIMESTAMP '2024-01-15' - INTERVAL 1 HOUR * (6 - i) * 48 AS cutoff FROM range(1, 6) t(i)),
+_FOLDS = """folds AS (SELECT i AS fold, TIMESTAMP '2024-01-31' - INTERVAL 1 HOUR * (168 + (5 - i) * 84) AS cutoff FROM range(1, 6) t(i)),
 train AS (SELECT entity_id, fold, ds, y FROM history JOIN folds ON ds < cutoff),
-held AS (SELECT entity_id, fold, ds, y FROM history JOIN folds ON ds >= cutoff AND ds < cutoff + INTERVAL 48 HOUR)"""
+held AS (SELECT entity_id, fold, ds, y FROM history JOIN folds ON ds >= cutoff AND ds < cutoff + INTERVAL 168 HOUR)"""
 
 
 @register("forecast_rolling_origin", "F7", o.with_(
-    o.SERIES, _FOLDS, _fit_sql("train", _HOUR_SLOT, 3600, START, "entity_id, fold", "_f")) + f"""
+    o.SERIES.replace(f"'{END}'", f"'{RANGE_END}'"), _FOLDS, _fit_sql("train", _HOUR_SLOT, 3600, START, "entity_id, fold", "_f")) + f"""
 , pred AS (SELECT entity_id, fold, y, {_BAND} FROM (
     SELECT h.*, sigma, {_POINT} AS p FROM (SELECT *, {_HOUR_SLOT} AS slot FROM held) h
     JOIN line_f USING (entity_id, fold) JOIN spread_f USING (entity_id, fold) LEFT JOIN effect_f USING (entity_id, fold, slot)))
 SELECT entity_id, fold, {_ACC_OUT} FROM (SELECT entity_id, fold, {_ACC} FROM pred GROUP BY 1, 2)""")
 def forecast_rolling_origin(spark, sf_dir):
-    pred = fc.rolling_origin(_history(spark, sf_dir), END, 5, 48, fc.HOURLY, START)
+    pred = fc.rolling_origin(
+        _history(spark, sf_dir, RANGE_END), RANGE_END, FOLDS, HORIZON, fc.HOURLY, START, spacing_hours=SPACING)
     return rounded(fc.accuracy(pred, ["entity_id", "fold"]), *fc.METRICS).withColumn("fold", F.col("fold").cast("long"))
 
 
@@ -228,33 +230,38 @@ def model_table(spark, sf_dir):
         F.round("slope", 9).alias("slope"), F.round("sigma", 6).alias("sigma"))
 
 
-def _trainings(spark, sf_dir):
+def _trainings(spark, sf_dir, key="event_type"):
     """Forecasts of two trainings, each stamped with its time and day."""
     for end in ("2024-01-08", END):
-        yield fc.forecast(_history(spark, sf_dir, end), 168, fc.HOURLY, START).withColumns({
+        yield fc.forecast(_history(spark, sf_dir, end, key=key), 168, fc.HOURLY, START).withColumns({
             "trained_at": F.lit(end).cast("timestamp_ntz"), "trained_on": F.lit(end).cast("date")})
 
 
-def _latest(spark, sf_dir):
+def _latest(spark, sf_dir, key="event_type"):
     """Newest training out of the stored forecast history, which is partitioned by training day."""
-    first, second = _trainings(spark, sf_dir)
+    first, second = _trainings(spark, sf_dir, key)
     stored = tables.materialize(first.unionByName(second), "forecast-history", ["trained_on"])
     return anomaly.latest_training(stored, day="trained_on").drop("trained_on")
 
 
-_TWO = (
-    "series AS (SELECT event_type AS entity_id, date_trunc('hour', ts) AS ds, count(*)::DOUBLE AS y FROM events GROUP BY ALL)",
-    """trainings AS (SELECT unnest([TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-15']) AS trained_at)""",
-    """history AS (SELECT trained_at, s.* FROM series s JOIN trainings ON ds < trained_at)""",
-    _fit_sql("history", _HOUR_SLOT, 3600, START, "entity_id, trained_at"),
-    """ahead AS (SELECT trained_at, entity_id, unnest(generate_series(fit_end + INTERVAL 1 HOUR, fit_end + INTERVAL 168 HOUR, INTERVAL 1 HOUR)) AS ds,
+def _two(key):
+    """Forecasts of two trainings, for series of one column."""
+    return (
+        f"series AS (SELECT {key} AS entity_id, date_trunc('hour', ts) AS ds, count(*)::DOUBLE AS y FROM events GROUP BY ALL)",
+        """trainings AS (SELECT unnest([TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-15']) AS trained_at)""",
+        """history AS (SELECT trained_at, s.* FROM series s JOIN trainings ON ds < trained_at)""",
+        _fit_sql("history", _HOUR_SLOT, 3600, START, "entity_id, trained_at"),
+        """ahead AS (SELECT trained_at, entity_id, unnest(generate_series(fit_end + INTERVAL 1 HOUR, fit_end + INTERVAL 168 HOUR, INTERVAL 1 HOUR)) AS ds,
   NULL::DOUBLE AS y FROM line)""",
-    f"""forecast AS (SELECT entity_id, trained_at, ds, y, {_BAND} FROM (
+        f"""forecast AS (SELECT entity_id, trained_at, ds, y, {_BAND} FROM (
   SELECT f.*, sigma, {_POINT} AS p FROM (
     SELECT *, {_HOUR_SLOT} AS slot FROM (SELECT * FROM history UNION ALL BY NAME SELECT * FROM ahead)) f
   JOIN line USING (entity_id, trained_at) JOIN spread USING (entity_id, trained_at)
   LEFT JOIN effect USING (entity_id, trained_at, slot)))""",
-)
+    )
+
+
+_TWO = _two("event_type")
 
 
 @register("forecast_history", "F11 A9", o.with_(*_TWO) + f"""
@@ -285,6 +292,18 @@ def anomalies(spark, sf_dir):
     return rounded(flagged, *_BAND_COLS, "anomaly_size")
 
 
+@register("anomalies_by_entity", "F12 C3 B26 B27", o.with_(*_two("user_id")) + f"""
+, stored AS (SELECT entity_id, ds, trained_at, {_FORECAST_OUT} FROM forecast WHERE trained_at = TIMESTAMP '{END}')
+SELECT s.entity_id, s.ds, s.y AS actual, yhat, yhat_lower, yhat_upper, trained_at,
+  CASE WHEN s.y < yhat_lower OR s.y > yhat_upper THEN 1 ELSE 0 END AS is_anomaly,
+  round(CASE WHEN s.y < yhat_lower THEN yhat_lower - s.y WHEN s.y > yhat_upper THEN s.y - yhat_upper END, 6) AS anomaly_size
+FROM series s JOIN stored f ON s.entity_id = f.entity_id AND s.ds = f.ds""")
+def anomalies_by_entity(spark, sf_dir):
+    """Every entity's hours against its newest forecast. Sparse series fit without error, so bands are rounded before the test."""
+    stored = rounded(_latest(spark, sf_dir, "user_id"), *_BAND_COLS)
+    return rounded(anomaly.flag_anomalies(_history(spark, sf_dir, FORECAST_END, key="user_id"), stored), "anomaly_size")
+
+
 @register("actuals_with_forecast", "C3", o.with_(*_TWO) + """
 SELECT s.entity_id, s.y AS actual, round(yhat, 6) AS yhat FROM series s JOIN forecast f ON s.entity_id = f.entity_id AND s.ds = f.ds
 WHERE s.ds = TIMESTAMP '2024-01-15' AND trained_at = TIMESTAMP '2024-01-15'""")
@@ -295,22 +314,28 @@ def actuals_with_forecast(spark, sf_dir):
     return rounded(actual.join(fcs, "entity_id"), "yhat")
 
 
-@register("series_without_model", "C6", """
-SELECT c_custkey AS entity_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""")
-def series_without_model(spark, sf_dir):
+def _wanted_and_models(spark, sf_dir):
+    """Ids of all entities, and the model table of the entities seen on the first day."""
     ids = adapters.load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"))
-    trained = adapters.load(spark, sf_dir, "events").filter(F.col("event_type") == "error").select(
-        F.col("user_id").alias("entity_id")).distinct()
-    return ts.missing_models(ids, trained)
+    fitted = fc.model_table(fc.fit(_user_history(spark, sf_dir, DAY_END), fc.HOURLY, START), fc.Z95, START)
+    return ids, tables.replace_table(fitted, tables.fresh_name("season_models"), tables.fresh_path(spark, "season-models"))
+
+
+DAY_END = "2024-01-02"
+_SEEN = f"SELECT user_id FROM events WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{DAY_END}'"
+
+
+@register("series_without_model", "C6", f"""
+SELECT c_custkey AS entity_id FROM customer WHERE c_custkey NOT IN ({_SEEN})""")
+def series_without_model(spark, sf_dir):
+    return ts.missing_models(*_wanted_and_models(spark, sf_dir))
 
 
-@register("training_status", "C6", """
+@register("training_status", "C6", f"""
 SELECT n_series, n_trained, CASE WHEN n_trained = 0 THEN 'failed' WHEN n_trained < n_series THEN 'partial' ELSE 'complete' END AS verdict
-FROM (SELECT count(*) AS n_series, count(*) FILTER (WHERE c_custkey IN (SELECT user_id FROM events)) AS n_trained FROM customer)""")
+FROM (SELECT count(*) AS n_series, count(*) FILTER (WHERE c_custkey IN ({_SEEN})) AS n_trained FROM customer)""")
 def training_status(spark, sf_dir):
-    ids = adapters.load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"))
-    trained = adapters.load(spark, sf_dir, "events").select(F.col("user_id").alias("entity_id"))
-    return ts.training_status(ids, trained)
+    return ts.training_status(*_wanted_and_models(spark, sf_dir))
 
 
 # fixed values: holidays inside the range of the event table
@@ -365,27 +390,50 @@ def curve_fit_failures(spark, sf_dir):
     orders = adapters.load(spark, sf_dir, "orders").withColumn(
         "series_id", scalar.series_key(["o_custkey", "o_orderstatus"]))
     days = ts.count_series(orders, "series_id", "o_orderdate", "1 day")
-    plain = curvefit.Spec(changepoints=2, daily_order=0, weekly_order=1)
+    plain = curvefit.Spec(daily_order=0)
     return curvefit.failed(curvefit.fit(days, plain)).select("entity_id", "error")
 
 
+def _best(history):
+    trials = curvefit.random_trials(10, seed=7, holidays=[day for day, _ in _HOLIDAYS])
+    return curvefit.best_trials(curvefit.search(history, trials, FOLDS, HORIZON, SPACING))
+
+
 @register("forecast_search", "F8 F14")
 def forecast_search(spark, sf_dir):
-    calendar = [day for day, _ in _HOLIDAYS]
-    trials = curvefit.random_trials(10, seed=7, holidays=calendar)
-    return curvefit.best_trials(curvefit.search(_history(spark, sf_dir), trials, folds=5, horizon_hours=24))
+    return _best(_history(spark, sf_dir, RANGE_END))
 
 
-@register("forecast_auto", "F14 F8 G13")
-def forecast_auto(spark, sf_dir):
+def _auto(spark, hist):
     """Search, keep the best setting per series in the run ledger, forecast with it, store the rows."""
-    hist = _history(spark, sf_dir)
-    trials = curvefit.random_trials(10, seed=7, holidays=[day for day, _ in _HOLIDAYS])
-    best = tables.materialize(curvefit.best_trials(curvefit.search(hist, trials, folds=5, horizon_hours=24)), "best-trials")
+    best = tables.materialize(_best(hist), "best-trials")
     runs = best.select(
         F.concat_ws("-", F.lit("auto"), "entity_id").alias("run_id"), F.lit("auto").alias("name"),
-        F.lit("FINISHED").alias("status"), F.lit(END).cast("timestamp_ntz").alias("started"),
-        F.lit("events").alias("source_table"), F.create_map(F.lit("settings"), "params").alias("params"),
-        F.create_map(F.lit("val_smape"), "smape").alias("metrics"))
+        F.when(F.col("n_trials") > 0, "FINISHED").otherwise("FAILED").alias("status"),
+        F.lit(RANGE_END).cast("timestamp_ntz").alias("started"), F.lit("events").alias("source_table"),
+        F.create_map(F.lit("settings"), "params").alias("params"), F.create_map(F.lit("val_smape"), "smape").alias("metrics"))
     ledger.append_runs(runs, tables.fresh_name("runs"), tables.fresh_path(spark, "runs"))
-    return tables.materialize(curvefit.forecast_with(best, hist, 168), "auto-forecast")
+    return best, tables.materialize(curvefit.forecast_with(best, hist, HORIZON), "auto-forecast")
+
+
+@register("forecast_auto", "F14 F8 G13")
+def forecast_auto(spark, sf_dir):
+    return _auto(spark, _history(spark, sf_dir, RANGE_END))[1]
+
+
+@register("forecast_auto_by_entity", "F14 F8 F3", f"""
+WITH hours AS (SELECT user_id::VARCHAR AS entity_id, date_trunc('hour', ts) AS ds FROM events
+  WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{RANGE_END}' GROUP BY ALL),
+last AS (SELECT entity_id, max(ds) + INTERVAL 1 HOUR AS e, count(*) AS n FROM hours GROUP BY 1),
+seen AS (SELECT entity_id, n, count(*) FILTER (WHERE ds < e - INTERVAL {HORIZON} HOUR) > 1 AS fits FROM hours JOIN last USING (entity_id) GROUP BY 1, 2)
+SELECT entity_id, CASE WHEN fits THEN 10 ELSE 0 END AS n_trials, CASE WHEN fits THEN n + {HORIZON} ELSE 0 END AS n_rows,
+  CASE WHEN fits THEN 0 ELSE 1 END AS n_errors, CASE WHEN fits THEN {HORIZON} ELSE 0 END AS n_ahead, 1 AS bands_ordered FROM seen""")
+def forecast_auto_by_entity(spark, sf_dir):
+    """Automatic forecast of every entity, counted per entity: a forecast, or one row with the error."""
+    best, rows = _auto(spark, _user_history(spark, sf_dir, RANGE_END))
+    done = F.col("error").isNull()
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    counted = rows.groupBy("entity_id").agg(
+        F.count_if(done).alias("n_rows"), F.count_if(~done).alias("n_errors"), F.count_if(done & F.col("y").isNull()).alias("n_ahead"),
+        F.bool_and(~done | ordered).cast("int").alias("bands_ordered"))
+    return best.select("entity_id", "n_trials").join(counted, "entity_id")

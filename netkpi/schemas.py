@@ -29,6 +29,9 @@ FORECAST_ROW = _struct(
     ("yhat", T.DoubleType()), ("yhat_lower", T.DoubleType()), ("yhat_upper", T.DoubleType()),
 )
 
+# a series that could not be forecast has one row with its error and no time
+AUTO_FORECAST_ROW = T.StructType([*FORECAST_ROW.fields, T.StructField("error", T.StringType(), True)])
+
 CHANGEPOINT_ROW = _struct(
     ("entity_id", T.StringType()), ("ds", T.TimestampNTZType()), ("slope_change", T.DoubleType()),
 )

@@ -92,8 +92,12 @@ def write_feature_table(df: DataFrame, name: str, keys: Sequence[str], path: str
     df.write.parquet(path)
     if not key_audit(spark.read.schema(df.schema).parquet(path), keys).isEmpty():
         raise ValueError(f"{name}: NULL or repeated key in {list(keys)}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    if spark.catalog.tableExists(name) and spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:  # a new table, or other columns than before
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=path, source="parquet")
     return spark.table(name)
 
 
