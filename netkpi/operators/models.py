@@ -59,10 +59,13 @@ def fit_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], labe
     return Pipeline(stages=stages).fit(rows)
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Probability of the positive class and the 0/1 prediction."""
-    return model.transform(df).select(
-        *keep, vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("prediction"))
+def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], threshold: float = 0.5) -> DataFrame:
+    """Probability of the positive class and the 0/1 prediction: 1 from the threshold on, as in the metrics.
+
+    Taken from the score, because the model itself gives 0 to a row right on the threshold.
+    """
+    positive = vector_to_array("probability")[1]
+    return model.transform(df).select(*keep, positive.alias("score"), (positive >= threshold).cast("int").alias("prediction"))
 
 
 def search_trees(train: DataFrame, validate: DataFrame, inputs: Sequence[str], label: str,

@@ -142,6 +142,26 @@ def profile_quick(spark, sf_dir):
     return profile.quick_profile(adapters.load(spark, sf_dir, "orders"), _NUM)
 
 
+@register("profile_quick_checks", "D16", "\nUNION ALL ".join(f"""
+SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS missing, 1 AS distinct_close, 1 AS quartiles_close
+FROM orders""" for c in _NUM))
+def profile_quick_checks(spark, sf_dir):
+    """The sketches held against whole columns: distinct values within a tenth, quartiles within a thousandth of the rows."""
+    orders = adapters.load(spark, sf_dir, "orders").select(*_NUM)
+    # one row per column of the table
+    quick = F.broadcast(profile.quick_profile(orders, _NUM))
+    exact = F.broadcast(orders.agg(*[F.count_distinct(c).alias(c) for c in _NUM]).unpivot([], list(_NUM), "column", "exact"))
+    cells = orders.select(*[F.col(c).cast("double").alias(c) for c in _NUM]).unpivot([], list(_NUM), "column", "value")
+    n = F.count("value")
+    close = [(F.count_if(F.col("value") < q) <= n * (share + 0.001)) & (F.count_if(F.col("value") <= q) >= n * (share - 0.001))
+             for i, share in enumerate(profile.QUARTILES.values()) for q in [F.col("quartiles")[i]]]
+    ranks = cells.join(quick.select("column", "quartiles"), "column").groupBy("column").agg(
+        (close[0] & close[1] & close[2]).cast("int").alias("quartiles_close"))
+    return quick.join(exact, "column").join(ranks, "column").select(
+        "column", "n_rows", "missing", (F.abs(F.col("n_distinct") / F.col("exact") - 1) < 0.1).cast("int").alias("distinct_close"),
+        "quartiles_close")
+
+
 @register("slice_accuracy", "D14", o.with_(o.SCORED) + """
 SELECT lang, toxic, count(*) FILTER (WHERE prediction = label) AS n_right, count(*) AS n_seen,
   round(count(*) FILTER (WHERE prediction = label) / count(*)::DOUBLE, 6) AS accuracy FROM scored GROUP BY 1, 2""")
