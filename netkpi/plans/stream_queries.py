@@ -41,15 +41,18 @@ def stream_json_events(spark, sf_dir):
     return _drain(spark, ingest.file_stream(spark, path, schemas.EVENT_TABLE, max_files=4), "bronze")
 
 
+def _rules():
+    return {
+        "key present": F.col("entity_id").isNotNull(), "time present": F.col("event_ts").isNotNull(),
+        "kind known": F.col("outcome").isNotNull() | F.col("channel").isNotNull()}
+
+
 @register("stream_silver", "H2 H3 C2", o.with_(o.EVENT, o.DIM) + """
 SELECT entity_id, event_ts, outcome, channel, city, county, state, lon, lat FROM event_record JOIN entity_dim USING (entity_id)
 WHERE outcome IS NOT NULL OR channel IS NOT NULL""")
 def stream_silver(spark, sf_dir):
     records = ingest.with_event_time(adapters.as_event_records(_events(spark, sf_dir)))
-    rules = {
-        "key present": F.col("entity_id").isNotNull(), "time present": F.col("event_ts").isNotNull(),
-        "kind known": F.col("outcome").isNotNull() | F.col("channel").isNotNull()}
-    return _drain(spark, ingest.silver_stream(records, adapters.entity_dimension(spark, sf_dir), rules), "silver")
+    return _drain(spark, ingest.silver_stream(records, adapters.entity_dimension(spark, sf_dir), _rules()), "silver")
 
 
 @register("stream_table_sink", "H8", o.with_(o.PROC) + "SELECT * FROM proc_record")
@@ -93,6 +96,30 @@ def stream_kpi_day(spark, sf_dir):
     return _kpi_level(spark, sf_dir, "1 day", "day")
 
 
+_CHAIN = o.with_(o.EVENT.replace("event_record AS", "every_record AS"), o.DIM, """event_record AS (
+  SELECT e.* FROM every_record e JOIN entity_dim USING (entity_id) WHERE outcome IS NOT NULL OR channel IS NOT NULL)""",
+                 o.MINUTE, o.HOUR, o.DAY) + "\nUNION ALL ".join(
+    f"SELECT '{level}' AS level, * FROM {level}_kpi" for level in ("minute", "hour", "day"))
+
+
+@register("stream_level_chain", "H1 H2 H3 H4 H5", _CHAIN)
+def stream_level_chain(spark, sf_dir):
+    """Stage after stage, each with its own checkpoint and files: bronze, silver, and from silver the minute, hour and day levels."""
+    bronze, silver = tables.fresh_path(spark, "chain-bronze"), tables.fresh_path(spark, "chain-silver")
+    run.start_files(_events(spark, sf_dir), bronze, tables.fresh_path(spark, "chain-bronze-state")).awaitTermination()
+    arrived = ingest.file_stream(spark, bronze, schemas.EVENT_TABLE, "parquet")
+    records = ingest.with_event_time(adapters.as_event_records(arrived))
+    clean = ingest.silver_stream(records, adapters.entity_dimension(spark, sf_dir), _rules())
+    run.start_files(clean, silver, tables.fresh_path(spark, "chain-silver-state")).awaitTermination()
+    out = None
+    for level in ("minute", "hour", "day"):
+        stored = ingest.file_stream(spark, silver, clean.schema, "parquet").select("entity_id", "event_ts", "outcome", "channel")
+        windows = _level(spark, rollup.level_stream(stored, DELAY, f"1 {level}"), f"chain-{level}")
+        rows = windows.select(F.lit(level).alias("level"), *windows.columns)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("stream_unique_events", "H7", """
 SELECT event_id, ts AS event_ts, user_id FROM events""")
 def stream_unique_events(spark, sf_dir):

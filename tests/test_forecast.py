@@ -204,3 +204,24 @@ def test_each_series_is_forecast_with_its_own_settings(spark):
     got = {r["entity_id"]: r for r in out}
     assert got["a"]["n"] == got["b"]["n"] == 360
     assert got["b"]["half"] == pytest.approx(2 * got["a"]["half"])
+
+
+def test_a_series_without_fit_or_settings_leaves_its_error(spark):
+    hist = spark.createDataFrame(hours("a", planted()) + hours("one", [1]), SHAPE)
+    best = curvefit.best_trials(curvefit.search(hist, [curvefit.Spec()], 2, 24, 12))
+    got = {r["entity_id"]: r for r in best.collect()}
+    assert got["a"]["n_trials"] == 1 and got["a"]["error"] is None
+    assert got["one"]["n_trials"] == 0 and got["one"]["params"] is None and "two different times" in got["one"]["error"]
+    out = curvefit.forecast_with(best, hist, 24)
+    assert out.filter("entity_id = 'a' AND error IS NULL").count() == 360
+    assert [tuple(r) for r in out.filter("error IS NOT NULL").select("entity_id", "ds").collect()] == [("one", None)]
+
+
+def test_folds_may_lie_closer_than_the_horizon(spark):
+    hist = spark.createDataFrame(hours("a", planted()), SHAPE)
+    pred = fc.rolling_origin(hist, "2024-01-15", 3, 48, fc.HOURLY, ORIGIN, spacing_hours=12)
+    ends = {r["fold"]: (r["n"], r["last"]) for r in pred.groupBy("fold").agg(F.count("ds").alias("n"), F.max("ds").alias("last")).collect()}
+    assert {k: v[0] for k, v in ends.items()} == {1: 48, 2: 48, 3: 48}
+    assert ends[3][1] == dt(2024, 1, 14, 23) and ends[2][1] == dt(2024, 1, 14, 11)
+    rows = curvefit.search(hist, [curvefit.Spec()] * 2, 3, 48, 12)
+    assert rows.groupBy("trial").count().filter("count = 144").count() == 2

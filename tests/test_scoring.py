@@ -71,6 +71,19 @@ def test_one_hot_null_and_unseen_are_zero(spark, rows):
     assert features.one_hot(df, levels, drop_first=True).columns == ["id", "c_b"]
 
 
+def test_long_one_hot_has_no_limit_of_levels(spark, rows):
+    df = spark.range(1500).select("id", F.concat(F.lit("v"), "id").alias("c"), F.lit(None).cast("string").alias("d"))
+    out = features.one_hot_long(df, ["id"], ["c", "d"])
+    assert out.count() == 1500 and rows(out.filter("id = 7")) == [(7, "c_v7")]
+
+
+def test_permuted_inputs_move_together_and_keep_their_values(spark):
+    df = spark.range(200).select("id", (F.col("id") * 2).alias("x"), (F.col("id") * 3).alias("y"))
+    mixed = models.permuted(df, ["x", "y"], "id", 5, buckets=3)
+    assert mixed.filter("x * 3 <> y * 2").isEmpty() and mixed.select("x").exceptAll(df.select("x")).isEmpty()
+    assert mixed.count() == 200 and mixed.filter("x <> id * 2").count() > 190
+
+
 def test_too_many_levels_are_refused(spark):
     with pytest.raises(ValueError):
         features.fit_levels(spark.range(20).select(F.col("id").cast("string").alias("c")), ["c"], max_levels=5)
