@@ -7,8 +7,12 @@ arrays of these numbers and are binary-searched. A text gets the language of the
 score is the softmax of the cross-entropies with a sharpness fitted on training documents, and `rejected` marks texts
 whose best cross-entropy is beyond what 99.5 % of that language's training documents have.
 
-Counts come from every training document, are summed where they are read and then by Spark. The model is bounded: beyond
-MOST_GRAMS different 4-grams those rarer than the next power of two are left out of it, as count cut-offs do.
+Counts come from every training document, are summed where they are read and then by Spark, and none is left out. They
+stay in the shared folder. A part of a model are the 4-grams of one language in a range of their two middle letters (third
+letter first): orders 4 and 3 are whole in it, order 2 is whole for its third letters, order 1 (at most 65,536 letters a
+language) and the discounts are those of the whole language. Parts are packed into blocks of about BLOCK_GRAMS counts, and
+texts are scored one block after the other; their sums are written per block and added up. So memory holds one block,
+whatever the number of counts, and one block is the whole model as long as it fits.
 
 Defined results: null texts and texts without a letter are `und` with score 0; without training text all are `und`; null
 languages teach nothing; rows that repeat an id are judged one by one; letters beyond the 16-bit plane share 16-bit
@@ -28,7 +32,8 @@ from netkpi.llm.shared import spread
 from netkpi.sources.tables import materialize
 
 ORDER = 4
-MOST_GRAMS = 2_000_000
+#: Counts that the driver and a worker hold at once; more of them take more passes over the texts.
+BLOCK_GRAMS = 2_000_000
 #: About so many training documents fit the sharpness and the rejection bounds.
 CALIBRATION_ROWS = 2_000
 U = np.uint64
@@ -93,32 +98,32 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def bounded_counts(counts: DataFrame, most: int = MOST_GRAMS) -> pa.Table:
-    """The counts as the driver may hold them: all, or those from the lowest power of two on that leaves at most `most`."""
-    by_power = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2("n")).alias("p")).count().collect()}
-    cut = 0
-    while sum(c for p, c in by_power.items() if p >= cut) > most:
-        cut += 1
-    return counts.filter(F.col("n") >= (1 << cut)).toArrow()
+def discount(ones: int, twos: int) -> float:
+    return float(ones / (ones + 2 * twos)) if ones and twos else 0.5
 
 
 class KneserNey:
-    """One language: sorted arrays of seen grams and contexts of orders 1 to 4."""
+    """One language: sorted arrays of seen grams and contexts of orders 1 to 4.
 
-    def __init__(self, code: np.ndarray, n: np.ndarray) -> None:
+    Of a part of a language, `low` holds codes and counts of orders 1 and 2, and `discounts` those of orders 1 to 4.
+    """
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, low: dict | None = None, discounts: dict | None = None) -> None:
         self.tables = {}
         order = np.argsort(code)
         code, n = code[order], n[order].astype(np.float64)
         raw = {}
         for m in range(ORDER, 0, -1):
+            if low and m in low:
+                order = np.argsort(low[m][0])
+                code, n = low[m][0][order], low[m][1][order].astype(np.float64)
             raw[m] = (code, n)
             if m > 1:  # below the highest order a gram counts by the different grams that end in it
                 code, n = np.unique(code & U((1 << 16 * (m - 1)) - 1), return_counts=True)
                 n = n.astype(np.float64)
         for m in range(1, ORDER + 1):
             code, n = raw[m]
-            ones, twos = (n == 1).sum(), (n == 2).sum()
-            d = ones / (ones + 2 * twos) if ones and twos else 0.5
+            d = discounts[m] if discounts else discount((n == 1).sum(), (n == 2).sum())
             context, at = np.unique(code >> U(16), return_inverse=True)
             total = np.bincount(at, n, len(context))
             rest = d * np.bincount(at, minlength=len(context)) / total
@@ -129,6 +134,8 @@ class KneserNey:
         p = np.full(len(code), 1 / (len(self.tables[1][0]) + 1))
         for m in range(1, upto + 1):
             seen, prob, context, rest = self.tables[m]
+            if not len(seen):  # a part without grams of this order
+                continue
             key = code & U((1 << 16 * m) - 1) if m < ORDER else code
             at = np.minimum(np.searchsorted(seen, key), len(seen) - 1)
             to = np.minimum(np.searchsorted(context, key >> U(16)), len(context) - 1)
@@ -141,23 +148,96 @@ class KneserNey:
         return -np.log(self._of(code, ORDER))
 
 
-class Languages:
-    def __init__(self, counts: pa.Table) -> None:
-        lang = np.array(counts.column("lang").to_pylist(), dtype=object)
-        code, n = counts.column("gram").to_numpy().view(U), counts.column("n").to_numpy()
-        self.names = sorted(set(lang.tolist()))
-        self.models = [KneserNey(code[lang == k], n[lang == k]) for k in self.names]
-        self.sharpness, self.bounds = 1.0, np.full(len(self.names), np.inf)
+def middle(code: np.ndarray) -> np.ndarray:
+    """The third letter of each 4-gram, then the second, as one number below 2^32."""
+    return (((code >> U(16)) & U(0xFFFF)) << U(16)) | ((code >> U(32)) & U(0xFFFF))
 
 
-def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
-    """All columns of docs but the text, and `costs`: cross-entropy per character and language; null without a letter."""
+class Languages:
+    """Names, discounts and first order of all languages, and blocks of parts (language, from, below) of the written counts."""
+
+    def __init__(self, counts: DataFrame, most: int = BLOCK_GRAMS) -> None:
+        """counts: written, with lang, gram and n."""
+        letter = lambda c, shift: F.shiftrightunsigned(c, shift).bitwiseAND(0xFFFF)
+        self.counts = counts.withColumn("mid", F.shiftleft(letter("gram", 16), 16) + letter("gram", 32))
+        below = lambda t, mask: t.groupBy("lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        third = below(counts, (1 << 48) - 1)
+        self.second = materialize(below(third, (1 << 32) - 1), "language-pairs")
+        first = below(self.second, 0xFFFF)
+        rows = {m: {r.lang: r for r in t.groupBy("lang").agg(F.count(F.lit(1)).alias("size"), F.count_if(F.col("n") == 1).alias("ones"),
+                                                            F.count_if(F.col("n") == 2).alias("twos")).collect()}
+                for m, t in ((1, first), (2, self.second), (3, third), (4, counts))}
+        self.names = sorted(rows[4])
+        self.discounts = [{m: discount(rows[m][k].ones, rows[m][k].twos) for m in rows} for k in self.names]
+        self.first = self._arrays(first)
+        self.sharpness, self.bounds = 1.0, np.full(len(self.names), np.inf)
+        self.blocks = self._blocks([rows[4][k].size for k in self.names], most)
+
+    def _arrays(self, table: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Codes and counts per language."""
+        held = table.select("lang", "gram", "n").toArrow()
+        lang = held.column("lang").combine_chunks().dictionary_encode()
+        if isinstance(lang, pa.ChunkedArray):
+            lang = lang.combine_chunks()
+        known, of = lang.dictionary.to_pylist(), lang.indices.to_numpy()
+        code, n = held.column("gram").to_numpy().view(U), held.column("n").to_numpy()
+        return {self.names.index(k): (code[of == i], n[of == i]) for i, k in enumerate(known)}
+
+    def _blocks(self, sizes: list[int], most: int) -> list[list[tuple[int, int, int]]]:
+        """Every middle of every language is in one part; cuts are approximate quantiles, so sizes are, too."""
+        part = most if sum(sizes) <= most else max(1, most // 4)
+        cuts: dict[str, list[int]] = {k: [] for k in self.names}
+        for many in sorted({-(-n // part) for n in sizes} - {0, 1}):
+            of = [k for k, n in zip(self.names, sizes, strict=True) if -(-n // part) == many]
+            at = F.percentile_approx("mid", [i / many for i in range(1, many)], 20 * many)
+            cuts |= {r[0]: sorted(set(r[1])) for r in self.counts.filter(F.col("lang").isin(of)).groupBy("lang").agg(at).collect()}
+        blocks, held = [], most
+        for x, (k, n) in enumerate(zip(self.names, sizes, strict=True)):
+            edges = [0, *(c for c in cuts[k] if c > 0), 1 << 32]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                size = n / (len(edges) - 1)
+                if not blocks or held + size > most:
+                    blocks.append([])
+                    held = 0
+                blocks[-1].append((x, lo, hi))
+                held += size
+        return blocks
+
+    def parts(self, block: list[tuple[int, int, int]]) -> list[tuple[int, int, int, KneserNey]]:
+        """The models of one block, read from the written counts."""
+        inside, pairs = F.lit(False), F.lit(False)
+        for x, lo, hi in block:
+            own = F.col("lang") == self.names[x]
+            inside |= own & (F.col("mid") >= lo) & (F.col("mid") < hi)
+            pairs |= own & (F.col("gram") >= lo >> 16 << 16) & (F.col("gram") < ((hi - 1 >> 16) + 1) << 16)
+        none = (np.zeros(0, U), np.zeros(0, np.int64))
+        four, two, out = self._arrays(self.counts.filter(inside)), self._arrays(self.second.filter(pairs)), []
+        for x, lo, hi in block:
+            code, n = four.get(x, none)
+            pair, pair_n = two.get(x, none)
+            mid, third = middle(code), pair >> U(16)
+            here, near = (mid >= U(lo)) & (mid < U(hi)), (third >= U(lo >> 16)) & (third <= U(hi - 1 >> 16))
+            low = {1: self.first[x], 2: (pair[near], pair_n[near])}
+            out.append((x, lo, hi, KneserNey(code[here], n[here], low, self.discounts[x])))
+        return out
+
+
+def block_sums(docs: DataFrame, parts: list[tuple[int, int, int, KneserNey]], k: int) -> DataFrame:
+    """All columns of docs but the text, and `costs`: per language the mean over the text's 4-grams of the costs that the
+    parts know (0 for 4-grams of other parts); null without a letter."""
     letters = letter_table()
     kept = [f for f in docs.schema.fields if f.name not in ("text", "costs")]
-    k = len(model.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, costs = np.zeros(0, U), np.zeros((0, k))
+
+        def looked_up(code: np.ndarray) -> np.ndarray:
+            of, mid = np.zeros((len(code), k)), middle(code)
+            for x, lo, hi, model in parts:
+                here = (mid >= U(lo)) & (mid < U(hi))
+                of[here, x] = model.cost(code[here])
+            return of
+
         for b in batches:
             out = []
             for i, j, data, offs in text_slices(b.column("text"), 1 << 20):
@@ -169,7 +249,7 @@ def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
                     if len(new):
                         every = np.concatenate([known, new])
                         order = np.argsort(every)
-                        costs = np.concatenate([costs, np.column_stack([m.cost(new) for m in model.models])])[order]
+                        costs = np.concatenate([costs, looked_up(new)])[order]
                         known = every[order]
                     of = costs[np.searchsorted(known, distinct)]
                     n = np.bincount(doc, minlength=j - i)
@@ -186,16 +266,35 @@ def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
+    """All columns of docs but the text, and `costs`: cross-entropy per character and language; null without a letter."""
+    k = len(model.names)
+    if len(model.blocks) < 2:
+        return block_sums(docs, model.parts(model.blocks[0]) if model.blocks else [], k)
+    # costs depend on nothing but the text: equal texts share a key
+    key = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_text_key")
+    texts, passes = docs.filter("text is not null").select(key, "text"), None
+    for i, block in enumerate(model.blocks):
+        some = block_sums(texts, model.parts(block), k).filter("costs is not null").withColumn("block", F.lit(i))
+        some = materialize(some, "language-sums")
+        passes = some if passes is None else passes.unionAll(some)
+    one = passes.groupBy("_text_key", "block").agg(F.first("costs").alias("costs"))
+    listed = F.array_sort(F.collect_list(F.struct("block", "costs")))
+    added = F.aggregate(listed, F.array_repeat(F.lit(0.0), k), lambda s, v: F.zip_with(s, v["costs"], lambda a, b: a + b))
+    sums = one.groupBy("_text_key").agg(added.alias("costs"))
+    kept = [c for c in docs.columns if c not in ("text", "costs")]
+    return docs.select(*kept, key).join(sums, "_text_key", "left").select(*kept, "costs")
+
+
 def probabilities(costs: np.ndarray, sharpness: float) -> np.ndarray:
     e = np.exp(-sharpness * (costs - costs.min(axis=1, keepdims=True)))
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(docs: DataFrame) -> Languages:
-    """docs: the training rows, with doc_id, text and lang. All of them are counted."""
+def fit(docs: DataFrame, most: int = BLOCK_GRAMS) -> Languages:
+    """docs: the training rows, with doc_id, text and lang. All of them are counted; `most` counts are in memory at once."""
     docs = docs.filter("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    counts = materialize(gram_counts(docs), "language-counts")
-    model = Languages(bounded_counts(counts))
+    model = Languages(materialize(gram_counts(docs), "language-counts"), most)
     share = CALIBRATION_ROWS / max(CALIBRATION_ROWS, docs.count())
     some = docs.filter(spread(F.lit("calibrate"), F.col("doc_id")) < int(share * (1 << 52)))
     held = cross_entropies(some, model).filter("costs is not null").select("lang", "costs").toArrow()

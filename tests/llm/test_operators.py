@@ -231,6 +231,29 @@ def test_language_takes_any_rows(docs, empty):
     assert language.identified(empty, model).count() == 0
 
 
+def test_language_counts_are_whole_in_blocks(docs):
+    import numpy as np
+
+    whole, split = language.fit(docs), language.fit(docs, most=30)
+    assert len(whole.blocks) == 1 and len(split.blocks) > 2
+    # every count is in one part, those seen once and those of small languages as well
+    held = sum(len(m.tables[4][0]) for b in split.blocks for *_, m in split.parts(b))
+    assert held == whole.counts.count() and split.names == whole.names == ["de", "en", "es"]
+    # all orders of the parts add up to the plain model of all counts
+    rows = [r for r in whole.counts.collect() if r.lang == "en"]
+    plain = language.KneserNey(np.array([r.gram for r in rows]).view(np.uint64), np.array([r.n for r in rows]))
+    code = np.unique(np.concatenate([np.array([r.gram for r in whole.counts.collect()]).view(np.uint64), np.arange(1, 9, dtype=np.uint64) << np.uint64(9)]))
+    got, mid = np.zeros(len(code)), language.middle(code)
+    for b in split.blocks:
+        for x, lo, hi, m in split.parts(b):
+            here = (mid >= np.uint64(lo)) & (mid < np.uint64(hi))
+            got[here] += m.cost(code[here]) * (x == 1)
+    assert np.allclose(got, plain.cost(code))
+    a, b = (sorted((str(r.doc_id), str(r.lang), r.n_chars, r.costs) for r in language.cross_entropies(docs, m).collect()) for m in (whole, split))
+    assert len(a) == len(ROWS) and all(x[:3] == y[:3] for x, y in zip(a, b, strict=True))
+    assert all((x[3] is None) == (y[3] is None) and (x[3] is None or np.allclose(x[3], y[3])) for x, y in zip(a, b, strict=True))
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
 
