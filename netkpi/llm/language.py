@@ -4,8 +4,9 @@ Letters are lower-cased, anything else is a boundary, and runs of it are one. Ea
 its character 4-grams over all training documents, and from them interpolated Kneser-Ney probabilities of four orders
 (lower orders by the number of different continuations). A 4-gram is packed into 64 bits without loss; tables are sorted
 arrays of these numbers and are binary-searched. A text gets the language of the lowest cross-entropy per character; the
-score is the softmax of the cross-entropies with a sharpness fitted on training documents, and `rejected` marks texts
-whose best cross-entropy is beyond what 99.5 % of that language's training documents have.
+score is the softmax of the cross-entropies with a sharpness fitted on a sample of training documents, drawn per language,
+and `rejected` marks texts whose best cross-entropy is beyond what 99.5 % of that language's training documents have: all of
+them, by a quantile whose rank is off by at most one in BOUND_ACCURACY of the language's documents.
 
 Counts come from every training document, are summed where they are read and then by Spark, and none is left out. They
 stay in the shared folder. A part of a model are the 4-grams of one language in a range of their two middle letters (third
@@ -34,8 +35,9 @@ from netkpi.sources.tables import materialize
 ORDER = 4
 #: Counts that the driver and a worker hold at once; more of them take more passes over the texts.
 BLOCK_GRAMS = 2_000_000
-#: About so many training documents fit the sharpness and the rejection bounds.
-CALIBRATION_ROWS = 2_000
+#: About so many training documents fit the sharpness, in equal shares per language, but at least LEAST_ROWS of each.
+CALIBRATION_ROWS, LEAST_ROWS = 2_000, 20
+BOUND_ACCURACY = 10_000
 U = np.uint64
 
 
@@ -295,18 +297,23 @@ def fit(docs: DataFrame, most: int = BLOCK_GRAMS) -> Languages:
     """docs: the training rows, with doc_id, text and lang. All of them are counted; `most` counts are in memory at once."""
     docs = docs.filter("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     model = Languages(materialize(gram_counts(docs), "language-counts"), most)
-    share = CALIBRATION_ROWS / max(CALIBRATION_ROWS, docs.count())
-    some = docs.filter(spread(F.lit("calibrate"), F.col("doc_id")) < int(share * (1 << 52)))
-    held = cross_entropies(some, model).filter("costs is not null").select("lang", "costs").toArrow()
-    if held.num_rows and model.names:
-        costs = np.array(held.column("costs").to_pylist())
-        right = np.array([model.names.index(x) if x in model.names else -1 for x in held.column("lang").to_pylist()])
-        costs, right = costs[right >= 0], right[right >= 0]
-        if len(right):
-            loss = lambda s: -np.log(np.maximum(1e-12, probabilities(costs, s)[np.arange(len(right)), right])).mean()
-            model.sharpness = min((1.0, 2.0, 5.0, 10.0, 20.0, 50.0), key=loss)
-            own = costs[np.arange(len(right)), right]
-            model.bounds = np.array([np.quantile(own[right == i], 0.995) if (right == i).any() else np.inf for i in range(len(model.names))])
+    if not model.names:
+        return model
+    sizes = {r[0]: r[1] for r in docs.groupBy("lang").count().collect()}
+    each = max(LEAST_ROWS, CALIBRATION_ROWS // len(sizes))
+    shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, each / n) * (1 << 52)))])
+    drawn = spread(F.lit("calibrate"), F.col("doc_id"), F.col("text")) < shares[F.col("lang")]
+    rows = cross_entropies(docs.select("text", "lang", drawn.alias("drawn")), model).filter("costs is not null")
+    own = F.get("costs", F.array_position(F.array(*[F.lit(k) for k in model.names]), F.col("lang")).cast("int") - 1)
+    held = materialize(rows.select("lang", own.alias("own"), F.when(F.col("drawn"), F.col("costs")).alias("costs")), "language-costs")
+    bounds = {r[0]: r[1] for r in held.groupBy("lang").agg(F.percentile_approx("own", 0.995, BOUND_ACCURACY)).collect()}
+    model.bounds = np.array([bounds.get(k, np.inf) for k in model.names])
+    some = held.filter("costs is not null").select("lang", "costs").toArrow()
+    if some.num_rows:
+        costs = np.array(some.column("costs").to_pylist())
+        right = np.array([model.names.index(x) for x in some.column("lang").to_pylist()])
+        loss = lambda s: -np.log(np.maximum(1e-12, probabilities(costs, s)[np.arange(len(right)), right])).mean()
+        model.sharpness = min((1.0, 2.0, 5.0, 10.0, 20.0, 50.0), key=loss)
     return model
 
 

@@ -254,6 +254,21 @@ def test_language_counts_are_whole_in_blocks(docs):
     assert all((x[3] is None) == (y[3] is None) and (x[3] is None or np.allclose(x[3], y[3])) for x, y in zip(a, b, strict=True))
 
 
+def test_language_bounds_hold_for_all_training_rows(spark):
+    import numpy as np
+
+    lang = F.when(F.col("id") < 8, F.concat(F.lit("x"), "id")).when(F.col("id") % 20 == 0, "de").otherwise("en")
+    letters = F.translate(F.md5(F.col("id").cast("string")), "0123456789", "ghijklmnop")
+    rows = spark.range(8000).select(F.col("id").alias("doc_id"), F.substring(letters, F.lit(1), (4 + F.col("id") % 20).cast("int")).alias("text"), lang.alias("lang"))
+    model = language.fit(rows)
+    held = [(r.lang, r.costs) for r in language.cross_entropies(rows, model).collect()]
+    for i, name in enumerate(model.names):
+        own = sorted(c[i] for k, c in held if k == name)
+        # a language of one row has a bound, too, and the rank is within the stated accuracy
+        assert np.isfinite(model.bounds[i])
+        assert abs(sum(c > model.bounds[i] + 1e-12 for c in own) - 0.005 * len(own)) <= 1 + len(own) / language.BOUND_ACCURACY
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
 
