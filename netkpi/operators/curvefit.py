@@ -190,16 +190,20 @@ def predict(models: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
-def forecast(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3600) -> DataFrame:
+def forecast_or_error(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3600) -> DataFrame:
     """Fit and predict in one pass over the series: history plus `horizon` steps.
 
-    A series whose fit fails yields no rows; `fit` tells why.
+    A series whose fit fails yields one row: its error, no time.
     """
     def one(key: tuple, table: pa.Table) -> pa.Table:
         return _extended(key[0].as_py(), table, spec, horizon, step_seconds)
 
-    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.AUTO_FORECAST_ROW).filter(
-        F.col("error").isNull()).drop("error")
+    return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.AUTO_FORECAST_ROW)
+
+
+def forecast(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3600) -> DataFrame:
+    """The rows of `forecast_or_error` without those of failures."""
+    return forecast_or_error(history, spec, horizon, step_seconds).filter(F.col("error").isNull()).drop("error")
 
 
 def _extended(entity: str, table: pa.Table, spec: Spec, horizon: int, step_seconds: int) -> pa.Table:

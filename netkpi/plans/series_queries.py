@@ -360,14 +360,14 @@ def chosen_entities(spark, sf_dir):
 
 @register("curve_forecast", "F3 I2")
 def curve_forecast(spark, sf_dir):
-    return curvefit.forecast(_history(spark, sf_dir), curvefit.Spec(), 168)
+    return curvefit.forecast_or_error(_history(spark, sf_dir), curvefit.Spec(), 168)
 
 
 @register("curve_forecast_daily", "F4")
 def curve_forecast_daily(spark, sf_dir):
     """Weekly season and trend on daily counts, 90 days ahead."""
     days = ts.count_series(adapters.load(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "1 day")
-    return curvefit.forecast(days, curvefit.Spec(daily_order=0), 90, step_seconds=86400)
+    return curvefit.forecast_or_error(days, curvefit.Spec(daily_order=0), 90, step_seconds=86400)
 
 
 @register("curve_changepoints", "F13")

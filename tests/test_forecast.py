@@ -152,6 +152,20 @@ def test_a_failing_series_does_not_stop_the_others(spark):
     assert curvefit.forecast(hist, curvefit.Spec(), 24).filter("entity_id = 'one'").isEmpty()
 
 
+def test_failed_series_stay_in_the_forecast_queries(spark, monkeypatch):
+    from netkpi.plans import series_queries
+
+    hist = spark.createDataFrame(hours("good", [10 + i % 24 for i in range(200)]) + hours("one", [5.0]), SHAPE)
+    monkeypatch.setattr(series_queries, "_history", lambda spark, sf_dir: hist)
+    monkeypatch.setattr(series_queries.adapters, "load", lambda *_: hist)
+    monkeypatch.setattr(series_queries.ts, "count_series", lambda *_: hist)
+    for query, ahead in ((series_queries.curve_forecast, 168), (series_queries.curve_forecast_daily, 90)):
+        got = query(spark, "").collect()
+        lost = [r for r in got if r["entity_id"] == "one"]
+        assert len(lost) == 1 and "two different times" in lost[0]["error"] and lost[0]["ds"] is None
+        assert sum(r["entity_id"] == "good" and r["error"] is None for r in got) == 200 + ahead
+
+
 def test_search_prefers_the_better_setting(spark):
     y = [30 + 10 * np.sin(2 * np.pi * i / 24) for i in range(336)]
     hist = spark.createDataFrame(hours("a", y), SHAPE)
