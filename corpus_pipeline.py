@@ -22,7 +22,10 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id stays."""
+    """Of each component the document with the smallest id stays.
+
+    Links are those of op2 (three-word shingles, at most two bits), so most pairs of five-word similarity 0.8 or more stay.
+    """
     found = simhash.near_duplicates(docs)
     gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
     return attach(docs, gone, "doc_id", None, 0, "left_anti").select(*docs.columns)
@@ -48,7 +51,7 @@ STAGES = [
     ("sharding", assign_shards),
 ]
 
-#: Fitted models and fingerprints are not SQL; tests compare with a plain version.
+#: Fitted models and fingerprints are not SQL; tests check columns and row counts of the stages, not yet each stage's rows.
 ORACLE_SQL = None
 
 
