@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netkpi.llm import decontaminate, exact_dedup, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from netkpi.llm import decontaminate, exact_dedup, language, merkle, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
 
@@ -94,6 +94,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("sub_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@register
+def op12_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    told = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.verified(docs, told, text=F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
 ORACLES["op8_exact_dedup"] = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -197,3 +204,66 @@ WITH d AS (
 SELECT doc_id, len(d.words) AS n_words, coalesce(len(removed), 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN marked USING (rid) LEFT JOIN kept USING (rid)
 """
+
+
+def merkle_sql(within: int, over: int) -> str:
+    """within, over: levels of the tree of a source and of that over the subroots, at least as many as the table needs."""
+    def enc(c):
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def climb(name, levels, group):
+        """name_0 has (group, pos, h); name_L has a level's nodes, name_Lr its runs."""
+        out = []
+        for k in range(levels):
+            out.append(f"""{name}_{k}r AS (
+  SELECT {group}, pos // 16 AS up, list(h ORDER BY pos) AS run, any_value(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {name}_{k}) GROUP BY {group}, pos // 16
+), {name}_{k + 1} AS (
+  SELECT {group}, up AS pos, CASE WHEN n = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS h FROM {name}_{k}r
+)""")
+        return out
+
+    def fold(source, name, levels, group, place):
+        """Adds the siblings of each level and folds the told digest."""
+        out = []
+        for k in range(levels):
+            here = f"({place} // {16 ** k})"
+            at = f"CAST({here} % 16 AS INTEGER)"
+            out.append(f"""{name}_f{k} AS (
+  SELECT p.* EXCLUDE (proof, told),
+         CASE WHEN r.n = 1 THEN proof ELSE proof || array_to_string(list_concat(run[1:{at}], run[{at} + 2:]), '') END AS proof,
+         CASE WHEN r.n = 1 THEN told ELSE sha256(array_to_string(run[1:{at}], '') || told || array_to_string(run[{at} + 2:], '')) END AS told
+  FROM {source} p JOIN {name}_{k}r r ON r.up = {place} // {16 ** (k + 1)}{group}
+)""")
+            source = f"{name}_f{k}"
+        return out, source
+
+    inside, last = fold("placed", "own", within, " AND r.g = p.g", "p.pos")
+    above, last = fold("pathed", "top", over, "", "p.gpos")
+    parts = [f"""crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), coded AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 5 = 0 AS tampered
+  FROM documents, crc
+), hashed AS (
+  SELECT doc_id, coalesce('+' || source, '') AS g, sha256({" || ".join(enc(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS h,
+         sha256({" || ".join(enc(c) for c in ("doc_id", "source", "lang", "n_chars"))} || {enc("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS lowered, tampered
+  FROM coded
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, '' AS proof,
+         CASE WHEN tampered THEN lowered ELSE h END AS told FROM hashed
+), own_0 AS (SELECT g, pos, h FROM placed)""", *climb("own", within, "g"), f"""top_0 AS (
+  SELECT 1 AS one, g, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, h FROM own_{within}
+)""", *climb("top", over, "one"), *inside, f"""pathed AS (
+  SELECT p.*, t.pos AS gpos, t.h AS subroot FROM own_f{within - 1} p JOIN top_0 t USING (g)
+)""", *above]
+    return "WITH " + ", ".join(parts) + f"""
+SELECT doc_id, p.h AS leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, told AS folded_root, told = t.h AS verified
+FROM {last} p, top_{over} t"""
+
+
+#: Enough for a million rows of a source and 4,096 sources.
+ORACLES["op12_merkle_proofs"] = merkle_sql(5, 3)
