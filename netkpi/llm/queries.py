@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netkpi.llm import decontaminate, exact_dedup, language, merkle, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from netkpi.llm import decontaminate, exact_dedup, html, language, merkle, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
 
@@ -101,6 +101,12 @@ def op12_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(docs, told, text=F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
+@register
+def op13_template_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 ORACLES["op8_exact_dedup"] = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -267,3 +273,21 @@ FROM {last} p, top_{over} t"""
 
 #: Enough for a million rows of a source and 4,096 sources.
 ORACLES["op12_merkle_proofs"] = merkle_sql(5, 3)
+
+#: For pages with one article of headings, paragraphs and unclosed inline elements, as in the given tables.
+ORACLES["op13_template_html"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*)</article>', 1) AS body FROM pages
+), b AS (
+  SELECT page_id, url, string_split_regex(body, '</?(p|h1)>') AS blocks FROM a
+), c AS (
+  SELECT page_id, url, list_transform(blocks, lambda x: regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')) AS blocks FROM b
+), d AS (
+  SELECT page_id, url, list_transform(blocks, lambda x: trim(regexp_replace(replace(replace(replace(
+           regexp_replace(x, '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>'), '&#x27;', chr(39)), '\s+', ' ', 'g'))) AS blocks FROM c
+), e AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda x: regexp_replace(x, '&amp;?', '&', 'g')),
+                                                   lambda x: x <> ''), chr(10)) AS text FROM d
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM e
+"""

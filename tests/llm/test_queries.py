@@ -39,4 +39,4 @@ def test_pipeline_stages(spark):
 
 def test_sql_is_given_where_it_can_be():
     assert {n for n in entry.oracle_sql() if n.startswith("op")} == {
-        "op1_pareto_mix", "op4_decontaminate", "op8_exact_dedup", "op10_substring_dedup", "op12_merkle_proofs"}
+        "op1_pareto_mix", "op4_decontaminate", "op8_exact_dedup", "op10_substring_dedup", "op12_merkle_proofs", "op13_template_html"}
