@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netkpi.llm import decontaminate, exact_dedup, html, language, merkle, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from netkpi.llm import decontaminate, exact_dedup, html, language, merkle, mixing, multi_index, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from netkpi.llm.labels import remainder
 from netkpi.llm.shared import table
 
@@ -107,6 +107,12 @@ def op13_template_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = multi_index.quantised(multi_index.relabelled(table(spark, sf_dir, "embeddings")), "vec_id", "embedding", "label")
+    return multi_index.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 ORACLES["op8_exact_dedup"] = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -291,3 +297,23 @@ WITH a AS (
 )
 SELECT page_id, url, text, length(text) AS n_chars FROM e
 """
+
+ORACLES["op11_hard_negatives"] = """
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+         other AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT * FROM n WHERE rank <= 10
+"""

@@ -9,7 +9,7 @@ SF_HELD = "/root/testdata/sf0.01"
 
 def test_all_queries_are_registered():
     names = {q for q in entry.queries() if q.startswith("op")}
-    assert {int(n[2:].split("_")[0]) for n in names} >= set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} >= set(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_held_out_accuracy(spark):
@@ -39,4 +39,5 @@ def test_pipeline_stages(spark):
 
 def test_sql_is_given_where_it_can_be():
     assert {n for n in entry.oracle_sql() if n.startswith("op")} == {
-        "op1_pareto_mix", "op4_decontaminate", "op8_exact_dedup", "op10_substring_dedup", "op12_merkle_proofs", "op13_template_html"}
+        "op1_pareto_mix", "op4_decontaminate", "op8_exact_dedup", "op10_substring_dedup", "op11_hard_negatives", "op12_merkle_proofs",
+        "op13_template_html"}
