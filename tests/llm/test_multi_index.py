@@ -68,8 +68,9 @@ def test_cells_come_by_falling_bounds():
     assert len({w[1:] for w in walk}) == 12 and all(w[0] == one[w[1]] + two[w[2]] for w in walk)
 
 
-def test_search_ends_when_certified(spark):
+def test_search_ends_when_certified(spark, monkeypatch):
     """Clustered rows: the best of the same label lie in few cells, and a query does not visit the others."""
+    monkeypatch.setattr(multi_index, "FIRST_CELLS", 2)
     x = vectors(4000, 16, 3, clustered=True)
     rows = [(i, x[i], 0) for i in range(4000)]
     table = multi_index.quantised(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", "label")
