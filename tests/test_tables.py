@@ -31,9 +31,11 @@ def test_replace_append_and_schema_change(spark, rows):
 def test_delete_keeps_rows_with_an_unknown_predicate(spark, rows):
     name, old, new = tables.fresh_name("t"), tables.fresh_path(spark, "v1"), tables.fresh_path(spark, "v2")
     tables.replace_table(spark.createDataFrame([(1, 5.0), (2, None), (3, 50.0)], "id int, v double"), name, old)
+    before = spark.table(name).inputFiles()
+    assert all(f"{old}/" in f for f in before)
     assert rows(tables.delete_rows(spark, name, F.col("v") > 10, new)) == [(1, 5.0), (2, None)]
     assert rows(spark.table(name)) == [(1, 5.0), (2, None)]
-    assert spark.read.parquet(old).count() == 3  # the old version was not touched
+    assert spark.read.parquet(*before).count() == 3  # the old version was not touched
 
 
 def test_new_columns_read_as_null_before(spark, rows):
@@ -60,6 +62,37 @@ def test_bad_keys_leave_the_old_feature_table(spark):
     assert spark.table(name).count() == 2
 
 
+def test_keys_and_time_key_are_kept_with_the_table(spark):
+    name, df = tables.fresh_name("f"), spark.createDataFrame([(1, 1, 5)], "k int, t int, v int")
+    tables.write_feature_table(df, name, ["k", "t"], time_key="t")
+    assert tables.table_keys(spark, name) == (["k", "t"], "t")
+    tables.write_feature_table(df.withColumn("w", F.lit(1)), name, ["k"])  # other columns, other keys
+    assert tables.table_keys(spark, name) == (["k"], None)
+    with pytest.raises(ValueError):
+        tables.write_feature_table(df, name, ["k"], time_key="t")
+
+
+def test_rows_as_of_take_the_newest_closed_row(spark, rows):
+    from datetime import datetime as dt
+
+    feats = spark.createDataFrame([(1, dt(2024, 1, 1, h), h) for h in (1, 2, 5)] + [(2, dt(2024, 1, 1, 9), 9)], "e int, t timestamp_ntz, v int")
+    asked = spark.createDataFrame([(1, dt(2024, 1, 1, 2)), (1, dt(2024, 1, 1, 4, 30)), (1, dt(2024, 1, 1, 1, 59)), (2, dt(2024, 1, 1)), (3, dt(2024, 1, 2))],
+                                  "e int, at timestamp_ntz")
+    got = tables.rows_as_of(feats, (["e", "t"], "t"), asked, "at", "1 hour")
+    assert rows(got, "e", "at", "v") == rows(spark.createDataFrame(
+        [(1, dt(2024, 1, 1, 2), 1), (1, dt(2024, 1, 1, 4, 30), 2), (1, dt(2024, 1, 1, 1, 59), None), (2, dt(2024, 1, 1), None), (3, dt(2024, 1, 2), None)],
+        "e int, at timestamp_ntz, v int"))
+
+
+def test_a_table_is_replaced_by_what_is_read_from_it_and_survives_a_lost_job(spark, rows):
+    name, path = tables.fresh_name("t"), tables.fresh_path(spark, "t")
+    tables.replace_table(spark.createDataFrame([(1,), (2,)], "a int"), name, path)
+    tables.replace_table(spark.table(name).filter("a = 2"), name, path)
+    with pytest.raises(Exception):
+        tables.replace_table(spark.table(name).withColumn("b", F.raise_error(F.lit("lost")).cast("int")), name, path)
+    assert rows(spark.table(name)) == [(2,)]
+
+
 def test_catalog_helpers(spark):
     tables.ensure_schema(spark, "area_one")
     tables.ensure_schema(spark, "area_one")
