@@ -147,13 +147,18 @@ class VersionedTable:
         values in df are rewritten. The keys of df are taken to be unique."""
         base = self.version()
         schema = base.schema if base.folders else df.schema
-        changed = df.withColumn(PART, part.cast("long"))
-        touched = {r[0] for r in changed.select(PART).distinct().collect()}
+        folders = self._write(df.withColumn(PART, part.cast("long")).repartition(PART), True)
+        if not folders and base.number:  # nothing to change
+            return base
+        touched = {f["part"] for f in folders}
         old = [f for f in base.folders if f["part"] in touched]
-        if old:
-            stay = self._rows(base, old).join(df.select(*keys), list(keys), "left_anti").select(*schema.fieldNames())
-            changed = changed.unionByName(stay.withColumn(PART, part.cast("long")))
-        folders = self._write(changed.repartition(PART), True) if touched else []
+        if old:  # what stays of the parts that were touched is written with the new rows, once these are known
+            new = self._rows(Version(0, "merge", schema, tuple(folders)))
+            stay = self._rows(base, old).join(new.select(*keys), list(keys), "left_anti")
+            whole = new.unionByName(stay.select(*new.columns)).withColumn(PART, part.cast("long"))
+            first = folders[0]["path"].rpartition("/")[0]
+            folders = self._write(whole.repartition(PART), True)
+            small_files.remove(self.spark, f"{self.path}/{first}")
         return self._commit(base, "merge", schema, [*(f for f in base.folders if f not in old), *folders], {**base.properties, **properties})
 
     def vacuum(self, keep: int = 1) -> int:

@@ -4,9 +4,11 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+
+from netkpi.functions.scalar import utc_instant
+from netkpi.sources.versions import VersionedTable
 
 
 def start_files(stream: DataFrame, path: str, checkpoint: str, name: str | None = None,
@@ -42,21 +44,32 @@ def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def drain_levels(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+#: Seconds that a partition of a stored level covers.
+LEVEL_PART = 86400
+
+
+def drain_levels(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str = "datetime") -> DataFrame:
     """Process everything that is there and read the whole level, open windows included.
 
-    Each trigger writes the windows it changed under its batch id (a repeated batch replaces its own folder); of every
-    key the row of the newest batch counts. A later run with the same checkpoint goes on where this one stopped.
+    The level is a table of versions with a partition per day of `ts`. Each trigger's changed windows take the place of
+    those with the same keys in the days they touch, in a new version that also names the batch, so a repeated batch changes
+    nothing. Reads see one version; two are kept, for whoever still reads the older one. A later run with the same
+    checkpoint goes on where this one stopped.
     """
+    table = VersionedTable(stream.sparkSession, path)
+    day = F.floor((F.unix_seconds(ts) if dict(stream.dtypes)[ts] == "timestamp" else F.unix_seconds(utc_instant(ts))) / LEVEL_PART)
+
     def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+        if batch <= table.version().properties.get("batch", -1):
+            rows.write.format("noop").mode("overwrite").save()  # the stream's state of this batch is still to be written
+            return
+        table.merge(rows, keys, day, batch=batch)
+        table.vacuum(2)
 
     query = (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).foreachBatch(keep).start())
     query.awaitTermination()
-    stored = stream.sparkSession.read.schema(StructType(list(stream.schema.fields)).add("batch_id", "long")).parquet(path)
-    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("batch_id").desc()))
-    return stored.withColumn("_newest", newest).filter("_newest = 1").drop("_newest", "batch_id")
+    return table.read() if table.numbers() else stream.sparkSession.createDataFrame([], stream.schema)
 
 
 def active_streams(spark: SparkSession, prefix: str) -> list[StreamingQuery]:
