@@ -33,13 +33,9 @@ class Version:
     number: int
     operation: str
     schema: StructType
-    folders: tuple[dict, ...]  # path below the table, part (or None), rows
+    folders: tuple[dict, ...]  # path below the table, part (or None), rows (None where they were not counted)
     properties: Mapping[str, object] = field(default_factory=dict)
 
-    @property
-    def rows(self) -> int:
-        return sum(f["rows"] for f in self.folders)
-
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -69,11 +65,15 @@ class VersionedTable:
         return made
 
     def history(self) -> DataFrame:
-        rows = [(v.number, v.operation, v.rows, len(v.folders), v.schema.fieldNames(), v.properties.get("keys"), v.properties.get("time_key"))
+        rows = [(v.number, v.operation, self._count(v), len(v.folders), v.schema.fieldNames(), v.properties.get("keys"), v.properties.get("time_key"))
                 for v in map(self.version, self.numbers())]
         return self.spark.createDataFrame(
             rows, "version long, operation string, n_rows long, n_folders long, columns array<string>, keys array<string>, time_key string")
 
+    def _count(self, version: Version) -> int:
+        open_ = [f for f in version.folders if f["rows"] is None]
+        return sum(f["rows"] or 0 for f in version.folders) + (self._rows(version, open_).count() if open_ else 0)
+
     # reading
 
     def read(self, number: int | None = None) -> DataFrame:
@@ -104,9 +104,8 @@ class VersionedTable:
         if not by_part:
             df.write.parquet(where)
             return [{"path": folder, "part": None, "rows": self.spark.read.schema(df.schema).parquet(where).count()}]
-        df.write.partitionBy(PART).parquet(where)
-        counts = self.spark.read.schema(df.schema).parquet(where).groupBy(PART).count().collect()
-        return [{"path": f"{folder}/{PART}={r[0]}", "part": r[0], "rows": r[1]} for r in sorted(counts)]
+        df.write.partitionBy(PART).parquet(where)  # counted when somebody asks: a merge is to be quick
+        return [{"path": f"{folder}/{n}", "part": int(n.partition("=")[2]), "rows": None} for n in _parts(self.spark, where)]
 
     def replace(self, df: DataFrame, keys: Sequence[str] = (), time_key: str | None = None, **properties) -> Version:
         """New rows and new columns. keys: a null or repeated key is an error, found on what was written, and leaves the table as it was."""
@@ -147,7 +146,7 @@ class VersionedTable:
         values in df are rewritten. The keys of df are taken to be unique."""
         base = self.version()
         schema = base.schema if base.folders else df.schema
-        folders = self._write(df.withColumn(PART, part.cast("long")).repartition(PART), True)
+        folders = self._write(df.withColumn(PART, _number(part)).repartition(PART), True)
         if not folders and base.number:  # nothing to change
             return base
         touched = {f["part"] for f in folders}
@@ -155,7 +154,7 @@ class VersionedTable:
         if old:  # what stays of the parts that were touched is written with the new rows, once these are known
             new = self._rows(Version(0, "merge", schema, tuple(folders)))
             stay = self._rows(base, old).join(new.select(*keys), list(keys), "left_anti")
-            whole = new.unionByName(stay.select(*new.columns)).withColumn(PART, part.cast("long"))
+            whole = new.unionByName(stay.select(*new.columns)).withColumn(PART, _number(part))
             first = folders[0]["path"].rpartition("/")[0]
             folders = self._write(whole.repartition(PART), True)
             small_files.remove(self.spark, f"{self.path}/{first}")
@@ -182,6 +181,11 @@ class VersionedTable:
         return gone
 
 
+def _number(part: Column) -> Column:
+    """Rows without a part share one of their own."""
+    return F.coalesce(part.cast("long"), F.lit(-(1 << 62)))
+
+
 def _casts(schema: StructType, held: set[str]) -> str:
     """The columns of a version from files that may lack some of them."""
     return ", ".join(f"CAST({f'`{f.name}`' if f.name in held else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)

@@ -68,7 +68,7 @@ def test_merge_rewrites_only_the_parts_it_touches(spark, table, rows):
     assert rows(table.read(1)) == [(i, "old") for i in range(9)]
     table.vacuum(1)
     assert table.numbers() == [2] and table.read().count() == 10
-    assert table.merge(frame(spark, []), ["k"], part).rows == 10
+    assert table.merge(frame(spark, []), ["k"], part).number == 2 and rows(table.history(), "n_rows") == [(10,)]
 
 
 def test_delete_keeps_folders_without_such_rows(spark, table, rows):
@@ -76,7 +76,7 @@ def test_delete_keeps_folders_without_such_rows(spark, table, rows):
     before = {f["part"]: f["path"] for f in table.version().folders}
     table.delete(F.col("k").isin(1, 3, 5))
     assert [f["path"] for f in table.version().folders] == [before[0]] and rows(table.read(), "k") == [(0,), (2,), (4,)]
-    assert table.delete(F.col("k") > 100).rows == 3
+    assert table.delete(F.col("k") > 100).number == 3 and table.read().count() == 3
 
 
 def test_published_name_changes_over_with_the_columns(spark, table, rows):
