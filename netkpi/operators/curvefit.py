@@ -54,25 +54,39 @@ def _trend_columns(t: np.ndarray, knots: np.ndarray) -> np.ndarray:
 
 def _ridge(x: np.ndarray, y: np.ndarray, scales: np.ndarray, noise: float) -> np.ndarray:
     """Posterior mean for prior standard deviations `scales` (inf: no prior)."""
+    return _ridge_solve(x.T @ x, x.T @ y, scales, noise)
+
+
+def _ridge_solve(gram: np.ndarray, cross: np.ndarray, scales: np.ndarray, noise: float) -> np.ndarray:
     penalty = np.where(np.isinf(scales), 1e-9, noise ** 2 / np.maximum(scales, 1e-9) ** 2)
-    return np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ y)
+    return np.linalg.solve(gram + np.diag(penalty), cross)
+
+
+def knot_count(spec: Spec, steps: int) -> int:
+    return max(0, min(spec.changepoints, int(0.8 * steps) - 1))
 
 
-def fit_one(sec: np.ndarray, y: np.ndarray, spec: Spec) -> dict:
-    """Model of one series; `sec` are seconds since the epoch, ascending."""
+def priors(spec: Spec, n_knots: int, n_season: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prior standard deviations of the trend and season coefficients."""
+    return (np.r_[np.inf, np.inf, np.full(n_knots, spec.changepoint_scale)],
+            np.r_[np.full(n_season - len(spec.holidays), spec.season_scale), np.full(len(spec.holidays), spec.holiday_scale)])
+
+
+def fit_one(sec: np.ndarray, y: np.ndarray, spec: Spec, frame: tuple[float, float, int] | None = None) -> dict:
+    """Model of one series; `sec` are seconds since the epoch, ascending.
+
+    frame: start, span and number of bends of the trend, by default those of the series itself.
+    """
     if len(sec) < 2 or sec.max() == sec.min():
         raise ValueError("needs observations at two different times")
     if not np.all(np.isfinite(y)):
         raise ValueError("holds values that are not finite")
-    start, span = float(sec.min()), float(sec.max() - sec.min())
+    start, span, n_knots = frame or (float(sec.min()), float(sec.max() - sec.min()), knot_count(spec, len(np.unique(sec))))
     level, size = float(np.mean(y)), float(np.std(y)) or 1.0
     t, v = (sec - start) / span, (y - level) / size
-    n_knots = max(0, min(spec.changepoints, int(0.8 * len(np.unique(sec))) - 1))
     knots = np.linspace(0, 0.8, n_knots + 1)[1:]
     trend, season = _trend_columns(t, knots), _seasons(sec, spec)
-    prior_trend = np.r_[np.inf, np.inf, np.full(len(knots), spec.changepoint_scale)]
-    prior_season = np.r_[np.full(season.shape[1] - len(spec.holidays), spec.season_scale),
-                         np.full(len(spec.holidays), spec.holiday_scale)]
+    prior_trend, prior_season = priors(spec, n_knots, season.shape[1])
     both = _ridge(np.hstack([trend, season]), v, np.r_[prior_trend, prior_season], 0.5)
     a, b = both[:trend.shape[1]], both[trend.shape[1]:]
     line = trend @ a

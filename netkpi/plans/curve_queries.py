@@ -1,11 +1,12 @@
 """Curve fits held against what defines them: the optimum of the penalised squares, computed anew from data and result."""
 from pyspark.sql import functions as F
 
-from netkpi.operators import curvefit, series as ts
+from netkpi.operators import curve_moments, curvefit, series as ts
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register
 from netkpi.plans.series_queries import _history
 from netkpi.sources import adapters, tables
+from netkpi.sources.versions import VersionedTable
 
 _MODEL = "start DOUBLE, span DOUBLE, size DOUBLE, knots ARRAY<DOUBLE>, trend ARRAY<DOUBLE>, season ARRAY<DOUBLE>"
 #: Noise deviation that the solver assumes on the standardised series.
@@ -70,3 +71,21 @@ WITH days AS (SELECT o_orderpriority AS entity_id, o_orderdate AS ds FROM orders
 def curve_forecast_daily_checks(spark, sf_dir):
     days = ts.count_series(adapters.load(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "1 day")
     return _checked(days, curvefit.Spec(daily_order=0), 90, 86400)
+
+
+@register("curve_models_merged", "F10", o.with_(o.SERIES) + "SELECT entity_id, count(*) AS n_points, 14 AS n_parts, 1 AS as_refitted FROM history GROUP BY 1")
+def curve_models_merged(spark, sf_dir):
+    """Ten days of sums are stored, four more are added and one is done again; the models are those of a fit of all rows."""
+    spec, history = curvefit.Spec(), tables.materialize(_history(spark, sf_dir), "merged-history")
+    frame = curve_moments.Frame.planned("2024-01-01T00:00:00", "2024-01-14T23:00:00", 3600, spec)
+    day = F.datediff(F.col("ds").cast("date"), F.lit("2024-01-01").cast("date"))
+    table = VersionedTable(spark, tables.fresh_path(spark, "curve-sums"))
+    for days in (day < 10, day >= 10, day == 4):
+        curve_moments.store(table, curve_moments.part_moments(history.filter(days), day, frame, spec))
+    merged = tables.materialize(curve_moments.models(table.read(), frame, spec), "merged-models")
+    whole = curve_moments.part_moments(history, F.lit(0), frame, spec)  # the same sums, taken at once
+    again = curvefit.predict(curve_moments.models(whole, frame, spec), history).select("entity_id", "ds", F.col("yhat").alias("_again"))
+    gap = F.max(F.abs(F.col("yhat") - F.col("_again")))
+    same = curvefit.predict(merged, history).join(again, ["entity_id", "ds"]).groupBy("entity_id").agg((gap < 1e-6).cast("int").alias("as_refitted"))
+    counts = table.read().groupBy("entity_id").agg(F.sum("n").alias("n_points"), F.count(F.lit(1)).cast("int").alias("n_parts"))
+    return counts.join(same, "entity_id").select("entity_id", "n_points", "n_parts", "as_refitted")

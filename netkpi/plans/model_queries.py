@@ -1,7 +1,7 @@
 """Evaluation on a fixed score formula (exact), and trained models with checks of their properties."""
 from pyspark.sql import functions as F, types as T
 
-from netkpi.operators import features, models, ordering, scoring
+from netkpi.operators import explain, features, models, ordering, scoring
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.feature_queries import _SPLIT, split_rows
 from netkpi.plans.registry import register, rounded
@@ -224,3 +224,35 @@ def linear_scores_checks(spark, sf_dir):
     return rows.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"), close("plain").alias("same_by_expression"), close("prediction").alias("same_by_model"),
         F.when(F.col("split") == "train", (F.abs(F.avg("score") - F.avg("label")) < 1e-6).cast("int")).alias("mean_kept"))
+
+
+def _explained(spark, sf_dir):
+    wide, inputs = _inputs(spark, sf_dir)
+    train, validate, _ = _parts(wide)
+    model = models.fit_trees(train, validate, inputs, "quality", models.BASELINE_TREES)
+    return wide, inputs, explain.shapley_values(spark, model, wide, inputs, ["doc_id", "split"])
+
+
+@register("shapley_values", "G9")
+def shapley_values(spark, sf_dir):
+    """One row per document and input: what the input adds to the margin of this prediction."""
+    _, inputs, values = _explained(spark, sf_dir)
+    return explain.long_form(values, inputs)
+
+
+@register("shapley_importance", "G9")
+def shapley_importance(spark, sf_dir):
+    _, inputs, values = _explained(spark, sf_dir)
+    return explain.shapley_importance(values, inputs)
+
+
+@register("shapley_checks", "G9", o.with_(_SPLIT) + """
+SELECT split, count(*) AS n_rows, (SELECT count(DISTINCT lang) + count(DISTINCT source) + 2 FROM rows) AS n_inputs, 1 AS adds_up, 1 AS one_base FROM rows GROUP BY 1""")
+def shapley_checks(spark, sf_dir):
+    """Of every row the values add up to the model's own margin less the base value, which is the same for all."""
+    _, _, values = _explained(spark, sf_dir)
+    total = F.aggregate("shapley", F.lit(0.0), lambda a, x: a + x)
+    return values.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(F.size("shapley")).alias("n_inputs"),
+        F.bool_and(F.abs(F.col("base") + total - F.col("margin")) < 1e-9).cast("int").alias("adds_up"),
+        (F.min("base") == F.max("base")).cast("int").alias("one_base"))

@@ -2,10 +2,11 @@
 from pyspark.sql import functions as F
 
 from netkpi.functions import scalar
-from netkpi.operators import ledger, ordering, profile, scoring
+from netkpi.operators import ledger, ordering, profile, scoring, sketches
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register, rounded
 from netkpi.sources import adapters, tables
+from netkpi.sources.versions import VersionedTable
 
 
 @register("newest_run_of_name", "E1", o.with_(o.RUNS) + """
@@ -181,3 +182,54 @@ def band_checks(spark, sf_dir):
     return rows.select(
         "event_id", scalar.outside_band(actual, lo, hi).cast("double").alias("is_anomaly"),
         F.round(scalar.band_distance(actual, lo, hi), 6).alias("anomaly_size"))
+
+
+_EVENT_COLUMNS = {"event_id": "event_id::DOUBLE", "user_id": "user_id::DOUBLE", "value": "value", "ts": "epoch_us(ts)::DOUBLE", "event_type": "NULL::DOUBLE"}
+
+
+def _sketched(spark, sf_dir):
+    """A month of events by day; two days are done again, and days 3 to 20 are asked for."""
+    events = adapters.load(spark, sf_dir, "events")
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    table = VersionedTable(spark, tables.fresh_path(spark, "event-sketches"))
+    for rows in (events, events.filter(day.isin(5, 6))):
+        sketches.store(table, sketches.part_sketches(rows, day, list(_EVENT_COLUMNS)))
+    return sketches.profile(table.read(), 3, 20), events.filter(day.between(3, 20))
+
+
+@register("profile_from_sketches", "D16", "WITH e AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-04' AND ts < TIMESTAMP '2024-01-22')" + "\nUNION ALL ".join(f"""
+SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS missing, {"NULL::DOUBLE" if c == "ts" else f"round(avg({x}), 3)"} AS mean, min({x}) AS min, max({x}) AS max,
+  1 AS distinct_in_bound, 1 AS ranks_in_bound, CASE WHEN count(DISTINCT {c}) <= 1000 THEN (SELECT max(n) FROM (SELECT count(*) AS n FROM e GROUP BY {c})) END AS top_count
+FROM e""" for c, x in _EVENT_COLUMNS.items()))
+def profile_from_sketches(spark, sf_dir):
+    """What is exact as it is; distinct counts and ranks of the quartiles held against all rows of the range; the greatest count where
+    all values are tracked."""
+    found, rows = _sketched(spark, sf_dir)
+    found = tables.materialize(found, "sketch-profile")
+    number = {c: F.col(c).cast("double") for c in ("event_id", "user_id", "value")}
+    number["ts"] = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).cast("double")
+    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"), number.get(c, F.lit(None).cast("double")).alias("x")) for c in _EVENT_COLUMNS]
+    # the profile has one row per column
+    held = rows.select(F.inline(F.array(*items))).join(F.broadcast(found.select("column", *sketches.QUANTILES)), "column")
+    sides = [F.count_if(F.col("x") < F.col(q)).alias(f"below_{q}") for q in sketches.QUANTILES] + [
+        F.count_if(F.col("x") <= F.col(q)).alias(f"upto_{q}") for q in sketches.QUANTILES]
+    exact = held.groupBy("column").agg(F.count("x").alias("n"), F.count_distinct("v").alias("n_exact"), *sides)
+    ranks = F.lit(True)
+    for name, q in sketches.QUANTILES.items():
+        ranks = ranks & ((F.col("n") == 0) | (F.col(f"below_{name}") <= (q + 0.02) * F.col("n")) & (F.col(f"upto_{name}") >= (q - 0.02) * F.col("n")))
+    off = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    return found.join(F.broadcast(exact), "column").select(
+        "column", "n_rows", "missing", F.when(F.col("kind") != "time", F.round("mean", 3)).alias("mean"), "min", "max",
+        (off <= F.greatest(F.lit(1.0), 0.07 * F.col("n_exact"))).cast("int").alias("distinct_in_bound"), ranks.cast("int").alias("ranks_in_bound"),
+        F.when(F.col("n_exact") <= sketches.TRACKED, F.col("top_count")).alias("top_count"))
+
+
+@register("profile_times", "D16", """
+WITH e AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-04' AND ts < TIMESTAMP '2024-01-22')
+SELECT 'ts' AS "column", count(*) AS n_rows, min(ts) AS first, max(ts) AS last, 1 AS median_between FROM e""")
+def profile_times(spark, sf_dir):
+    """A time column, profiled from sketches and given as times."""
+    found, _ = _sketched(spark, sf_dir)
+    return found.filter("kind = 'time'").select(
+        "column", "n_rows", sketches.as_time(F.col("min")).alias("first"), sketches.as_time(F.col("max")).alias("last"),
+        F.col("median").between(F.col("q25"), F.col("q75")).cast("int").alias("median_between"))
