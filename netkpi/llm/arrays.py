@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
+#: Bytes of a word up to which the polynomial hash is used.
+LONG_WORD = 256
+
+
 class Rolling:
     """Polynomial hashes modulo 2^64 of any run of units, from running sums; equal runs have equal hashes anywhere."""
 
@@ -109,7 +114,11 @@ class Rolling:
         return mixed((rows * self.powers[:rows.shape[1]]).sum(axis=1, dtype=U) + U(rows.shape[1]))
 
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return self.of(self.sums(self.of_byte[data]), start, end)
+        """Hashes of words. Unequal words of 1,024 bytes and more can have equal polynomial hashes, so long ones get another hash."""
+        out = self.of(self.sums(self.of_byte[data]), start, end)
+        for i in np.flatnonzero(end - start > LONG_WORD):
+            out[i] = int.from_bytes(blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+        return out
 
 
 def doc_sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:

@@ -108,6 +108,7 @@ def mixed(docs: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
 
 def copied(docs: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
     """The mix itself: the columns of docs, every row as often as the plan takes it."""
-    out = mixed(docs, plan, seed).filter("mix_copies > 0")
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int")))).drop(
-        "_copy", "mix_source_size", "mix_target", "mix_copies")
+    own = [c if c in ("doc_id", "source") else f"_c{i}" for i, c in enumerate(docs.columns)]  # so that no column can clash
+    out = mixed(docs.toDF(*own), plan, seed).filter("mix_copies > 0")
+    copies = F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int"))).alias("_copy")
+    return out.select(*own, copies).select(*own).toDF(*docs.columns)

@@ -191,9 +191,12 @@ class Additive:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Additive:
-    """The sampled ids (at most `most`) are sent to the documents; their features come to the driver in a fixed order."""
+    """The sampled ids (at most `most`) are sent to the documents; their features come to the driver in a fixed order.
+
+    An id teaches once: of rows that repeat it the one whose features come first, so `most` bounds what the driver gets.
+    """
     chosen = docs.select("doc_id", "text").join(F.broadcast(training_sample(labels, label, most)), "doc_id")
-    held = feature_rows(chosen).toArrow()
+    held = feature_rows(chosen).groupBy("doc_id").agg(F.min("features").alias("features"), F.max("y").alias("y")).toArrow()
     x, y = (np.frombuffer(b"".join(held.column("features").to_pylist()), np.float32).reshape(-1, len(FEATURES)),
             held.column("y").to_numpy().astype(np.float64))
     order = np.lexsort((*x.T, y))  # sums then do not depend on where rows were read

@@ -176,11 +176,14 @@ def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps:
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """All columns of docs and `_spans`, null where nothing is repeated."""
     found = found.toDF("_rid", "_spans")
-    rows = with_maybe(docs.withColumn("_rid", F.xxhash64("doc_id", "text")), found.select("_rid"), "_rid")
+    own = [c if c in ("doc_id", "text") else f"_c{i}" for i, c in enumerate(docs.columns)]  # so that no column can clash
+    rows = with_maybe(docs.toDF(*own).withColumn("_rid", F.xxhash64("doc_id", "text")), found.select("_rid"), "_rid")
     # texts that certainly have none stay where they are
     alone = rows.filter("not _maybe").withColumn("_spans", F.lit(None).cast(found.schema["_spans"].dataType))
     some = rows.filter("_maybe").join(found.hint("merge"), "_rid", "left")
-    return alone.select(*docs.columns, "_spans").unionByName(some.select(*docs.columns, "_spans"))
+    kept = [c for c in docs.columns if c != "_spans"]
+    both = alone.select(*own, "_spans").unionByName(some.select(*own, "_spans"))
+    return both.select(*[F.col(o).alias(c) for o, c in zip(own, docs.columns, strict=True) if c in kept], "_spans")
 
 
 def merged(spans: list) -> list[tuple[int, int]]:

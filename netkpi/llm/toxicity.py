@@ -89,12 +89,15 @@ class Ftrl:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Slots with a weight, these weights, and the bias. The sampled ids (at most `most`) are sent to the documents."""
+    """Slots with a weight, these weights, and the bias. The sampled ids (at most `most`) are sent to the documents.
+
+    An id teaches once: of rows that repeat it the one whose slots come first, so the driver gets at most `most` lists of at most
+    2^SLOT_BITS slots.
+    """
     chosen = docs.select("doc_id", "text").join(F.broadcast(training_sample(labels, label, most)), "doc_id")
-    held = slot_rows(chosen).toArrow()
+    held = slot_rows(chosen).groupBy("doc_id").agg(F.min("slots").alias("slots"), F.max("y").alias("y")).toArrow()
     ids, rows, y = held.column("doc_id").to_pylist(), held.column("slots").to_pylist(), held.column("y").to_pylist()
-    # by id, equal ids by content: the order does not depend on where rows were read
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], rows[i]))
+    order = sorted(range(len(ids)), key=lambda i: ids[i])  # it does not depend on where rows were read
     ftrl, shuffled = Ftrl(), np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in shuffled.permutation(len(order)):
