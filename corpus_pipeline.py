@@ -18,7 +18,8 @@ SHARDS = 16
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model, LEAST_QUALITY).select(*docs.columns)
+    own = ["text" if c == "text" else f"_c{i}" for i, c in enumerate(docs.columns)]  # a column of the score's name stays as it is
+    return quality.scored(docs.toDF(*own), model, LEAST_QUALITY).select(*own).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
