@@ -1,7 +1,7 @@
 """Curve fits held against what defines them: the optimum of the penalised squares, computed anew from data and result."""
 from pyspark.sql import functions as F
 
-from netkpi.operators import curve_moments, curvefit, series as ts
+from netkpi.operators import curve_moments, curve_search, curvefit, series as ts
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register
 from netkpi.plans.series_queries import _history
@@ -89,3 +89,21 @@ def curve_models_merged(spark, sf_dir):
     same = curvefit.predict(merged, history).join(again, ["entity_id", "ds"]).groupBy("entity_id").agg((gap < 1e-6).cast("int").alias("as_refitted"))
     counts = table.read().groupBy("entity_id").agg(F.sum("n").alias("n_points"), F.count(F.lit(1)).cast("int").alias("n_parts"))
     return counts.join(same, "entity_id").select("entity_id", "n_points", "n_parts", "as_refitted")
+
+
+@register("forecast_search_halving", "F8 F14", o.with_(o.SERIES) + """
+SELECT entity_id, 9 AS in_first, 3 AS in_second, 1 AS in_last, count(*) FILTER (WHERE ds > last - INTERVAL 120 HOUR) AS steps_of_last, 1 AS as_full_search
+FROM (SELECT *, max(ds) OVER (PARTITION BY entity_id) AS last FROM history) GROUP BY 1""")
+def forecast_search_halving(spark, sf_dir):
+    """Nine trials on one day, three on three, one on five; the last one's error is that of a search of all trials on all days."""
+    history, trials = tables.materialize(_history(spark, sf_dir), "halving-input"), curvefit.random_trials(9, 11)
+    tried = tables.materialize(curve_search.search_halving(history, trials, 5, 24, limit=120.0), "halving-tried")
+    err, size = F.abs(F.col("y") - F.col("yhat")), F.abs("y") + F.abs("yhat")
+    full = curvefit.search(history, trials, 5, 24).groupBy("entity_id", "trial").agg(
+        F.avg(F.when(size == 0, 0.0).otherwise(2 * err / F.nullif(size, F.lit(0.0)))).alias("full"))
+    best = curve_search.best_halved(tried).select("entity_id", "trial", "smape")
+    same = best.join(full, ["entity_id", "trial"]).select("entity_id", (F.abs(F.col("smape") - F.col("full")) < 1e-9).cast("int").alias("as_full_search"))
+    counts = tried.groupBy("entity_id").agg(
+        *[F.count_if(F.col("rounds") >= k).cast("int").alias(n) for k, n in ((1, "in_first"), (2, "in_second"), (3, "in_last"))],
+        F.max("n_steps").alias("steps_of_last"))
+    return counts.join(same, "entity_id")
