@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -26,22 +27,33 @@ def attach(left: DataFrame, right: DataFrame, key: str, elements: str | None, el
     return left.join(F.broadcast(right) if small else right.hint("merge"), key, how)
 
 
-#: Bits per key of a membership filter, and the most it may have (32 MB, so that it may be broadcast; a fuller filter lets
-#: more rows pass, which costs time, not results). A cell of the built-in bitmap functions has 2^15 bits.
-FILTER_BITS, MOST_FILTER_BITS, CELL = 16, 1 << 28, 1 << 15
+#: Bits per key of a membership filter, and the most bits of one of its blocks (128 MB, so that it may be broadcast; 67
+#: million keys). A cell of the built-in bitmap functions has 2^15 bits.
+FILTER_BITS, MOST_FILTER_BITS, CELL = 16, 1 << 30, 1 << 15
 
 
 def with_maybe(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows with `_maybe`: false means that the row's key (evenly spread longs) is certainly not among the written keys."""
-    bits = min(MOST_FILTER_BITS, max(CELL, CELL * -(-FILTER_BITS * keys.count() // CELL)))
-    bit = F.pmod(F.col(key), F.lit(bits))
+    """Rows with `_maybe`: false means that the row's key (evenly spread longs) is certainly not among the written keys.
+
+    The filter grows with the keys. Beyond one block the rows of each block are read and written in turn, so that one
+    block at a time is broadcast and the share of rows that pass stays the same.
+    """
+    n_cells = max(1, -(-FILTER_BITS * keys.count() // CELL))
+    blocks = -(-n_cells * CELL // MOST_FILTER_BITS)
+    per_block = -(-n_cells // blocks)
+    bit = F.pmod(F.col(key), F.lit(blocks * per_block * CELL))
     cells = materialize(keys.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / CELL).alias("_cell"))
                         .agg(F.bitmap_construct_agg(F.col("bit") % CELL).alias("_marks")), "filter")
     at = (bit % CELL).cast("int")
     byte = F.conv(F.hex(F.substring(F.col("_marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     maybe = F.coalesce(F.call_function("shiftright", byte, at % 8).bitwiseAND(1) == 1, F.lit(False))
-    out = rows.withColumn("_cell", F.floor(bit / CELL)).join(F.broadcast(cells), "_cell", "left")
-    return out.withColumn("_maybe", maybe).select(*rows.columns, "_maybe")
+    placed, out = rows.withColumn("_cell", F.floor(bit / CELL)), []
+    for b in range(blocks):
+        inside = F.col("_cell").between(b * per_block, (b + 1) * per_block - 1)
+        some, side = (placed.filter(inside), cells.filter(inside)) if blocks > 1 else (placed, cells)
+        tested = some.join(F.broadcast(side), "_cell", "left").withColumn("_maybe", maybe).select(*rows.columns, "_maybe")
+        out.append(materialize(tested, "filter-passed") if blocks > 1 else tested)
+    return reduce(DataFrame.unionByName, out)
 
 
 def discard(written: DataFrame) -> None:
