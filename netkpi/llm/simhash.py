@@ -24,6 +24,8 @@ from netkpi.sources.tables import materialize
 
 RADIUS = 2
 TILE = 4096
+#: Ordered pairs of fingerprints that a task compares, about: a whole tile.
+COMPARED = TILE * TILE
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -138,7 +140,10 @@ def links(fps: DataFrame) -> DataFrame:
     spread = F.transform(F.sequence(F.lit(0), tiles - 1), lambda u: F.struct(F.least(own, u).alias("t"), F.greatest(own, u).alias("u")))
     rows = (keyed.join(many, ["pair", "value"]).select("pair", "value", own.alias("own"), F.explode(spread).alias("p"), "fp")
             .select("pair", "value", "p.t", "p.u", "own", "fp"))
-    rows = rows.repartition("pair", "value", "t", "u").sortWithinPartitions("pair", "value", "t", "u", "own")
+    # comparisons grow with the square of a block, which sizes in bytes don't show, so the number of tasks is given
+    work = many.agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 0
+    tasks = min(16 * int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(1, -(-work // COMPARED)))
+    rows = rows.repartition(tasks, "pair", "value", "t", "u").sortWithinPartitions("pair", "value", "t", "u", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # rows of a block whose end is not yet seen
