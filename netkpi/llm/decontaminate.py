@@ -2,9 +2,11 @@
 
 Every slice of documents is a shard. Words become 64-bit hashes, and the shard's suffix array sorts its suffixes by their
 first 13 words. Suffixes whose first words begin no item suffix are left out of the sort: no search can end at them.
-Every item suffix is then binary-searched in the array: its neighbours there give the longest verbatim match, and the
-run of suffixes that begin with all words of a window gives the window's locations. The set of items is sent to every
-task, in blocks of at most ITEM_WORDS words; more blocks mean more passes over the documents, whatever their number.
+Every item suffix is then binary-searched in the array: its neighbours there give the longest verbatim match of up to 13
+words, and the run of suffixes that begin with all words of a window gives the window's locations; locations of an item's
+consecutive windows that follow each other in a document join to longer matches, of any length. The set of items is sent
+to every task in blocks of ITEM_WORDS words (an item is never cut). More blocks mean more passes over the documents; the
+result of a pass is written before the next one, so driver and tasks hold one block, whatever the size of the benchmark.
 
 Defined results: null and empty texts have no words and are not contaminated; an item without words has no window and
 hits nothing; equal items all count; rows that repeat an id are judged one by one; an empty benchmark leaves all
@@ -21,10 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from netkpi.llm.arrays import LETTERS_DIGITS, LOWER, Rolling, text_slices, word_spans
+from netkpi.llm.shared import discard
+from netkpi.sources.tables import materialize
 
 WINDOW = 13
-#: Words of items that are sent to the tasks at once (about 10 MB with their hashes).
+#: Words of items that are sent to the tasks at once (about 60 MB: 13 hashes a word).
 ITEM_WORDS = 500_000
+#: The words of an item that is not yet lower-cased.
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 FOUND = [
     ("bm_words", LongType()), ("bm_hit", LongType()), ("bm_n_items", LongType()), ("bm_items", ArrayType(StringType())),
@@ -33,12 +39,14 @@ FOUND = [
 
 
 def item_blocks(benchmark: DataFrame, most: int = ITEM_WORDS) -> Iterator[tuple[list[str], list[str]]]:
-    """Ids (as text) and texts of the stated query set, in blocks."""
+    """Ids (as text) and texts of the items with words, in blocks; a block ends with the item that fills it."""
+    n_words = F.size(F.regexp_extract_all("text", F.lit(ITEM_WORD), F.lit(0)))
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text", n_words.alias("n")).filter("n > 0")
     ids, texts, n = [], [], 0
-    for r in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).toLocalIterator():
+    for r in rows.toLocalIterator():
         ids.append(r[0])
         texts.append(r[1])
-        n += r[1].count(" ") + 1
+        n += r[2]
         if n >= most:
             yield ids, texts
             ids, texts, n = [], [], 0
@@ -59,7 +67,7 @@ class Items:
     def __init__(self, ids: list[str], texts: list[str], window: int) -> None:
         rolling = Rolling()
         held = pa.array(texts, pa.large_string())
-        rows, need, owner = [], [], []
+        rows, need, owner, place = [], [], [], []
         for i, j, data, offs in text_slices(held):
             words, at = word_hashes(rolling, data, offs)
             for k in range(j - i):
@@ -70,9 +78,10 @@ class Items:
                     # a whole window, a whole short item, or else a suffix that only measures the longest match
                     need.append(window if len(suffix) == window else len(w) if p == 0 else 0)
                     owner.append(i + k)
+                    place.append(p)
         self.ids, self.window = ids, window
         self.rows = np.array(rows, np.uint64).reshape(-1, window)
-        self.need, self.owner = np.array(need, np.int64), np.array(owner, np.int64)
+        self.need, self.owner, self.place = (np.array(x, np.int64) for x in (need, owner, place))
         lengths = (self.rows != 0).sum(axis=1)
         # what a document suffix must begin with to be met: three words, or all of a shorter item
         self.starts = {k: np.unique(Rolling().fixed_rows(self.rows[lengths >= k][:, :k])) if k == 3
@@ -106,6 +115,17 @@ def search(rows: np.ndarray, keys: np.ndarray, upto: np.ndarray, right: bool) ->
     return low
 
 
+def joined_runs(doc: np.ndarray, item: np.ndarray, place: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows found: consecutive windows of an item at consecutive places of a document. Document and windows of each."""
+    shift = start - place
+    order = np.lexsort((place, shift, item, doc))
+    doc, item, place, shift = doc[order], item[order], place[order], shift[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (shift[1:] != shift[:-1]) | (place[1:] != place[:-1] + 1)
+    first = np.flatnonzero(new)
+    return doc[first], np.diff(np.append(first, len(doc)))
+
+
 def matches(items: Items, words: np.ndarray, at: np.ndarray, rolling: Rolling):
     """Per shard: (document, item, first word, words) of all windows found, and the longest match per document."""
     n, docs = len(words), np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -135,16 +155,27 @@ def matches(items: Items, words: np.ndarray, at: np.ndarray, rolling: Rolling):
     which = np.repeat(ask, count)
     inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     start = pos[np.repeat(low, count) + inside]
+    whole = items.need[which] == items.window
+    doc, windows = joined_runs(docs[start[whole]], items.owner[which[whole]], items.place[which[whole]], start[whole])
+    np.maximum.at(longest, doc, windows + items.window - 1)
     return (docs[start], items.owner[which], start - at[docs[start]], items.need[which]), longest
 
 
 def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = 20.0) -> DataFrame:
     """All columns of docs, and: bm_words, bm_hit, bm_n_items, bm_items (sorted as text), bm_longest (words of the longest
-    verbatim match, at most a window), bm_spans (first word and length of each window found, in turn), bm_contaminated."""
-    out, again = docs, False
-    for block in list(item_blocks(benchmark)) or [([], [])]:
-        out, again = _pass(out, Items(*block, window), share, again), True
-    return out
+    verbatim match; one or two words count only if they are a whole item), bm_spans (first word and length of each window
+    found, in turn), bm_contaminated."""
+    blocks = item_blocks(benchmark)
+    out, held, written = docs, next(blocks, ([], [])), None
+    while True:
+        after = next(blocks, None)
+        out = _pass(out, Items(*held, window), share, written is not None)
+        if after is None:
+            return out
+        out, before = materialize(out, "benchmark-pass"), written
+        if before is not None:
+            discard(before)
+        written, held = out, after
 
 
 def _pass(docs: DataFrame, items: Items, share: float, again: bool) -> DataFrame:

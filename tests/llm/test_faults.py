@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from netkpi.llm import decontaminate, mixing, quality, repeats, substring_dedup, suffix_dedup, toxicity
+from netkpi.llm import decontaminate, exact_dedup, mixing, quality, repeats, shared, substring_dedup, suffix_dedup, toxicity
 from netkpi.llm.labels import remainder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -96,3 +96,61 @@ def test_byte_repeats_on_both_sides_of_the_length(spark):
             rows.append((10 * i + k, passage(f"own{i}{k}", 200 + 37 * k) + "XYZ"[k] + passage(i, n) + "UVW"[k] + passage(f"end{i}{k}", 150)))
     out = suffix_dedup.kept(docs(spark, rows), suffix_dedup.found_spans(docs(spark, rows))).collect()
     assert {r["doc_id"]: r["sa_removed"] for r in out} == {10 * i + k: n if n >= 400 else 0 for i, n in enumerate(lengths) for k in range(3)}
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 6])
+def test_the_share_that_passes_does_not_depend_on_the_blocks(spark, blocks):
+    """All rows are alone: of 40,000 some 1 to 2 % pass the filter, in one block as in many, where one block alone lets all pass."""
+    n, cell = 40_000, exact_dedup.CELL
+    rows = exact_dedup.digests(spark.range(n).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")))
+    most = -(-20 // blocks) * cell
+    seen = exact_dedup.possibly_repeated(rows, n, most=most)
+    assert seen.count() == n and seen.select("doc_id").distinct().count() == n
+    assert 0 < seen.filter("repeated").count() < 0.03 * n
+    again = exact_dedup.possibly_repeated(rows.unionAll(rows.filter("doc_id < 500")), n, most=most)
+    assert again.filter("repeated and doc_id < 500").count() == 1000
+
+
+def test_exact_groups_in_blocks(spark, monkeypatch):
+    rows = docs(spark, [(i, f"text {i % 9000}") for i in range(12_000)])
+    want = {(i, i % 9000, 2 if i % 9000 < 3000 else 1) for i in range(12_000)}
+    for most in (exact_dedup.CELL, exact_dedup.MOST_BITS):
+        monkeypatch.setattr(exact_dedup, "MOST_BITS", most)
+        out = exact_dedup.exact_groups(exact_dedup.digests(rows)).collect()
+        assert {(r.doc_id, r.keep_id, r.group_size) for r in out} == want and len(out) == len(want)
+
+
+def test_membership_filter_in_blocks(spark, monkeypatch, tmp_path):
+    rows = spark.range(60_000).select(F.xxhash64("id").alias("k"), "id")
+    rows.filter("id % 6 = 0").select("k").write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")
+    for most in (shared.CELL, 2 * shared.CELL, shared.MOST_FILTER_BITS):
+        monkeypatch.setattr(shared, "MOST_FILTER_BITS", most)
+        out = shared.with_maybe(rows, keys, "k")
+        assert out.columns == ["k", "id", "_maybe"] and out.count() == 60_000
+        assert out.filter("id % 6 = 0 and not _maybe").isEmpty()
+        assert out.filter("id % 6 <> 0 and _maybe").count() < 0.08 * 50_000
+
+
+def test_longest_match_is_joined_over_windows_and_blocks(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    rows = docs(spark, [
+        (1, "x " + " ".join(words[100:150]) + " y"), (2, " ".join([*words[:20], "z", *words[20:47]])), (3, "a w5 w6 w7 b"), (4, None), (8, "w5 w6"),
+        (5, " ".join([*words[:13], *words[:13]])), (6, "one TWO"), (7, " ".join(["r"] * 40))])
+    bench = spark.createDataFrame([("a", " ".join(words)), ("b", "one\ntwo"), ("c", " ".join(words[90:140])), ("d", " ".join(["r"] * 15)), ("e", None)],
+                                  "item_id string, text string").repartition(1)
+    monkeypatch.setattr(Items := decontaminate.Items, "__init__", _counted(Items.__init__, seen := []))
+    for most, passes in ((500_000, 1), (30, 3), (1, 4)):
+        seen.clear()
+        monkeypatch.setattr(decontaminate.item_blocks, "__defaults__", (most,))
+        out = decontaminate.annotated(rows, bench).collect()
+        assert {r.doc_id: r.bm_longest for r in out} == {1: 50, 2: 27, 3: 3, 4: 0, 5: 13, 6: 2, 7: 15, 8: 0}
+        assert {r.doc_id: r.bm_hit for r in out} == {1: 50, 2: 47, 3: 0, 4: 0, 5: 26, 6: 2, 7: 40, 8: 0}
+        assert len(seen) >= passes and max(map(len, seen)) <= 4
+
+
+def _counted(init, seen):
+    def counting(self, ids, texts, window):
+        seen.append(ids)
+        init(self, ids, texts, window)
+    return counting
