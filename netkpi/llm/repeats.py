@@ -87,14 +87,42 @@ def anchors(units: np.ndarray, offs: np.ndarray, rolling: Rolling, length: int,
     return doc, at, low, high, h[at], whole
 
 
-def first_spans(rows: DataFrame, units: Units, length: int, seed: int) -> DataFrame:
+def difference_cover(most: int) -> tuple[int, list[int]]:
+    """A period of at most `most` and places in it between which every distance occurs (Colbourn and Ling's rule)."""
+    r = 0
+    while 24 * (r + 1) ** 2 + 36 * (r + 1) + 13 <= most:
+        r += 1
+    steps = [1] * r + [r + 1] + [2 * r + 1] * r + [4 * r + 3] * (2 * r + 1) + [2 * r + 2] * (r + 1) + [1] * r
+    return (24 * r * r + 36 * r + 13, np.cumsum([0, *steps]).tolist()) if most >= 13 else (1, [0])
+
+
+def covered(units: np.ndarray, offs: np.ndarray, rolling: Rolling, length: int, seed: int):
+    """As `anchors`, at the places of a difference cover instead: two equal windows have a sampled place at the same distance.
+
+    A sampled place stands for all windows that begin less than a period before it, so windows are in many spans.
+    """
+    period, places = difference_cover(length - seed + 1)
+    sampled = np.zeros(period, bool)
+    sampled[places] = True
+    begin, lens = offs[:-1], np.diff(offs)
+    doc = np.repeat(np.arange(len(lens)), lens)
+    at = np.flatnonzero(sampled[(np.arange(len(units)) - begin[doc]) % period])
+    doc = doc[at]
+    low, high = np.maximum(at - period + 1, begin[doc]), np.minimum(at, offs[1:][doc] - length)
+    some = low <= high
+    doc, at, low, high = doc[some], at[some], low[some], high[some]
+    sums = rolling.sums(units)
+    return doc, at, low, high, rolling.of(sums, at, at + seed), _placed(rolling.of(sums, low, high + length), low - at, high - at)
+
+
+def first_spans(rows: DataFrame, units: Units, length: int, seed: int, sample: Callable = anchors) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for b in batches:
             rid = b.column("rid").to_numpy()
             for i, j, data, offs in text_slices(b.column("text")):
                 u, at = units(rolling, data, offs)
-                doc, a, low, high, core, whole = anchors(u, at, rolling, length, seed)
+                doc, a, low, high, core, whole = sample(u, at, rolling, length, seed)
                 base = at[doc]
                 yield _batch(rid[i:j][doc], a - base, low - a, high - a, core, whole, np.zeros(len(doc), bool))
 
@@ -135,13 +163,17 @@ def cut_spans(held: DataFrame, units: Units, length: int, width: int, step: int)
     return held.mapInArrow(run, SPAN)
 
 
-def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps: Sequence[int]) -> DataFrame:
+def repeated_spans(docs: DataFrame, units: Units, length: int, seed: int, steps: Sequence[int], sample: Callable = anchors) -> DataFrame:
     """rid and `spans`, a list of (first, end) in units, of what windows that occur again cover; rows without are left out.
 
-    steps: the grid of windows per round; the last is 1.
+    steps: the grid of windows per round; the last is 1. sample: the places that windows meet on, `anchors` or `covered`.
     """
     rows, width = rows_with_id(docs), length - seed + 1
-    every = materialize(first_spans(rows, units, length, seed), "repeat-anchors")
+    every = first_spans(rows, units, length, seed, sample)
+    if sample is covered:  # many places: only cores move at first, and only spans whose core may occur again are written
+        cores = materialize(every.groupBy("core").count().filter("count > 1").select("core"), "repeat-cores")
+        every = with_maybe(every, cores, "core").filter("_maybe").drop("_maybe")
+    every = materialize(every, "repeat-anchors")
     # most anchors occur once: only those that do not go on, with their other columns. What is joined on a frequent core
     # is written first, so that Spark can split the join
     again = materialize(every.groupBy("core").count().filter("count > 1").select("core"), "repeat-cores")

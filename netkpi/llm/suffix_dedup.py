@@ -31,10 +31,11 @@ def units(rolling: Rolling, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndar
     return rolling.of_byte[data], offs
 
 
-def found_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """rid and the byte spans that are repeated."""
+def found_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, periodic: bool = False) -> DataFrame:
+    """rid and the byte spans that are repeated. periodic: sampled by a difference cover, not by content; equal results."""
     width = length - seed + 1
-    return repeats.repeated_spans(docs, units, length, seed, (max(1, round(width**0.5)), 1))
+    sample = repeats.covered if periodic else repeats.anchors
+    return repeats.repeated_spans(docs, units, length, seed, (max(1, round(width**0.5)), 1), sample)
 
 
 def kept(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -207,6 +207,20 @@ def test_byte_repeats(docs, empty):
     assert suffix_dedup.kept(empty, suffix_dedup.found_spans(empty)).count() == 0
 
 
+def test_difference_cover_has_every_distance():
+    for most in (1, 12, 13, 72, 73, 337, 400):
+        period, places = repeats.difference_cover(most)
+        assert period <= most and {(a - b) % period for a in places for b in places} == set(range(period))
+    assert repeats.difference_cover(337)[0] == 337 and len(repeats.difference_cover(337)[1]) == 22
+
+
+def test_byte_repeats_by_a_difference_cover(docs, empty):
+    same = lambda f: {(r.rid, tuple(repeats.merged(r.spans))) for r in f.collect()}
+    for length, seed in ((400, 64), (60, 20)):
+        assert same(suffix_dedup.found_spans(docs, length, seed, True)) == same(suffix_dedup.found_spans(docs, length, seed)) != set()
+    assert suffix_dedup.found_spans(empty, periodic=True).count() == 0
+
+
 def test_merged_spans():
     spans = [{"first": 0, "end": 5}, {"first": 5, "end": 9}, {"first": 7, "end": 8}, {"first": 20, "end": 22}]
     assert repeats.merged(spans) == [(0, 9), (20, 22)] and repeats.merged(None) == []
