@@ -52,7 +52,7 @@ STAGES = [
     ("sharding", assign_shards),
 ]
 
-#: Fitted models and fingerprints are not SQL; tests check columns and row counts of the stages, not yet each stage's rows.
+#: Fitted models and fingerprints are not SQL; tests/llm/test_pipeline.py holds each stage's rows against a plain version.
 ORACLE_SQL = None
 
 
