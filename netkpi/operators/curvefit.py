@@ -8,7 +8,7 @@ number of events behind it. Time stamps travel as microseconds, groups as Arrow
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, replace
 
 import numpy as np
@@ -21,6 +21,8 @@ from netkpi.operators.forecast import Z80, Z95
 DAY = 86400.0
 _ARROW = {T.StringType(): pa.string(), T.DoubleType(): pa.float64(), T.IntegerType(): pa.int32(),
           T.TimestampNTZType(): pa.timestamp("us")}
+#: (series, model, ascending seconds) -> yhat, yhat_lower and yhat_upper
+Bands = Callable[[str | None, dict, np.ndarray], dict[str, np.ndarray]]
 
 
 @dataclass(frozen=True)
@@ -128,6 +130,11 @@ def predict_one(model: dict, sec: np.ndarray) -> dict[str, np.ndarray]:
     return {"yhat": yhat, "yhat_lower": yhat - half, "yhat_upper": yhat + half}
 
 
+def closed_form(entity: str | None, model: dict, sec: np.ndarray) -> dict[str, np.ndarray]:
+    """The bands of `predict_one`; they need no draws, so the series does not matter."""
+    return predict_one(model, sec)
+
+
 def _table(schema: T.StructType, columns: dict) -> pa.Table:
     """Arrow table of a declared schema; scalars are repeated, missing columns are NULL."""
     n = max((len(v) for v in columns.values() if isinstance(v, (list, np.ndarray, pa.Array))), default=0)
@@ -188,7 +195,7 @@ def failed(models: DataFrame) -> DataFrame:
     return models.filter(F.col("error").isNotNull())
 
 
-def predict(models: DataFrame, grid: DataFrame) -> DataFrame:
+def predict(models: DataFrame, grid: DataFrame, bands: Bands = closed_form) -> DataFrame:
     """Grid rows (entity_id, ds, optionally y) of every series that has a model."""
     def one(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
@@ -196,7 +203,7 @@ def predict(models: DataFrame, grid: DataFrame) -> DataFrame:
         micros, y = _points(right)
         model = json.loads(left.column("model_json")[0].as_py())
         return _table(schemas.FORECAST_ROW, {
-            "entity_id": key[0].as_py(), "ds": micros, "y": y, **predict_one(model, micros / 1e6)})
+            "entity_id": key[0].as_py(), "ds": micros, "y": y, **bands(key[0].as_py(), model, micros / 1e6)})
 
     return (
         models.select("entity_id", "model_json").groupBy("entity_id")
@@ -204,13 +211,13 @@ def predict(models: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
-def forecast_or_error(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3600) -> DataFrame:
+def forecast_or_error(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3600, bands: Bands = closed_form) -> DataFrame:
     """Fit and predict in one pass over the series: history plus `horizon` steps.
 
     A series whose fit fails yields one row: its error, no time.
     """
     def one(key: tuple, table: pa.Table) -> pa.Table:
-        return _extended(key[0].as_py(), table, spec, horizon, step_seconds)
+        return _extended(key[0].as_py(), table, spec, horizon, step_seconds, bands)
 
     return _observed(history).groupBy("entity_id").applyInArrow(one, schemas.AUTO_FORECAST_ROW)
 
@@ -220,7 +227,7 @@ def forecast(history: DataFrame, spec: Spec, horizon: int, step_seconds: int = 3
     return forecast_or_error(history, spec, horizon, step_seconds).filter(F.col("error").isNull()).drop("error")
 
 
-def _extended(entity: str, table: pa.Table, spec: Spec, horizon: int, step_seconds: int) -> pa.Table:
+def _extended(entity: str, table: pa.Table, spec: Spec, horizon: int, step_seconds: int, bands: Bands = closed_form) -> pa.Table:
     micros, y = _points(table)
     try:
         model = fit_one(micros / 1e6, y, spec)
@@ -229,7 +236,7 @@ def _extended(entity: str, table: pa.Table, spec: Spec, horizon: int, step_secon
     ahead = micros[-1] + np.arange(1, horizon + 1) * step_seconds * 1_000_000
     ds = np.r_[micros, ahead]
     return _table(schemas.AUTO_FORECAST_ROW, {
-        "entity_id": entity, "ds": ds, "y": np.r_[y, np.full(horizon, np.nan)], **predict_one(model, ds / 1e6)})
+        "entity_id": entity, "ds": ds, "y": np.r_[y, np.full(horizon, np.nan)], **bands(entity, model, ds / 1e6)})
 
 
 def forecast_with(best: DataFrame, history: DataFrame, horizon: int, step_seconds: int = 3600) -> DataFrame:

@@ -1,7 +1,7 @@
 """Curve fits held against what defines them: the optimum of the penalised squares, computed anew from data and result."""
 from pyspark.sql import functions as F
 
-from netkpi.operators import curve_moments, curve_search, curvefit, series as ts
+from netkpi.operators import curve_moments, curve_paths, curve_search, curvefit, series as ts
 from netkpi.plans import oracle_parts as o
 from netkpi.plans.registry import register
 from netkpi.plans.series_queries import _history
@@ -107,3 +107,69 @@ def forecast_search_halving(spark, sf_dir):
         *[F.count_if(F.col("rounds") >= k).cast("int").alias(n) for k, n in ((1, "in_first"), (2, "in_second"), (3, "in_last"))],
         F.max("n_steps").alias("steps_of_last"))
     return counts.join(same, "entity_id")
+
+
+@register("curve_forecast_paths", "F3 F4")
+def curve_forecast_paths(spark, sf_dir):
+    """Forecast of every series with 80 % bands from a thousand simulated trends."""
+    return curve_paths.forecast_paths(_history(spark, sf_dir), curvefit.Spec(), 168)
+
+
+def _planted(models, drawn):
+    """`drawn` futures of each series, told by hashes: moments of change by exponential gaps, sizes by the inverse of the
+    Laplace distribution, noise by Box and Muller. One row per series, future and step, with the departure from the trend."""
+    m = F.from_json("model_json", _MODEL + ", slope_spread DOUBLE, sigma DOUBLE")
+    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    futures = models.select("entity_id", m.alias("m"), F.explode(F.sequence(F.lit(1), F.lit(drawn))).alias("future")).select(
+        "entity_id", "future", *[F.col(f"m.{c}") for c in ("span", "size", "slope_spread", "sigma")], F.size("m.knots").alias("bends")).repartition(tasks, "future")
+
+    def uniform(what, i):
+        """Above 0 and below 1."""
+        return (F.shiftrightunsigned(F.xxhash64("entity_id", "future", F.lit(what), i), 12) + 0.5) / F.lit(float(1 << 52))
+
+    rate = F.col("bends") / 0.8
+    mean = rate * 168 * 3600 / F.col("span")
+    numbers = F.sequence(F.lit(1), F.ceil(mean + 10 * F.sqrt(mean) + 10).cast("int"))
+    u = lambda i: uniform("size", i) - 0.5
+    changes = F.transform(numbers, lambda i: F.struct(
+        (-F.log(uniform("gap", i)) / rate).alias("gap"),
+        (-F.signum(u(i)) * F.log(1 - 2 * F.abs(u(i))) * F.col("slope_spread") * F.col("size")).alias("step")))
+
+    def moved(t):
+        start = F.struct(F.lit(0.0).alias("at"), F.lit(0.0).alias("sum"))
+        return F.aggregate("changes", start, lambda s, c: F.struct(
+            (s["at"] + c["gap"]).alias("at"), (s["sum"] + c["step"] * F.greatest(t - s["at"] - c["gap"], F.lit(0.0))).alias("sum")))["sum"]
+    steps = futures.withColumn("changes", changes).select("*", F.explode(F.array(F.lit(24), F.lit(84), F.lit(168))).alias("step"))
+    noise = F.sqrt(-2 * F.log(uniform("radius", F.col("step")))) * F.cos(2 * 3.141592653589793 * uniform("angle", F.col("step")))
+    return steps.select("entity_id", "step", (moved(F.col("step") * 3600 / F.col("span")) + F.col("sigma") * noise).alias("departure"))
+
+
+@register("curve_paths_checks", "F3 F4", o.with_(o.SERIES) + """
+SELECT entity_id, count(*) + 168 AS n_rows, 168 AS n_ahead, 1 AS bands_ordered, 1 AS as_stored_models, 1 AS covers_80, 1 AS covers_95
+FROM history GROUP BY 1""")
+def curve_paths_checks(spark, sf_dir):
+    """Bands hold their share, within two points, of futures that Spark draws from the models by other means; reruns agree."""
+    spec, history = curvefit.Spec(), tables.materialize(_history(spark, sf_dir), "paths-history")
+    models = tables.materialize(curvefit.fitted(curvefit.fit(history, spec)), "paths-models")
+    rows = tables.materialize(curve_paths.forecast_paths(history, spec, 168), "paths-forecast")
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    counts = rows.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y").isNull()).alias("n_ahead"),
+                                           F.bool_and(ordered).cast("int").alias("bands_ordered"))
+    # the same draws for the same grid, whatever the partitions and whether the model was stored
+    again = curve_paths.predict_paths(models, rows.select("entity_id", "ds", "y").repartition(3)).select(
+        "entity_id", "ds", F.col("yhat_lower").alias("_low"), F.col("yhat_upper").alias("_high"))
+    apart = F.abs(F.col("yhat_lower") - F.col("_low")) + F.abs(F.col("yhat_upper") - F.col("_high"))
+    out = counts.join(rows.join(again, ["entity_id", "ds"], "left").groupBy("entity_id").agg(
+        F.coalesce(F.bool_and(F.coalesce(apart, F.lit(1.0)) < 1e-6), F.lit(False)).cast("int").alias("as_stored_models")), "entity_id")
+    futures = tables.materialize(_planted(models, 10_000), "paths-planted")
+    step = F.timestamp_diff("HOUR", F.col("fit_end"), F.col("ds")).cast("int")
+    grid = rows.filter("y is null").select("entity_id", "ds")
+    for share in (80, 95):
+        bands = curve_paths.predict_paths(models, grid, curve_paths.Paths(20_000, share / 100)).join(models.select("entity_id", "fit_end"), "entity_id").select(
+            "entity_id", step.alias("step"), "yhat", "yhat_lower", "yhat_upper")
+        value = F.col("yhat") + F.col("departure")
+        held = futures.join(F.broadcast(bands.filter(F.col("step").isin(24, 84, 168))), ["entity_id", "step"]).groupBy("entity_id", "step").agg(
+            F.avg(value.between(F.col("yhat_lower"), F.col("yhat_upper")).cast("double")).alias("share"))
+        worst = F.max(F.abs(F.col("share") - share / 100))
+        out = out.join(held.groupBy("entity_id").agg(((worst <= 0.02) & (F.count(F.lit(1)) == 3)).cast("int").alias(f"covers_{share}")), "entity_id")
+    return out
