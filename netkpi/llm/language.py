@@ -22,19 +22,22 @@ slots; an empty table gives an empty table. `identified` keeps all columns but t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
 from netkpi.llm.arrays import text_slices
 from netkpi.llm.shared import spread
 from netkpi.sources.tables import materialize
 
 ORDER = 4
-#: Counts that the driver and a worker hold at once; more of them take more passes over the texts.
+#: Counts that the driver and a worker hold at once; more of them are read in blocks.
 BLOCK_GRAMS = 2_000_000
+#: Bytes of text that a task scores at once when there is more than one block.
+SLICE_BYTES = 16 << 20
 #: About so many training documents fit the sharpness, in equal shares per language, but at least LEAST_ROWS of each.
 CALIBRATION_ROWS, LEAST_ROWS = 2_000, 20
 BOUND_ACCURACY = 10_000
@@ -155,13 +158,18 @@ def middle(code: np.ndarray) -> np.ndarray:
     return (((code >> U(16)) & U(0xFFFF)) << U(16)) | ((code >> U(32)) & U(0xFFFF))
 
 
+def middle_column() -> Column:
+    """`middle` of the column `gram`."""
+    letter = lambda shift: F.shiftrightunsigned("gram", shift).bitwiseAND(0xFFFF)
+    return F.shiftleft(letter(16), 16) + letter(32)
+
+
 class Languages:
     """Names, discounts and first order of all languages, and blocks of parts (language, from, below) of the written counts."""
 
     def __init__(self, counts: DataFrame, most: int = BLOCK_GRAMS) -> None:
         """counts: written, with lang, gram and n."""
-        letter = lambda c, shift: F.shiftrightunsigned(c, shift).bitwiseAND(0xFFFF)
-        self.counts = counts.withColumn("mid", F.shiftleft(letter("gram", 16), 16) + letter("gram", 32))
+        self.counts = counts.withColumn("mid", middle_column())
         below = lambda t, mask: t.groupBy("lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         third = below(counts, (1 << 48) - 1)
         self.second = materialize(below(third, (1 << 32) - 1), "language-pairs")
@@ -268,24 +276,85 @@ def block_sums(docs: DataFrame, parts: list[tuple[int, int, int, KneserNey]], k:
     return docs.mapInArrow(run, schema)
 
 
+def asked_grams(texts: DataFrame) -> DataFrame:
+    """slice and gram: the different 4-grams of each slice of texts (slice, text)."""
+    letters = letter_table()
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        found = [np.zeros(0, U)]
+        for b in rows.to_batches():
+            for _, _, data, offs in text_slices(b.column("text"), 1 << 20):
+                found.append(np.unique(grams(letters, data, offs)[0]))
+        code = np.unique(np.concatenate(found)).view(np.int64)
+        return pa.table({"slice": pa.array(np.full(len(code), key[0].as_py(), np.int64)), "gram": pa.array(code)})
+
+    return texts.filter("text is not null").select("slice", "text").groupBy("slice").applyInArrow(run, "slice long, gram long")
+
+
+def block_costs(asked: DataFrame, parts: list[tuple[int, int, int, KneserNey]]) -> DataFrame:
+    """gram, language number and cost for the 4-grams (gram, mid) that belong to the parts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            code = b.column("gram").to_numpy().view(U)
+            mid = middle(code)
+            for x, lo, hi, model in parts:
+                own = code[(mid >= U(lo)) & (mid < U(hi))]
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), x, np.int32)), pa.array(model.cost(own))],
+                                                 ["gram", "lang", "cost"])
+
+    inside = F.lit(False)
+    for _, lo, hi, _ in parts:
+        inside |= (F.col("mid") >= lo) & (F.col("mid") < hi)
+    return asked.filter(inside).select("gram").mapInArrow(run, "gram long, lang int, cost double")
+
+
+def gram_costs(asked: DataFrame, model: Languages) -> DataFrame:
+    """gram and costs (one per language) of the different 4-grams in `asked`, with one block in memory at a time.
+
+    The 4-grams are written in the order of their middles, so that the pass of a block reads its own share of them.
+    """
+    distinct = asked.select("gram").distinct().withColumn("mid", middle_column())
+    distinct = materialize(distinct.repartitionByRange("mid").sortWithinPartitions("mid"), "language-asked")
+    passes = [materialize(block_costs(distinct, model.parts(block)), "language-gram-costs") for block in model.blocks]
+    listed = F.array_sort(F.collect_list(F.struct("lang", "cost")))
+    return reduce(DataFrame.unionAll, passes).groupBy("gram").agg(F.transform(listed, lambda c: c["cost"]).alias("costs"))
+
+
 def cross_entropies(docs: DataFrame, model: Languages) -> DataFrame:
-    """All columns of docs but the text, and `costs`: cross-entropy per character and language; null without a letter."""
+    """All columns of docs but the text, and `costs`: cross-entropy per character and language; null without a letter.
+
+    Beyond one block the texts are read twice, however many blocks there are: they are dealt into slices of about
+    SLICE_BYTES, the slices ask for their different 4-grams, each different one is priced once, and the slices get the
+    prices back.
+    """
     k = len(model.names)
     if len(model.blocks) < 2:
         return block_sums(docs, model.parts(model.blocks[0]) if model.blocks else [], k)
-    # costs depend on nothing but the text: equal texts share a key
-    key = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_text_key")
-    texts, passes = docs.filter("text is not null").select(key, "text"), None
-    for i, block in enumerate(model.blocks):
-        some = block_sums(texts, model.parts(block), k).filter("costs is not null").withColumn("block", F.lit(i))
-        some = materialize(some, "language-sums")
-        passes = some if passes is None else passes.unionAll(some)
-    one = passes.groupBy("_text_key", "block").agg(F.first("costs").alias("costs"))
-    listed = F.array_sort(F.collect_list(F.struct("block", "costs")))
-    added = F.aggregate(listed, F.array_repeat(F.lit(0.0), k), lambda s, v: F.zip_with(s, v["costs"], lambda a, b: a + b))
-    sums = one.groupBy("_text_key").agg(added.alias("costs"))
-    kept = [c for c in docs.columns if c not in ("text", "costs")]
-    return docs.select(*kept, key).join(sums, "_text_key", "left").select(*kept, "costs")
+    kept, letters = [c for c in docs.columns if c not in ("text", "costs")], letter_table()
+    slices = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SLICE_BYTES
+    # rows are dealt by number, so that copies of a text do not meet in one slice, and written, so that a lost task deals alike
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slices))
+    held = F.struct(F.lit(0).alias("none"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(kept)])
+    texts = materialize(docs.select(number.alias("slice"), held.alias("kept"), "text"), "language-slices")
+    asked = materialize(asked_grams(texts), "language-slice-grams")
+    priced = asked.join(gram_costs(asked, model), "gram")
+    schema = StructType([texts.schema["kept"], StructField("costs", ArrayType(DoubleType()))])
+
+    def run(key: tuple, rows: pa.Table, prices: pa.Table) -> pa.Table:
+        known = prices.column("gram").to_numpy().view(U)
+        order = np.argsort(known)
+        costs = np.concatenate([np.zeros(0), *(c.flatten().to_numpy() for c in prices.column("costs").chunks)]).reshape(-1, k)[order]
+        known, out = known[order], []
+        for b in rows.to_batches():
+            for i, j, data, offs in text_slices(b.column("text"), 1 << 20):
+                code, doc, has = grams(letters, data, offs)
+                at, n = np.searchsorted(known, code), np.maximum(1, np.bincount(doc, minlength=j - i))
+                mean = np.column_stack([np.bincount(doc, costs[at, x], j - i) / n for x in range(k)])
+                out += [m.tolist() if ok else None for m, ok in zip(mean, has, strict=True)]
+        return pa.table({"kept": rows.column("kept"), "costs": pa.array(out, pa.list_(pa.float64()))})
+
+    out = texts.groupBy("slice").cogroup(priced.groupBy("slice")).applyInArrow(run, schema)
+    return out.select(*[F.col(f"kept.c{i}").alias(c) for i, c in enumerate(kept)], "costs")
 
 
 def probabilities(costs: np.ndarray, sharpness: float) -> np.ndarray:

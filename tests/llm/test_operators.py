@@ -245,9 +245,11 @@ def test_language_takes_any_rows(docs, empty):
     assert language.identified(empty, model).count() == 0
 
 
-def test_language_counts_are_whole_in_blocks(docs):
+def test_language_counts_are_whole_in_blocks(docs, empty, monkeypatch):
     import numpy as np
 
+    monkeypatch.setattr(language, "SLICE_BYTES", 5000)
+
     whole, split = language.fit(docs), language.fit(docs, most=30)
     assert len(whole.blocks) == 1 and len(split.blocks) > 2
     # every count is in one part, those seen once and those of small languages as well
@@ -266,6 +268,11 @@ def test_language_counts_are_whole_in_blocks(docs):
     a, b = (sorted((str(r.doc_id), str(r.lang), r.n_chars, r.costs) for r in language.cross_entropies(docs, m).collect()) for m in (whole, split))
     assert len(a) == len(ROWS) and all(x[:3] == y[:3] for x, y in zip(a, b, strict=True))
     assert all((x[3] is None) == (y[3] is None) and (x[3] is None or np.allclose(x[3], y[3])) for x, y in zip(a, b, strict=True))
+    # columns with names of the slices, a text alone, no rows
+    out = language.identified(clashing(docs).withColumns({n: F.lit(n) for n in ("slice", "kept", "none", "c0", "gram", "mid", "cost")}), split)
+    assert out.count() == len(ROWS) and {r.slice + r.kept + r.c0 for r in out.collect()} == {"slicekeptc0"}
+    assert language.cross_entropies(docs.select("text"), split).count() == len(ROWS)
+    assert language.identified(empty, split).count() == 0
 
 
 def test_language_bounds_hold_for_all_training_rows(spark):
