@@ -16,13 +16,18 @@ def latest_training(forecasts: DataFrame, stamp: str = "trained_at", day: str |
     return forecasts.filter(F.col(stamp) == forecasts.agg(F.max(stamp)).scalar())
 
 
-def flag_anomalies(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """Join on (entity, ds), so one run covers any number of time slots."""
+def flag_anomalies(actuals: DataFrame, forecasts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Join on (entity, ds), so one run covers any number of time slots.
+
+    tasks: number of tasks that share the join, for many entities; without, Spark's own.
+    """
     a, lo, hi = F.col("actual"), F.col("yhat_lower"), F.col("yhat_upper")
     fc = forecasts.select("entity_id", "ds", "yhat", "yhat_lower", "yhat_upper", "trained_at")
+    seen = actuals.select("entity_id", "ds", F.col("y").alias("actual"))
+    if tasks:
+        seen, fc = (rows.repartition(tasks, "entity_id", "ds") for rows in (seen, fc))
     return (
-        actuals.select("entity_id", "ds", F.col("y").alias("actual"))
-        .join(fc, ["entity_id", "ds"])
+        seen.join(fc, ["entity_id", "ds"])
         .withColumn("is_anomaly", outside_band(a, lo, hi))
         .withColumn("anomaly_size", band_distance(a, lo, hi))
     )

@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netkpi.functions.scalar import elapsed_seconds
 from netkpi.operators.series import steps_after
+from netkpi.sources.tables import materialize, tasks_for
 
 Z95 = 1.959963984540054
 Z80 = 1.2815515655446004
+# history rows of a task of a forecast
+ROWS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -94,9 +97,11 @@ def predict_ahead(models: DataFrame, horizon: int, grain: Grain, origin: str, z:
 def forecast(history: DataFrame, horizon: int, grain: Grain, origin: str, z: float = Z95) -> DataFrame:
     """History and the next `horizon` steps: entity_id, ds, y, yhat, yhat_lower, yhat_upper.
 
-    History is laid out by entity once; fit, look-up of the fit and the future rows use that layout.
+    History is written once and laid out by entity, over as many tasks as its rows need: a few bytes of it become many
+    rows, so tasks must not be merged by size. Fit, look-up of the fit and the future rows use that layout.
     """
-    placed = history.select("entity_id", "ds", "y").repartition("entity_id")
+    stored = materialize(history.select("entity_id", "ds", "y"), "forecast-input")
+    placed = stored.repartition(tasks_for(stored, ROWS_PER_TASK), "entity_id")
     models = fit(placed, grain, origin)
     seen = predict(models, placed, grain, origin, z)
     ahead = predict_ahead(models, horizon, grain, origin, z).withColumn("y", F.lit(None).cast("double"))

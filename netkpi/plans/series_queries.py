@@ -1,5 +1,5 @@
 """Series, forecasts, their accuracy, and anomalies."""
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from netkpi.functions import scalar
 from netkpi.operators import anomaly, curvefit, enrich, forecast as fc, kpi, ledger, series as ts
@@ -9,6 +9,7 @@ from netkpi.sources import adapters, files, tables
 
 START, END = "2024-01-01", "2024-01-15"
 FORECAST_END = "2024-01-22"  # 168 hours after END
+TRAINED_ON = ("2024-01-08", END)
 ORDER_START = "1995-01-01"
 # folds of the searches: a week ahead, five times, over the whole range of the events
 RANGE_END, HORIZON, FOLDS, SPACING = "2024-01-31", 168, 5, 84
@@ -232,15 +233,15 @@ def model_table(spark, sf_dir):
 
 def _trainings(spark, sf_dir, key="event_type"):
     """Forecasts of two trainings, each stamped with its time and day."""
-    for end in ("2024-01-08", END):
+    for end in TRAINED_ON:
         yield fc.forecast(_history(spark, sf_dir, end, key=key), 168, fc.HOURLY, START).withColumns({
             "trained_at": F.lit(end).cast("timestamp_ntz"), "trained_on": F.lit(end).cast("date")})
 
 
 def _latest(spark, sf_dir, key="event_type"):
     """Newest training out of the stored forecast history, which is partitioned by training day."""
-    first, second = _trainings(spark, sf_dir, key)
-    stored = tables.materialize(first.unionByName(second), "forecast-history", ["trained_on"])
+    by_day = zip(TRAINED_ON, (rows.drop("trained_on") for rows in _trainings(spark, sf_dir, key)), strict=True)
+    stored = tables.materialize_parts(by_day, "forecast-history", "trained_on", T.DateType())
     return anomaly.latest_training(stored, day="trained_on").drop("trained_on")
 
 
@@ -300,8 +301,10 @@ SELECT s.entity_id, s.ds, s.y AS actual, yhat, yhat_lower, yhat_upper, trained_a
 FROM series s JOIN stored f ON s.entity_id = f.entity_id AND s.ds = f.ds""")
 def anomalies_by_entity(spark, sf_dir):
     """Every entity's hours against its newest forecast. Sparse series fit without error, so bands are rounded before the test."""
-    stored = rounded(_latest(spark, sf_dir, "user_id"), *_BAND_COLS)
-    return rounded(anomaly.flag_anomalies(_history(spark, sf_dir, FORECAST_END, key="user_id"), stored), "anomaly_size")
+    latest = _latest(spark, sf_dir, "user_id")
+    flagged = anomaly.flag_anomalies(
+        _history(spark, sf_dir, FORECAST_END, key="user_id"), rounded(latest, *_BAND_COLS), tables.tasks_for(latest, 500_000))
+    return rounded(flagged, "anomaly_size")
 
 
 @register("actuals_with_forecast", "C3", o.with_(*_TWO) + """

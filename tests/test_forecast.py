@@ -239,3 +239,33 @@ def test_folds_may_lie_closer_than_the_horizon(spark):
     assert ends[3][1] == dt(2024, 1, 14, 23) and ends[2][1] == dt(2024, 1, 14, 11)
     rows = curvefit.search(hist, [curvefit.Spec()] * 2, 3, 48, 12)
     assert rows.groupBy("trial").count().filter("count = 144").count() == 2
+
+
+def test_stored_trainings_need_no_sort_and_as_many_tasks_as_rows(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from netkpi.plans import series_queries
+
+    first = F.lit("2024-01-01").cast("timestamp_ntz")
+    hist = spark.range(3000).select(
+        F.col("id").alias("entity_id"), (first + F.make_dt_interval(hours=F.col("id") % 40)).alias("ds"), F.lit(1.0).alias("y"))
+    by, sorted_by = DataFrameWriter.partitionBy, []
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda w, *c: sorted_by.extend(c) or by(w, *c))
+    monkeypatch.setattr(series_queries, "_history", lambda *_, **__: hist)
+    monkeypatch.setattr(fc, "ROWS_PER_TASK", 300, raising=False)
+    got = series_queries._latest(spark, "", "user_id")
+    assert "trained_on" not in sorted_by  # the sort by folder held all rows of a task
+    assert got.count() == 3000 * 169 and got.columns == ["entity_id", "ds", "y", "yhat", "yhat_lower", "yhat_upper", "trained_at"]
+    assert [tuple(r) for r in got.select("trained_at").distinct().collect()] == [(dt(2024, 1, 15),)]
+    # files of the newest training: those of histories and of future rows come from ten tasks
+    assert got.filter("y IS NULL").select(F.input_file_name().alias("f")).distinct().count() == 10
+
+
+def test_anomalies_are_the_same_in_any_number_of_tasks(spark, rows):
+    f = spark.createDataFrame(
+        [("a", T0, 9.0, 8.0, 10.0, T0), ("b", T0, 9.0, 8.0, 10.0, T0)],
+        "entity_id string, ds timestamp_ntz, yhat double, yhat_lower double, yhat_upper double, trained_at timestamp_ntz")
+    actual = spark.createDataFrame([("a", T0, 1.0), ("b", T0, 12.0), ("b", T0, 9.0), ("c", T0, 1.0), (None, T0, 1.0)], SHAPE)
+    out = anomaly.flag_anomalies(actual, f, tasks=7)
+    assert rows(out) == rows(anomaly.flag_anomalies(actual, f)) and len(rows(out)) == 3
+    assert "hashpartitioning(entity_id" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 7)" in plan
