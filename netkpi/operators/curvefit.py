@@ -8,8 +8,9 @@ number of events behind it. Time stamps travel as microseconds, groups as Arrow
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -244,18 +245,23 @@ def forecast_with(best: DataFrame, history: DataFrame, horizon: int, step_second
 
     A series without settings or without a fit yields one row: its error, no time.
     """
-    def one(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        told = table.column("_told").to_numpy(zero_copy_only=False)
+        settings, right = table.filter(pa.array(told)), table.filter(pa.array(~told))
         if not len(right):
             return _table(schemas.AUTO_FORECAST_ROW, {})
-        if not len(left) or left.column("params")[0].as_py() is None:
+        if not len(settings) or settings.column("params")[0].as_py() is None:
             return _table(schemas.AUTO_FORECAST_ROW, {"entity_id": [key[0].as_py()], "error": "no settings"})
-        spec = spec_from(json.loads(left.column("params")[0].as_py()))
+        spec = spec_from(json.loads(settings.column("params")[0].as_py()))
         return _extended(key[0].as_py(), right, spec, horizon, step_seconds)
 
-    return (
-        best.select("entity_id", "params").groupBy("entity_id")
-        .cogroup(_observed(history).groupBy("entity_id")).applyInArrow(one, schemas.AUTO_FORECAST_ROW)
-    )
+    # settings travel as one more row of their series: a group of one frame costs far less than one of two
+    settings = best.select(F.col("entity_id").cast("string").alias("entity_id"), "params", F.lit(True).alias("_told"))
+    observed = history.filter(F.col("y").isNotNull()).select(
+        F.col("entity_id").cast("string").alias("entity_id"), "ds", F.col("y").cast("double").alias("y"), F.lit(False).alias("_told"))
+    tasks = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = observed.unionByName(settings, allowMissingColumns=True)
+    return both.repartition(tasks, "entity_id").groupBy("entity_id").applyInArrow(one, schemas.AUTO_FORECAST_ROW)
 
 
 def changepoints(models: DataFrame) -> DataFrame:
@@ -293,52 +299,144 @@ def random_trials(n: int, seed: int, holidays: Sequence[str] = ()) -> list[Spec]
     ]
 
 
+@lru_cache(maxsize=256)
+def _scales(trials: tuple[Spec, ...], n_knots: int, n_season: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prior standard deviations of all trials, one row each: of trend and season together, and of the season."""
+    each = [priors(t, n_knots, n_season) for t in trials]
+    return np.array([np.r_[a, b] for a, b in each]), np.array([b for _, b in each])
+
+
+def _solve_each(gram: np.ndarray, cross: np.ndarray, scales: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """`_ridge_solve` for rows of scales; gram and cross are shared or one each."""
+    penalty = np.where(np.isinf(scales), 1e-9, noise[:, None] ** 2 / np.maximum(scales, 1e-9) ** 2)
+    grams = np.array(np.broadcast_to(gram, (len(scales), *gram.shape[-2:])))
+    at = np.arange(scales.shape[1])
+    grams[:, at, at] += penalty
+    return np.linalg.solve(grams, np.broadcast_to(cross, scales.shape)[..., None])[..., 0]
+
+
+def predict_trials(sec: np.ndarray, y: np.ndarray, season: np.ndarray, ahead: np.ndarray, season_ahead: np.ndarray,
+                   trials: tuple[Spec, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """`fit_one` and `predict_one` for trials that differ in scales, form of the season and z only.
+
+    Columns and their products, which are the greater part of the work, are made once. season, season_ahead: `_seasons`
+    at the observed times and at those ahead. Returns yhat and half the band, one row per trial.
+    """
+    if len(sec) < 2 or sec.max() == sec.min():
+        raise ValueError("needs observations at two different times")
+    if not np.all(np.isfinite(y)):
+        raise ValueError("holds values that are not finite")
+    start, span = float(sec.min()), float(sec.max() - sec.min())
+    n_knots = knot_count(trials[0], len(np.unique(sec)))
+    level, size = float(np.mean(y)), float(np.std(y)) or 1.0
+    v, knots = (y - level) / size, np.linspace(0, 0.8, n_knots + 1)[1:]
+    t = (ahead - start) / span
+    trend, trend_ahead = _trend_columns((sec - start) / span, knots), _trend_columns(t, knots)
+    both_scales, season_scales = _scales(trials, n_knots, season.shape[1])
+    x = np.hstack([trend, season])
+    both = _solve_each(x.T @ x, x.T @ v, both_scales, np.full(len(trials), 0.5))
+    a, b = both[:, :trend.shape[1]], both[:, trend.shape[1]:]
+    base, base_ahead = (a @ c.T * size + level for c in (trend, trend_ahead))
+    fitted, yhat = base + b @ season.T * size, base_ahead + b @ season_ahead.T * size
+    many = np.flatnonzero(np.array([s.multiplicative for s in trials]) & np.all(base > 0, axis=1))
+    if len(many):
+        cross = (y / base[many] - 1) @ season
+        share = _solve_each(season.T @ season, cross, season_scales[many], np.full(len(many), 0.5 * size / max(abs(level), 1e-9)))
+        fitted[many] = base[many] * (1 + share @ season.T)
+        yhat[many] = base_ahead[many] * (1 + share @ season_ahead.T)
+    sigma2 = np.mean((y - fitted) ** 2, axis=1)
+    spread = np.mean(np.abs(a[:, 2:]), axis=1) if n_knots else np.zeros(len(trials))
+    drift = (n_knots / 0.8 * 2 * (spread * size) ** 2)[:, None] * np.maximum(t - 1.0, 0.0) ** 3 / 3
+    return yhat, np.array([s.z for s in trials])[:, None] * np.sqrt(sigma2[:, None] + drift)
+
+
+def _tried(numbers: list[int], trials: Sequence[Spec], *series: np.ndarray) -> Iterator[tuple]:
+    """Trial numbers, their yhat and half bands or None, and the error; a trial that cannot be solved does not take the others with it."""
+    try:
+        yield numbers, *predict_trials(*series, tuple(trials[i] for i in numbers)), None
+    except Exception as e:
+        if len(numbers) == 1:
+            yield numbers, None, None, f"{type(e).__name__}: {e}"
+        else:
+            for i in numbers:
+                yield from _tried([i], trials, *series)
+
+
 def search(history: DataFrame, trials: Sequence[Spec], folds: int, horizon_hours: int,
-           spacing_hours: int | None = None) -> DataFrame:
+           spacing_hours: int | None = None, steps: bool = True) -> DataFrame:
     """Rolling-origin predictions of every trial for every series, one row per held-out step.
 
     The last fold ends with the series, the others `spacing_hours` (by default the horizon) before the next one.
-    A task holds one trial of one series: the rows of a series are copied per trial, so that trials run side by side.
+    A group holds all trials of one series, which share what does not depend on the scales. steps=False: one row per
+    series and trial instead, with the symmetric error over all its steps, so that steps stay in the worker.
     """
     hour = 3600 * 1_000_000
     step, spacing = horizon_hours * hour, (spacing_hours or horizon_hours) * hour
     params = [json.dumps(asdict(t)) for t in trials]
-
-    def one(key: tuple, table: pa.Table) -> pa.Table:
+    alike: dict[tuple, list[int]] = {}
+    for i, s in enumerate(trials):
+        alike.setdefault((s.changepoints, s.daily_order, s.weekly_order, s.holidays), []).append(i)
+
+    def held_out(micros: np.ndarray, y: np.ndarray) -> Iterator[tuple]:
+        """Fold after fold: places of the held-out steps, and what `_tried` found."""
+        sec = micros / 1e6
+        for numbers in alike.values():
+            season = _seasons(sec, trials[numbers[0]])
+            for fold in range(folds - 1, -1, -1):
+                cut = micros[-1] + hour - step - fold * spacing
+                first, last = np.searchsorted(micros, (cut, cut + step))
+                if first < last:
+                    seen, held = slice(0, first), slice(first, last)
+                    for found in _tried(numbers, trials, sec[seen], y[seen], season[seen], sec[held], season[held]):
+                        yield held, *found
+
+    def rows(key: tuple, table: pa.Table) -> pa.Table:
         micros, y = _points(table)
-        number, end = key[1].as_py(), micros[-1] + hour
-        spec, parts = trials[number], [_table(schemas.TRIAL_ROW, {})]
-        for fold in range(folds - 1, -1, -1):
-            cut = end - step - fold * spacing
-            seen, held = micros < cut, (micros >= cut) & (micros < cut + step)
-            if not held.any():
-                continue
-            row = {"entity_id": key[0].as_py(), "trial": number, "params": params[number]}
-            try:
-                model = fit_one(micros[seen] / 1e6, y[seen], spec)
-                row |= {"ds": micros[held], "y": y[held], **predict_one(model, micros[held] / 1e6)}
-            except Exception as e:
-                row |= {"error": [f"{type(e).__name__}: {e}"]}
-            parts.append(_table(schemas.TRIAL_ROW, row))
+        parts = [_table(schemas.TRIAL_ROW, {})]
+        for held, numbers, yhat, half, error in held_out(micros, y):
+            for k, i in enumerate(numbers):
+                row = {"entity_id": key[0].as_py(), "trial": i, "params": params[i]}
+                parts.append(_table(schemas.TRIAL_ROW, row | ({"error": [error]} if error else {
+                    "ds": micros[held], "y": y[held], "yhat": yhat[k], "yhat_lower": yhat[k] - half[k], "yhat_upper": yhat[k] + half[k]})))
         return pa.concat_tables(parts)
 
-    tasks = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = history.filter(F.col("y").isNotNull()).select(
-        F.col("entity_id").cast("string").alias("entity_id"), "ds", F.col("y").cast("double").alias("y"),
-        F.explode(F.array(*[F.lit(i) for i in range(len(trials))])).alias("trial"))
-    return rows.repartition(tasks, "entity_id", "trial").groupBy("entity_id", "trial").applyInArrow(one, schemas.TRIAL_ROW)
+    def sums(key: tuple, table: pa.Table) -> pa.Table:
+        micros, y = _points(table)
+        total, n, errors, tried = np.zeros(len(trials)), np.zeros(len(trials), int), [None] * len(trials), set()
+        for held, numbers, yhat, _, error in held_out(micros, y):
+            tried.update(numbers)
+            if error:
+                errors[numbers[0]] = min(error, errors[numbers[0]] or error)
+                continue
+            size = np.abs(y[held]) + np.abs(yhat)
+            known = ~np.isnan(size)  # steps without a value do not count
+            share = np.divide(2 * np.abs(y[held] - yhat), size, out=np.zeros_like(size), where=known & (size != 0))
+            total[numbers] += share.sum(axis=1)
+            n[numbers] += known.sum(axis=1)
+        at = sorted(tried)
+        return _table(schemas.TRIAL_SCORE_ROW, {
+            "entity_id": [key[0].as_py()] * len(at), "trial": at, "error": [errors[i] for i in at],
+            "smape": pa.array([total[i] / n[i] if n[i] else None for i in at], pa.float64())})
+
+    series = _observed(history).groupBy("entity_id")
+    if steps:
+        return series.applyInArrow(rows, schemas.TRIAL_ROW)
+    text = F.element_at(F.array(*[F.lit(p) for p in params]), F.col("trial") + 1)
+    return series.applyInArrow(sums, schemas.TRIAL_SCORE_ROW).select("entity_id", "trial", text.alias("params"), "smape", "error")
 
 
 def best_trials(results: DataFrame) -> DataFrame:
     """The trial with the lowest symmetric error per series; trial number breaks ties.
 
     `n_trials` counts the trials that gave predictions. A series in which every trial failed stays, with an error in
-    place of settings.
+    place of settings. results: of `search`, with or without steps.
     """
-    err, size = F.abs(F.col("y") - F.col("yhat")), F.abs("y") + F.abs("yhat")
-    share = F.when(size == 0, F.lit(0.0)).otherwise(2 * err / F.nullif(size, F.lit(0.0)))
-    scored = results.groupBy("entity_id", "trial", "params").agg(
-        F.avg(F.when(F.col("error").isNull(), share)).alias("smape"), F.min("error").alias("error"))
+    scored = results
+    if "smape" not in results.columns:
+        err, size = F.abs(F.col("y") - F.col("yhat")), F.abs("y") + F.abs("yhat")
+        share = F.when(size == 0, F.lit(0.0)).otherwise(2 * err / F.nullif(size, F.lit(0.0)))
+        scored = results.groupBy("entity_id", "trial", "params").agg(
+            F.avg(F.when(F.col("error").isNull(), share)).alias("smape"), F.min("error").alias("error"))
     worked = F.col("smape").isNotNull()
     best = F.min_by(F.struct("trial", "params", "smape"), F.when(worked, F.struct("smape", "trial")))
     return scored.groupBy("entity_id").agg(

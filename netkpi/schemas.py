@@ -47,6 +47,10 @@ TRIAL_ROW = _struct(
     ("yhat_lower", T.DoubleType()), ("yhat_upper", T.DoubleType()), ("error", T.StringType()),
 )
 
+TRIAL_SCORE_ROW = _struct(
+    ("entity_id", T.StringType()), ("trial", T.IntegerType()), ("smape", T.DoubleType()), ("error", T.StringType()),
+)
+
 RUN_ROW = _struct(
     ("run_id", T.StringType()), ("name", T.StringType()), ("status", T.StringType()),
     ("started", T.TimestampNTZType()), ("source_table", T.StringType()),

@@ -269,3 +269,38 @@ def test_anomalies_are_the_same_in_any_number_of_tasks(spark, rows):
     out = anomaly.flag_anomalies(actual, f, tasks=7)
     assert rows(out) == rows(anomaly.flag_anomalies(actual, f)) and len(rows(out)) == 3
     assert "hashpartitioning(entity_id" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 7)" in plan
+
+
+def test_trials_together_predict_as_one_by_one():
+    rng, trials = np.random.default_rng(3), tuple(curvefit.random_trials(6, 4, ["2024-01-03"]))
+    assert len({t.multiplicative for t in trials}) == 2
+    for n in (2, 5, 40, 300):
+        at = np.sort(rng.choice(400, n, replace=False))
+        sec, ahead = micro(400)[at], micro(500)[400::7]
+        for y in (rng.integers(1, 5, n).astype(float), rng.normal(size=n), np.full(n, 3.0)):
+            yhat, half = curvefit.predict_trials(sec, y, curvefit._seasons(sec, trials[0]), ahead, curvefit._seasons(ahead, trials[0]), trials)
+            for i, t in enumerate(trials):
+                one = curvefit.predict_one(curvefit.fit_one(sec, y, t), ahead)
+                assert yhat[i] == pytest.approx(one["yhat"], rel=1e-6, abs=1e-6)
+                assert half[i] == pytest.approx(one["yhat_upper"] - one["yhat"], rel=1e-6, abs=1e-6)
+
+
+def test_scores_of_a_search_equal_those_of_its_steps(spark, monkeypatch):
+    y = [30 + 10 * np.sin(2 * np.pi * i / 24) + (i * 37 % 11) for i in range(336)]
+    nan = [*y[:330], float("nan"), 0.0, 1.0]
+    hist = spark.createDataFrame(hours("a", y) + hours("b", [0.0] * 200) + hours("nan", nan) + hours("one", [1]) + hours(None, y[:250]), SHAPE)
+    trials = [*curvefit.random_trials(3, 2), curvefit.Spec(changepoints=3), curvefit.Spec(weekly_order=400, changepoint_scale=float("nan"))]
+    best = [{r["entity_id"]: r for r in curvefit.best_trials(curvefit.search(hist, trials, 3, 24, 12, steps=s)).collect()} for s in (True, False)]
+    assert len(best[0]) == len(best[1]) == 5
+    for e, r in best[0].items():
+        same = best[1][e]
+        assert (r["trial"], r["params"], r["n_trials"], r["error"]) == (same["trial"], same["params"], same["n_trials"], same["error"])
+        assert r["smape"] == pytest.approx(same["smape"], abs=1e-12) if r["smape"] is not None else same["smape"] is None
+
+
+def test_a_search_holds_one_group_per_series(spark):
+    hist = spark.createDataFrame(hours("a", planted()) + hours("b", planted()), SHAPE)
+    plan = curvefit.search(hist, [curvefit.Spec()] * 10, 2, 24)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "FlatMapGroupsInArrow" in plan  # rows were copied per trial
+    best = curvefit.best_trials(curvefit.search(hist, [curvefit.Spec()], 2, 24, steps=False))
+    assert "CoGroups" not in curvefit.forecast_with(best, hist, 24)._jdf.queryExecution().executedPlan().toString()
