@@ -7,8 +7,9 @@ over for a query when the next cell's bound is below what all its windows still
 not read. So results are exact, whatever the codebooks are.
 
 Cells are packed on shelves of a bounded number of rows, a large cell on several; queries are packed in groups. In a round each
-group names the shelves that its heaps reach; one join brings group and shelf together, and a block product scores them. Rounds
-grow by a factor, so that few are needed; a later round only sends what beats the best so far.
+group names the shelves that its heaps reach, one row for each with a bit per query and cell; shelf and groups are brought together,
+and block products score them. Rounds grow by a factor, so that few are needed; a later round only sends what beats the best so far.
+The heap names the first cells of a search; where it goes further, one sort of all bounds gives the rest of the same order.
 
 Defined results: rows with a null label, a null vector or a null or non-finite component take no part; shorter vectors count as
 filled up with zeros; components are floor(256 * x), and scores are right while they stay below 2^53; rows with the query's id are
@@ -21,22 +22,28 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
+from netkpi.llm.shared import discard
 from netkpi.sources.tables import materialize
 
 #: Codebooks are fitted on at most so many rows (the same ones in any run), with at most so many codes; all rows are indexed.
 SAMPLE_ROWS, MOST_CODES = 20_000, 512
 #: Components on a shelf and rows of a shelf at most, queries of a group about.
-SHELF_VALUES, SHELF_ROWS, GROUP = 1 << 19, 8192, 256
+SHELF_VALUES, SHELF_ROWS, GROUP = 1 << 21, 32768, 256
 #: Cells that a query visits in the first round; each later round has GROWTH times as many.
 FIRST_CELLS, GROWTH = 16, 8
+#: Of all cells, one in so many comes from the heap; beyond them, sorting the bounds takes less time.
+HEAPED = 32
+#: Groups that meet a shelf at once; queries that are multiplied with it at once.
+MET, MULTIPLIED = 256, 32
 #: Lists of one group that are merged at once.
-MERGED = 256
+MERGED = 64
 
 LOW, HIGH = -(1 << 62), 1 << 62
 
@@ -157,8 +164,14 @@ def index(rows: DataFrame, codes: int | None = None) -> Index:
     return Index(materialize(shelves, "multi-shelves"), dims, kind, books, radii, counts, first, parts)
 
 
+def _row(rows: pa.RecordBatch | pa.Table, at: int) -> dict:
+    """One row, its lists (without nulls) as arrays."""
+    one = {n: rows.column(n)[at] for n in rows.schema.names}
+    return {n: v.values.to_numpy(zero_copy_only=False) if v.is_valid and pa.types.is_list(v.type) else v.as_py() for n, v in one.items()}
+
+
 def _lists(row: dict, *names: str) -> list[np.ndarray]:
-    return [np.asarray(row[n], np.int64) for n in names]
+    return [np.array(row[n], np.int64) for n in names]
 
 
 LONGS, FLAGS = ArrayType(LongType()), ArrayType(BooleanType())
@@ -170,10 +183,20 @@ STATE = StructType([StructField("grp", LongType()), *(StructField(n, LONGS) for
 STATE_NAMES = STATE.fieldNames()
 
 
-def _state_table(rows: list[dict], extra: dict | None = None) -> pa.Table:
-    kinds = {"grp": pa.int64(), "vectors": pa.binary(), "unnamed": pa.list_(pa.bool_())}
-    return pa.table({n: pa.array([r[n] if not isinstance(r[n], np.ndarray) else r[n].tolist() for r in rows], kinds.get(n, pa.list_(pa.int64())))
-                     for n in STATE_NAMES} | {n: pa.array([r[n] for r in rows], t) for n, t in (extra or {}).items()})
+#: What a group asks in a round: its own row, with what each request needs; a row for each shelf that it visits, with the cells
+#: and a bit per query and cell.
+TURN = StructType([*STATE.fields, StructField("need", LONGS), StructField("shelf", LongType()), StructField("cells", LONGS),
+                   StructField("marks", BinaryType())])
+
+
+def _arrow(schema: StructType) -> list[pa.Field]:
+    kinds = {LongType(): pa.int64(), BinaryType(): pa.binary(), LONGS: pa.list_(pa.int64()), FLAGS: pa.list_(pa.bool_())}
+    return [pa.field(f.name, kinds[f.dataType]) for f in schema.fields]
+
+
+def _state_table(rows: list[dict], schema: StructType = STATE) -> pa.Table:
+    """Rows of a schema; what a row does not name is null."""
+    return pa.table({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in _arrow(schema)})
 
 
 def cells_in_turn(bounds: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, int, int]]:
@@ -191,6 +214,31 @@ def cells_in_turn(bounds: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float
             heapq.heappush(heap, (-(one[i + 1] + two[0]), i + 1, 0))
 
 
+def cells_at_once(bounds: tuple[np.ndarray, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first part of what `cells_in_turn` gives, all bounds of `least` and more: equal sums come by their places in both lists there, too."""
+    order = [np.argsort(-b, kind="stable") for b in bounds]
+    sums = np.add.outer(*(b[o] for b, o in zip(bounds, order, strict=True))).ravel()
+    held = np.flatnonzero(sums >= least)
+    held = held[np.argsort(-sums[held], kind="stable")]
+    i, j = np.divmod(held, len(bounds[1]))
+    return sums[held], order[0][i], order[1][j]
+
+
+def _walk(bounds: tuple[np.ndarray, np.ndarray], least: float, seen: int, step: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Place of the first, bounds and codes of cells in turn, many at once: from the `seen`-th or before, down to `least` or below."""
+    few = len(bounds[0]) * len(bounds[1]) // HEAPED
+    if seen < few:
+        heap = cells_in_turn(bounds)
+        for at in range(0, few, step):
+            some = list(islice(heap, min(step, few - at)))
+            bound, i, j = np.array([c[0] for c in some]), np.array([c[1] for c in some]), np.array([c[2] for c in some])
+            yield at, bound, i, j
+            if bound[-1] < least:
+                return
+    bound, i, j = cells_at_once(bounds, least)
+    yield few, bound[few:], i[few:], j[few:]
+
+
 def _needs(who: np.ndarray, low: np.ndarray, high: np.ndarray, best: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Per request the score that a row must reach at least: the k-th best so far, or the window's low end. Empty windows need nothing."""
     lowest = np.full(len(who), HIGH)
@@ -200,43 +248,52 @@ def _needs(who: np.ndarray, low: np.ndarray, high: np.ndarray, best: np.ndarray,
 
 
 def _advance(ix: Index, k: int, cells: int):
-    """Each query's next cells by its heap, as the shelves that the group visits; none when all windows are certified."""
+    """Each query's next cells by its heap, as TURN rows: none but the group's own when all windows are certified."""
     books, radii, counts, first, parts, kind, dims = ix.books, ix.radii, ix.counts, ix.first, ix.parts, ix.kind, ix.dims
     codes, half = len(books[0]), books[0].shape[1]
+    filled = np.flatnonzero(counts)
+    starts = np.flatnonzero(np.diff(first[filled], prepend=-1))  # cells lie in their order, so those of a shelf follow each other
+
+    def visited(v: np.ndarray, mine: np.ndarray, need: np.ndarray, high: np.ndarray, seen: int) -> tuple[np.ndarray, int]:
+        """The next cells of the query v with the requests `mine`, and how many cells its walk has given."""
+        least, top, asked = need[mine].min(), high[mine], need[mine]
+        halves = (slice(0, half), slice(half, dims))
+        mids = [b @ v[s] for b, s in zip(books, halves, strict=True)]
+        wide = [np.linalg.norm(v[s]) * r for r, s in zip(radii, halves, strict=True)]
+        slack = 1.0 + 1e-9 * sum(np.abs(m).max() + w.max() for m, w in zip(mids, wide, strict=True))
+        found, left, taken = [], cells, 0
+        for at, bound, i, j in _walk((mids[0] + wide[0], mids[1] + wide[1]), least - slack, seen):
+            inside = int((bound >= least - slack).sum())
+            new = slice(min(max(seen - at, 0), inside), inside)
+            bound, i, j = bound[new], i[new], j[new]
+            under = mids[0][i] - wide[0][i] + mids[1][j] - wide[1][j] - slack
+            wanted = (counts[i * codes + j] > 0) & ((bound[:, None] >= asked - slack) & (under[:, None] <= top)).any(axis=1)
+            hit = np.flatnonzero(wanted)[:left]
+            found.append((i * codes + j)[hit])
+            left -= len(hit)
+            taken = at + (new.start + int(hit[-1]) + 1 if not left else inside)
+            if not left:
+                break
+        return np.concatenate(found) if found else np.zeros(0, np.int64), max(seen, taken)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = _row(batch, at)
                 v = np.frombuffer(row["vectors"], kind).reshape(-1, dims).astype(float)
                 who, low, high, best, score, seen = _lists(row, "who", "low", "high", "best", "score", "seen")
                 need = _needs(who, low, high, best, score, k)
-                visits: dict[int, tuple[list[int], list[int]]] = {}
+                marks = np.zeros((len(v), len(filled)), bool)
                 for a in np.unique(who[need < HIGH]).tolist():
-                    mine = np.flatnonzero((who == a) & (need < HIGH))
-                    least, top, asked = need[mine].min(), high[mine], need[mine]
-                    mids = [b @ v[a, s] for b, s in zip(books, (slice(0, half), slice(half, dims)), strict=True)]
-                    wide = [np.linalg.norm(v[a, s]) * r for r, s in zip(radii, (slice(0, half), slice(half, dims)), strict=True)]
-                    slack = 1.0 + 1e-9 * sum(np.abs(m).max() + w.max() for m, w in zip(mids, wide, strict=True))
-                    walk, taken, left = cells_in_turn((mids[0] + wide[0], mids[1] + wide[1])), 0, cells
-                    for bound, i, j in walk:
-                        if bound + slack < least or not left:
-                            break
-                        taken += 1
-                        c = i * codes + j
-                        if taken <= seen[a] or not counts[c]:
-                            continue
-                        under = mids[0][i] - wide[0][i] + mids[1][j] - wide[1][j] - slack
-                        if ((bound + slack >= asked) & (under <= top)).any():
-                            left -= 1
-                            for shelf in range(first[c], first[c] + parts[c]):
-                                pair = visits.setdefault(shelf, ([], []))
-                                pair[0].append(a)
-                                pair[1].append(c)
-                    seen[a] = max(seen[a], taken)
-                row["seen"] = seen
-                row["visits"] = [{"shelf": s, "a": p[0], "c": p[1]} for s, p in visits.items()]
-                kinds = pa.list_(pa.struct([("shelf", pa.int64()), ("a", pa.list_(pa.int64())), ("c", pa.list_(pa.int64()))]))
-                yield from _state_table([row], {"visits": kinds}).to_batches()
+                    found, seen[a] = visited(v[a], np.flatnonzero((who == a) & (need < HIGH)), need, high, seen[a])
+                    marks[a, np.searchsorted(filled, found)] = True
+                out = [row | {"seen": seen, "need": need}]
+                for one, end in zip(starts, [*starts[1:], len(filled)], strict=True):
+                    hit = one + np.flatnonzero(marks[:, one:end].any(axis=0))
+                    if len(hit):
+                        asked = {"grp": row["grp"], "cells": filled[hit], "marks": np.packbits(marks[:, hit]).tobytes()}
+                        out += [asked | {"shelf": int(first[filled[one]]) + p} for p in range(parts[filled[one]])]
+                yield from _state_table(out, TURN).to_batches()
     return run
 
 
@@ -248,37 +305,50 @@ def _top(request: np.ndarray, score: np.ndarray, found: np.ndarray, unnamed: np.
 
 
 def _scored(kind: str, dims: int, k: int, same: bool):
-    """Per group and shelf: what the visited cells hold for each request, at most k rows each."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                v = np.frombuffer(row["vectors"], kind).reshape(-1, dims)
-                x = np.frombuffer(row["s_vectors"], kind).reshape(-1, dims)
-                who, low, high, best, score = _lists(row, "who", "low", "high", "best", "score")
-                ids, label, cell, own, own_label, a, c = _lists(row, "s_id", "s_label", "cell", "id", "label", "a", "c")
-                unnamed = np.asarray(row["s_unnamed"], bool)
-                need = _needs(who, low, high, best, score, k)
-                held, slot = np.unique(cell, return_inverse=True)
-                visit = np.zeros((len(v), len(held)), bool)
-                inside = np.isin(c, held)  # a cell on several shelves may have no row on one of them
-                visit[a[inside], np.searchsorted(held, c[inside])] = True
-                product = (v.astype(float) @ x.astype(float).T).astype(np.int64)
-                out: list[np.ndarray] = []
-                for r in np.flatnonzero(need < HIGH):
-                    q = who[r]
-                    s = product[q]
-                    ok = np.flatnonzero((s >= need[r]) & (s <= high[r]) & visit[q][slot] & ((label == own_label[q]) == same)
-                                        & (unnamed | (ids != own[q])))
+    """Per shelf and group: what the visited cells hold for each request, at most k rows each."""
+    names = ["best", "score", "found", "unnamed"]
+
+    def run(asked: pa.Table, shelf: pa.Table) -> pa.Table:
+        out: list[dict] = []
+        if len(shelf):
+            side = _row(shelf, 0)
+            x = np.frombuffer(side["s_vectors"], kind).reshape(-1, dims).astype(float).T
+            ids, label, cell = _lists(side, "s_id", "s_label", "cell")
+            unnamed = np.asarray(side["s_unnamed"], bool)
+            held, slot = np.unique(cell, return_inverse=True)
+            for at in range(len(asked)):
+                lists = scored(_row(asked, at), x, ids, label, unnamed, held, slot)
+                if lists.shape[1]:
+                    out.append({"grp": asked.column("grp")[at].as_py(), "shelf": side["shelf"]} | dict(zip(names, lists, strict=True)))
+        return pa.table({n: pa.array([r[n] for r in out], pa.int64()) for n in ("grp", "shelf")}
+                        | {n: pa.array([r[n].astype(bool) if n == "unnamed" else r[n] for r in out], pa.list_(pa.bool_() if n == "unnamed" else pa.int64()))
+                           for n in names})
+
+    def scored(row: dict, x: np.ndarray, ids: np.ndarray, label: np.ndarray, unnamed: np.ndarray, held: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        v = np.frombuffer(row["vectors"], kind).reshape(-1, dims).astype(float)
+        who, high, need, own, own_label, cells = _lists(row, "who", "high", "need", "id", "label", "cells")
+        marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(v) * len(cells)).reshape(len(v), -1).astype(bool)
+        visit = np.zeros((len(v), len(held)), bool)
+        inside = np.isin(cells, held)  # a cell on several shelves may have no row on one of them
+        visit[:, np.searchsorted(held, cells[inside])] = marks[:, inside]
+        asks: dict[int, list[int]] = {}
+        for r in np.flatnonzero(need < HIGH).tolist():
+            asks.setdefault(int(who[r]), []).append(r)
+        mine = [q for q in asks if visit[q].any()]
+        out = [np.zeros((4, 0), np.int64)]
+        for begin in range(0, len(mine), MULTIPLIED):
+            some = mine[begin:begin + MULTIPLIED]
+            for q, product in zip(some, v[some] @ x, strict=True):
+                rows = np.flatnonzero(visit[q][slot] & ((label == own_label[q]) == same) & (unnamed | (ids != own[q])))
+                s = product[rows].astype(np.int64)
+                for r in asks[q]:
+                    ok = np.flatnonzero((s >= need[r]) & (s <= high[r]))
                     if len(ok) > k:
                         ok = ok[s[ok] >= np.partition(s[ok], -k)[-k]]
-                        ok = ok[np.lexsort((ids[ok], unnamed[ok], -s[ok]))[:k]]
-                    out.append(np.stack([np.full(len(ok), r), s[ok], ids[ok], unnamed[ok].astype(np.int64)]))
-                all_ = np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["grp"]], pa.int64()), pa.array([row["shelf"]], pa.int64()),
-                     *(pa.array([all_[i].tolist()], pa.list_(pa.int64())) for i in range(3)),
-                     pa.array([all_[3].astype(bool).tolist()], pa.list_(pa.bool_()))], ["grp", "shelf", "best", "score", "found", "unnamed"])
+                        ok = ok[np.lexsort((ids[rows[ok]], unnamed[rows[ok]], -s[ok]))[:k]]
+                    if len(ok):
+                        out.append(np.stack([np.full(len(ok), r), s[ok], ids[rows[ok]], unnamed[rows[ok]].astype(np.int64)]))
+        return np.concatenate(out, axis=1)
     return run
 
 
@@ -296,7 +366,7 @@ def _merged_lists(k: int):
     def run(table: pa.Table) -> pa.Table:
         lists = _joined(table, k)
         return pa.table({"grp": table.column("grp")[:1], "shelf": table.column("shelf")[:1]}
-                        | {n: pa.array([x.tolist()], pa.list_(pa.bool_() if n == "unnamed" else pa.int64()))
+                        | {n: pa.array([x], pa.list_(pa.bool_() if n == "unnamed" else pa.int64()))
                            for n, x in zip(("best", "score", "found", "unnamed"), lists, strict=True)})
     return run
 
@@ -305,7 +375,7 @@ def _merged(k: int):
     """The state of a group with what the round has found."""
     def run(state: pa.Table, more: pa.Table) -> pa.Table:
         names = ["best", "score", "found", "unnamed"]
-        row = state.to_pylist()[0]
+        row = _row(state, 0)
         row |= dict(zip(names, _joined(pa.concat_tables([state.select(names), more.select(names)]), k), strict=True))
         return _state_table([row])
     return run
@@ -313,24 +383,26 @@ def _merged(k: int):
 
 def search(ix: Index, state: DataFrame, k: int, same: bool) -> DataFrame:
     """STATE rows with the first k rows of each request, of the query's label or of others. Exact."""
-    cells = FIRST_CELLS
-    visits = "visits array<struct<shelf: long, a: array<long>, c: array<long>>>"
-    schema = StructType([*STATE.fields, *StructType.fromDDL(visits).fields])
+    cells, groups, spark = FIRST_CELLS, max(1, state.count()), state.sparkSession
+    # what a group holds is small beside its work, so tasks go by groups
+    tasks, lots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups), -(-groups // MET)
     side = ix.shelves.select("shelf", "cell", F.col("label").alias("s_label"), F.col("id").alias("s_id"), F.col("unnamed").alias("s_unnamed"),
-                             F.col("vectors").alias("s_vectors"))
+                             F.col("vectors").alias("s_vectors")).withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    lot = F.pmod(F.xxhash64("grp"), F.lit(lots)).cast("int").alias("lot")
     while True:
-        state = materialize(state.mapInArrow(_advance(ix, k, cells), schema), "multi-visits")
-        most = state.agg(F.max(F.size("visits"))).first()[0]
+        turn = materialize(state.repartition(tasks, "grp").mapInArrow(_advance(ix, k, cells), TURN), "multi-visits")
+        state, ask = turn.filter(F.col("shelf").isNull()), turn.filter(F.col("shelf").isNotNull()).select("grp", "shelf", "cells", "marks")
+        most = ask.groupBy("grp").count().agg(F.max("count")).first()[0]
         if not most:
-            return state.drop("visits")
-        ask = state.select("grp", "id", "label", "vectors", "who", "low", "high", "best", "score", F.explode("visits").alias("v"))
-        ask = ask.select("*", "v.shelf", "v.a", "v.c").drop("v").repartition("shelf")
-        lists = ask.join(side, "shelf").mapInArrow(_scored(ix.kind, ix.dims, k, same), LISTS)
+            return state.select(*STATE_NAMES)
+        ask = ask.join(state.select("grp", "id", "label", "vectors", "who", "high", "need"), "grp").select("*", lot)
+        lists = ask.groupBy("shelf", "lot").cogroup(side.groupBy("shelf", "lot")).applyInArrow(_scored(ix.kind, ix.dims, k, same), LISTS)
         while most > MERGED:  # so that a task never holds more lists of a group
             most = -(-most // MERGED)
             lists = (lists.withColumn("_part", F.pmod(F.xxhash64("shelf"), F.lit(most))).groupBy("grp", "_part")
                      .applyInArrow(_merged_lists(k), LISTS))
-        state = materialize(state.drop("visits").groupBy("grp").cogroup(lists.groupBy("grp")).applyInArrow(_merged(k), STATE), "multi-state")
+        state = materialize(state.select(*STATE_NAMES).groupBy("grp").cogroup(lists.groupBy("grp")).applyInArrow(_merged(k), STATE), "multi-state")
+        discard(turn)
         cells *= GROWTH
 
 
@@ -348,23 +420,31 @@ def queries(ix: Index, rows: DataFrame, chosen: Column) -> DataFrame:
         F.expr("cast(array() as array<boolean>)").alias("unnamed"), F.array_repeat(F.lit(0).cast("long"), size).alias("seen")), "multi-queries")
 
 
+#: The positives of a group's requests.
+PAIRS = StructType([StructField("p_score", LONGS), StructField("p_id", LONGS)])
+
+
 def _windows(low: int, high: int):
     """From found positives to requests for negatives: one window of scores for each positive, in their order."""
+    schema = StructType([*STATE.fields, *PAIRS.fields])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 pairs = list(zip(row["best"], row["score"], row["found"], row["unnamed"], strict=True))
                 extra = {"p_score": [p[1] for p in pairs], "p_id": [None if p[3] else p[2] for p in pairs]}
                 row |= {"who": [p[0] for p in pairs], "low": [-(-low * p[1] // 100) for p in pairs], "high": [high * p[1] // 100 for p in pairs],
                         "best": [], "score": [], "found": [], "unnamed": [], "seen": [0] * len(row["id"])}
-                yield from _state_table([row | extra], {n: pa.list_(pa.int64()) for n in extra}).to_batches()
+                yield from _state_table([row | extra], schema).to_batches()
     return run
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
     for batch in batches:
-        for row in batch.to_pylist():
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
             best = np.asarray(row["best"], np.int64)
             rank = np.arange(len(best)) - np.searchsorted(best, best) + 1  # lists are in order
             cols = ([row["id"][row["who"][r]] for r in best], [row["p_id"][r] for r in best], rank.tolist(),
@@ -382,8 +462,7 @@ def hard_negatives(rows: DataFrame, chosen: Column, positives: int = 5, negative
     """
     ix = index(rows, codes)
     found = search(ix, queries(ix, rows, chosen & F.col("id").isNotNull()), positives, True)
-    schema = StructType([*STATE.fields, *StructType.fromDDL("p_score array<long>, p_id array<long>").fields])
-    asked = materialize(found.mapInArrow(_windows(low, high), schema), "multi-windows")
+    asked = materialize(found.mapInArrow(_windows(low, high), StructType([*STATE.fields, *PAIRS.fields])), "multi-windows")
     out = search(ix, asked.select(*STATE_NAMES), negatives, False)
     named = out.join(asked.select("grp", "p_score", "p_id"), "grp")
     return named.mapInArrow(_listed, "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")

@@ -2,6 +2,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,41 @@ def test_cells_come_by_falling_bounds():
     assert len({w[1:] for w in walk}) == 12 and all(w[0] == one[w[1]] + two[w[2]] for w in walk)
 
 
+@pytest.mark.parametrize("heaped", [1, 4, 1 << 30])
+def test_sorted_bounds_go_on_where_the_heap_ends(monkeypatch, heaped):
+    """Equal sums, too, come in the heap's order; a walk ends at `least`, and one that was seen in part goes on from there."""
+    monkeypatch.setattr(multi_index, "HEAPED", heaped)
+    bounds = tuple(np.random.default_rng(3).integers(0, 6, n).astype(float) for n in (13, 17))
+    walk = list(multi_index.cells_in_turn(bounds))
+    for least, seen in ((-1.0, 0), (4.0, 0), (4.0, 30), (7.0, 220)):
+        got = {at + n: (b, i, j) for at, *cols in multi_index._walk(bounds, least, seen, 5) for n, (b, i, j) in enumerate(zip(*cols, strict=True))}
+        reached = [n for n, cell in enumerate(walk) if cell[0] >= least]
+        assert set(reached[seen:]) <= set(got) and all(got[n] == walk[n] for n in got)
+
+
+@pytest.mark.parametrize("met, heaped, first", [(1, 1, 2), (2, 1 << 30, 2)])
+def test_equals_all_scores_in_many_groups(spark, monkeypatch, met, heaped, first):
+    for name, value in {"MET": met, "HEAPED": heaped, "FIRST_CELLS": first, "GROUP": 2, "MULTIPLIED": 1, "MERGED": 3}.items():
+        monkeypatch.setattr(multi_index, name, value)
+    rows = multi_index.quantised(multi_index.relabelled(spark.createDataFrame(odd_rows(), SCHEMA)), "vec_id", "embedding", "label")
+    got = multi_index.hard_negatives(rows, F.col("id") % 100 == 0, codes=8)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain(odd_rows())
+
+
+def test_visits_of_a_group_take_a_bit_each(spark):
+    """A round in which all queries visit all cells: no row has more than a bit per query and cell, and a number per cell."""
+    x = vectors(3000, 8, 5)
+    table = multi_index.quantised(spark.createDataFrame([(i, x[i], 0) for i in range(3000)], SCHEMA), "vec_id", "embedding", "label")
+    ix = multi_index.index(table, 16)
+    state = multi_index.queries(ix, table, F.col("id") % 20 == 0).toArrow()
+    turn = pa.Table.from_batches(list(multi_index._advance(ix, 5, 1 << 20)(state.to_batches())))
+    cells = int((ix.counts > 0).sum())
+    own = max(state.slice(i, 1).nbytes for i in range(len(state)))
+    assert len(state) == 1 and max(turn.slice(i, 1).nbytes for i in range(len(turn))) < 2 * own + cells * (150 // 8 + 9)
+    marks = [np.unpackbits(np.frombuffer(m, np.uint8)).sum() for m in turn.column("marks").to_pylist() if m is not None]
+    assert sum(marks) == 150 * cells  # no cell lies on two shelves here
+
+
 def test_search_ends_when_certified(spark, monkeypatch):
     """Clustered rows: the best of the same label lie in few cells, and a query does not visit the others."""
     monkeypatch.setattr(multi_index, "FIRST_CELLS", 2)
