@@ -37,7 +37,7 @@ SAMPLE_ROWS, MOST_CODES = 20_000, 512
 #: Components on a shelf and rows of a shelf at most, queries of a group about.
 SHELF_VALUES, SHELF_ROWS, GROUP = 1 << 21, 32768, 256
 #: Cells that a query visits in the first round; each later round has GROWTH times as many.
-FIRST_CELLS, GROWTH = 16, 8
+FIRST_CELLS, GROWTH = 16, 64
 #: Of all cells, one in so many comes from the heap; beyond them, sorting the bounds takes less time.
 HEAPED = 32
 #: Groups that meet a shelf at once; queries that are multiplied with it at once.
@@ -90,10 +90,12 @@ def nearest(x: np.ndarray, means: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Index:
-    """books, radii: of both halves. counts: rows per cell; first, parts: its first shelf, and on how many it lies. kind: number type."""
+    """books, radii: of both halves. counts: rows per cell; first, parts: its first shelf, and on how many it lies. kind: number type;
+    sums: one that holds all sums of products."""
     shelves: DataFrame
     dims: int
     kind: str
+    sums: str
     books: tuple[np.ndarray, np.ndarray]
     radii: tuple[np.ndarray, np.ndarray]
     counts: np.ndarray
@@ -161,7 +163,7 @@ def index(rows: DataFrame, codes: int | None = None) -> Index:
     shelves = (put.join(F.broadcast(places), "cell").select(shelf, "cell", "id", "label", "q")
                .groupBy("shelf").applyInArrow(_packed(kind, dims, "shelf"), "shelf long, cell array<long>, label array<long>, "
                                               "id array<long>, unnamed array<boolean>, vectors binary"))
-    return Index(materialize(shelves, "multi-shelves"), dims, kind, books, radii, counts, first, parts)
+    return Index(materialize(shelves, "multi-shelves"), dims, kind, "float32" if dims * most ** 2 < 1 << 24 else "float64", books, radii, counts, first, parts)
 
 
 def _row(rows: pa.RecordBatch | pa.Table, at: int) -> dict:
@@ -224,10 +226,13 @@ def cells_at_once(bounds: tuple[np.ndarray, np.ndarray], least: float) -> tuple[
     return sums[held], order[0][i], order[1][j]
 
 
-def _walk(bounds: tuple[np.ndarray, np.ndarray], least: float, seen: int, step: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Place of the first, bounds and codes of cells in turn, many at once: from the `seen`-th or before, down to `least` or below."""
+def _walk(bounds: tuple[np.ndarray, np.ndarray], least: float, seen: int, more: int, step: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Place of the first, bounds and codes of cells in turn, many at once: from the `seen`-th or before, down to `least` or below.
+
+    more: how many are asked for. A heap that can't have given them before its part ends is not begun.
+    """
     few = len(bounds[0]) * len(bounds[1]) // HEAPED
-    if seen < few:
+    if seen + more <= few:
         heap = cells_in_turn(bounds)
         for at in range(0, few, step):
             some = list(islice(heap, min(step, few - at)))
@@ -235,8 +240,8 @@ def _walk(bounds: tuple[np.ndarray, np.ndarray], least: float, seen: int, step:
             yield at, bound, i, j
             if bound[-1] < least:
                 return
-    bound, i, j = cells_at_once(bounds, least)
-    yield few, bound[few:], i[few:], j[few:]
+    at = few if seen + more <= few else 0
+    yield at, *(x[at:] for x in cells_at_once(bounds, least))
 
 
 def _needs(who: np.ndarray, low: np.ndarray, high: np.ndarray, best: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -262,7 +267,7 @@ def _advance(ix: Index, k: int, cells: int):
         wide = [np.linalg.norm(v[s]) * r for r, s in zip(radii, halves, strict=True)]
         slack = 1.0 + 1e-9 * sum(np.abs(m).max() + w.max() for m, w in zip(mids, wide, strict=True))
         found, left, taken = [], cells, 0
-        for at, bound, i, j in _walk((mids[0] + wide[0], mids[1] + wide[1]), least - slack, seen):
+        for at, bound, i, j in _walk((mids[0] + wide[0], mids[1] + wide[1]), least - slack, seen, cells):
             inside = int((bound >= least - slack).sum())
             new = slice(min(max(seen - at, 0), inside), inside)
             bound, i, j = bound[new], i[new], j[new]
@@ -304,7 +309,7 @@ def _top(request: np.ndarray, score: np.ndarray, found: np.ndarray, unnamed: np.
     return order[np.arange(len(order)) - np.searchsorted(ranked, ranked) < k]
 
 
-def _scored(kind: str, dims: int, k: int, same: bool):
+def _scored(kind: str, sums: str, dims: int, k: int, same: bool):
     """Per shelf and group: what the visited cells hold for each request, at most k rows each."""
     names = ["best", "score", "found", "unnamed"]
 
@@ -312,20 +317,22 @@ def _scored(kind: str, dims: int, k: int, same: bool):
         out: list[dict] = []
         if len(shelf):
             side = _row(shelf, 0)
-            x = np.frombuffer(side["s_vectors"], kind).reshape(-1, dims).astype(float).T
+            x = np.frombuffer(side["s_vectors"], kind).reshape(-1, dims).astype(sums).T
             ids, label, cell = _lists(side, "s_id", "s_label", "cell")
             unnamed = np.asarray(side["s_unnamed"], bool)
             held, slot = np.unique(cell, return_inverse=True)
+            room = np.empty((MULTIPLIED, len(ids)), sums)  # used again by each product
             for at in range(len(asked)):
-                lists = scored(_row(asked, at), x, ids, label, unnamed, held, slot)
+                lists = scored(_row(asked, at), x, ids, label, unnamed, held, slot, room)
                 if lists.shape[1]:
                     out.append({"grp": asked.column("grp")[at].as_py(), "shelf": side["shelf"]} | dict(zip(names, lists, strict=True)))
         return pa.table({n: pa.array([r[n] for r in out], pa.int64()) for n in ("grp", "shelf")}
                         | {n: pa.array([r[n].astype(bool) if n == "unnamed" else r[n] for r in out], pa.list_(pa.bool_() if n == "unnamed" else pa.int64()))
                            for n in names})
 
-    def scored(row: dict, x: np.ndarray, ids: np.ndarray, label: np.ndarray, unnamed: np.ndarray, held: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        v = np.frombuffer(row["vectors"], kind).reshape(-1, dims).astype(float)
+    def scored(row: dict, x: np.ndarray, ids: np.ndarray, label: np.ndarray, unnamed: np.ndarray, held: np.ndarray, slot: np.ndarray,
+               room: np.ndarray) -> np.ndarray:
+        v = np.frombuffer(row["vectors"], kind).reshape(-1, dims).astype(sums)
         who, high, need, own, own_label, cells = _lists(row, "who", "high", "need", "id", "label", "cells")
         marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(v) * len(cells)).reshape(len(v), -1).astype(bool)
         visit = np.zeros((len(v), len(held)), bool)
@@ -338,8 +345,9 @@ def _scored(kind: str, dims: int, k: int, same: bool):
         out = [np.zeros((4, 0), np.int64)]
         for begin in range(0, len(mine), MULTIPLIED):
             some = mine[begin:begin + MULTIPLIED]
-            for q, product in zip(some, v[some] @ x, strict=True):
-                rows = np.flatnonzero(visit[q][slot] & ((label == own_label[q]) == same) & (unnamed | (ids != own[q])))
+            for q, product in zip(some, np.matmul(v[some], x, out=room[:len(some)]), strict=True):
+                rows = np.flatnonzero(product >= float(need[asks[q]].min()))
+                rows = rows[visit[q][slot[rows]] & ((label[rows] == own_label[q]) == same) & (unnamed[rows] | (ids[rows] != own[q]))]
                 s = product[rows].astype(np.int64)
                 for r in asks[q]:
                     ok = np.flatnonzero((s >= need[r]) & (s <= high[r]))
@@ -396,7 +404,7 @@ def search(ix: Index, state: DataFrame, k: int, same: bool) -> DataFrame:
         if not most:
             return state.select(*STATE_NAMES)
         ask = ask.join(state.select("grp", "id", "label", "vectors", "who", "high", "need"), "grp").select("*", lot)
-        lists = ask.groupBy("shelf", "lot").cogroup(side.groupBy("shelf", "lot")).applyInArrow(_scored(ix.kind, ix.dims, k, same), LISTS)
+        lists = ask.groupBy("shelf", "lot").cogroup(side.groupBy("shelf", "lot")).applyInArrow(_scored(ix.kind, ix.sums, ix.dims, k, same), LISTS)
         while most > MERGED:  # so that a task never holds more lists of a group
             most = -(-most // MERGED)
             lists = (lists.withColumn("_part", F.pmod(F.xxhash64("shelf"), F.lit(most))).groupBy("grp", "_part")

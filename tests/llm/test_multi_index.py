@@ -75,8 +75,8 @@ def test_sorted_bounds_go_on_where_the_heap_ends(monkeypatch, heaped):
     monkeypatch.setattr(multi_index, "HEAPED", heaped)
     bounds = tuple(np.random.default_rng(3).integers(0, 6, n).astype(float) for n in (13, 17))
     walk = list(multi_index.cells_in_turn(bounds))
-    for least, seen in ((-1.0, 0), (4.0, 0), (4.0, 30), (7.0, 220)):
-        got = {at + n: (b, i, j) for at, *cols in multi_index._walk(bounds, least, seen, 5) for n, (b, i, j) in enumerate(zip(*cols, strict=True))}
+    for least, seen, more in ((-1.0, 0, 1), (4.0, 0, 300), (4.0, 30, 10), (7.0, 220, 1)):
+        got = {at + n: (b, i, j) for at, *cols in multi_index._walk(bounds, least, seen, more, 5) for n, (b, i, j) in enumerate(zip(*cols, strict=True))}
         reached = [n for n, cell in enumerate(walk) if cell[0] >= least]
         assert set(reached[seen:]) <= set(got) and all(got[n] == walk[n] for n in got)
 
